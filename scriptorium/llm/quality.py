@@ -129,7 +129,7 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> float:
         return max(0.0, (kl(p) + kl(q)) / 2) ** 0.5
 
 
-def assess(docs: DataFrame, min_words: int = 50, max_class_distance: float = 0.35, max_word_distance: float = 0.6, refs: dict | None = None) -> DataFrame:
+def assess(docs: DataFrame, min_words: int = 50, max_class_distance: float = 0.33, max_word_distance: float = 0.5, refs: dict | None = None) -> DataFrame:
     """Counts, distances and the verdict of every document.
 
     Null text counts as empty: no words, which fails the base. Null or unknown

@@ -7,13 +7,17 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, packing, quality, simhash
+from . import chat, decontaminate, licenses, packing, pii, quality, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(_table(spark, sf_dir, "documents")))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -37,6 +41,11 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_turns(records.union(own)))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -45,7 +54,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_benchmark_decontamination, op3_simhash_neardup, op4_chat_formatting, op6_best_fit_packing, op7_quality_rules)}
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(_table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii_sanitisation, op2_benchmark_decontamination, op3_simhash_neardup, op4_chat_formatting, op5_toxicity, op6_best_fit_packing, op7_quality_rules, op8_license_scan)}
 
 #: DuckDB SQL for those queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_license_scan": licenses.oracle_sql()}
