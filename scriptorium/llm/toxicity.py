@@ -14,7 +14,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ from ._shared import crc_mod, map_arrow, text_bytes
 # What look-alikes stand for. A character may also be a separator.
 LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
-    "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i",
+    "*": "aeiou", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i",
 }
 SEPARATORS = " .-_*~'\"`#%&,;:/\\^=!|$"
 #: Symbols of the model: 0 a word end, 1 to 26 letters, 27 any other letter's byte.
@@ -147,94 +147,83 @@ class Decoder:
 
 
 #: Three or more single characters in a row, parted by spaces or separators.
-SPACED = re.compile(rb"(?<![^\s.,])[A-Za-z0-9@$!|+](?:[ .*_-]{1,2}[A-Za-z0-9@$!|+]){2,}(?![^\s.,;:!?])")
-_EDGES = b".,;:!?\"'()[]{}<>#%&*|$~`^=_/\\-+"
-_ODD = re.compile(rb"(.)\1\1|[^a-z\x80-\xff]")
+SPACED = re.compile(r"(?<![^\s.,])[a-z0-9@$!|+](?:[ .*_-]{1,2}[a-z0-9@$!|+]){2,}(?![^\s.,;:!?])")
+_EDGES = ".,;:!?\"'()[]{}<>#%&*|$~`^=_/\\-+«»¿¡"
+_TRIPLE = re.compile(r"(.)\1\1")
+#: Words are told apart by so many first letters, and features by how often they occur at least.
+STEM, TIMES = 6, (1, 2, 4)
 
 
-def needs_reading(word: bytes) -> bytes:
+def needs_reading(word: str) -> str:
     """The part of a lower-case word to decode, or empty if it reads as it is."""
     core = word.strip(_EDGES)
     if not core:
-        return b""
+        return ""
     at = word.find(core)
     before, after = word[:at][-2:], word[at + len(core) :]
-    lead = re.search(rb"[$!|+(]{1,2}$", before)
-    tail = after if re.fullmatch(rb"[$|]{1,2}", after) else b""
-    part = (lead[0] if lead else b"") + core + tail
-    if not _ODD.search(part) or not re.search(rb"[a-z]", part):
-        return b""
+    lead = re.search(r"[$!|+(]{1,2}$", before)
+    tail = after if re.fullmatch(r"[$|]{1,2}", after) else ""
+    part = (lead[0] if lead else "") + core + tail
+    if part.isalpha() and not _TRIPLE.search(part) or not re.search(r"[a-z]", part):
+        return ""
     return part
 
 
-@dataclass
-class Restorer:
-    """Restored words of texts; readings of words are kept, up to a bound."""
+class _Stems(dict):
+    """The stems of a word's reading that are of use; words are kept up to a bound."""
 
-    decoder: Decoder
-    kept: int = 300_000
-    known: dict[bytes, tuple[str, ...]] = field(default_factory=dict)
+    def __init__(self, decoder: Decoder, useful: frozenset[str] | None, kept: int = 400_000):
+        self.decoder, self.useful, self.kept = decoder, useful, kept
 
-    def word(self, word: bytes) -> tuple[str, ...]:
+    def __missing__(self, word: str) -> tuple[str, ...] | None:
         part = needs_reading(word)
-        if part:
-            words = self.decoder.read(part.decode("utf-8", "replace")).split()
-        else:
-            words = [word.strip(_EDGES).decode("utf-8", "replace")]
-        if len(self.known) >= self.kept:
-            self.known.clear()
-        found = self.known[word] = tuple(words)
+        words = self.decoder.read(part).split() if part else [word.strip(_EDGES)]
+        stems = tuple(x for w in words if (x := w[:STEM]) and (self.useful is None or x in self.useful))
+        if len(self) >= self.kept:
+            self.clear()
+        self[word] = found = stems or None
         return found
 
-    def words(self, text: bytes) -> Iterator[str]:
-        text = text.lower()
-        known = self.known
-        for w in text.split():
-            yield from known.get(w) or self.word(w)
-        for m in SPACED.finditer(text):
-            yield from self.decoder.read(m[0].decode()).split()
 
+class Features:
+    """Which features a text has. A feature is (stem, times), numbered; with no index, all that occur."""
 
-class Features(Restorer):
-    """Which features a text has: features are words, by number."""
+    def __init__(self, decoder: Decoder, index: dict[tuple[str, int], int] | None):
+        self.index, self.decoder = index, decoder
+        self.stems = _Stems(decoder, None if index is None else frozenset(s for s, _ in index))
 
-    def __init__(self, decoder: Decoder, index: dict[str, int]):
-        super().__init__(decoder)
-        self.index = index
-        self.by_word: dict[bytes, tuple[int, ...]] = {}
-
-    def of(self, text: bytes) -> set[int]:
+    def counts(self, text: str) -> Counter:
         text = text.lower()
-        get, found = self.by_word.get, set()
-        for w in set(text.split()):
-            if (k := get(w)) is None:
-                if len(self.by_word) >= 2 * self.kept:
-                    self.by_word.clear()
-                k = self.by_word[w] = tuple(self.index[x] for x in self.word(w) if x in self.index)
-                self.known.clear()
-            if k:
-                found.update(k)
+        found: Counter = Counter()
+        for stems, n in Counter(map(self.stems.__getitem__, text.split())).items():
+            for s in stems or ():
+                found[s] += n
         for m in SPACED.finditer(text):
-            found.update(self.index[x] for x in self.decoder.read(m[0].decode()).split() if x in self.index)
+            found.update(w[:STEM] for w in self.decoder.read(m[0]).split())
         return found
 
+    def of(self, text: str) -> set[int]:
+        has = self.index.get
+        return {k for s, n in self.counts(text).items() for t in TIMES if n >= t and (k := has((s, t))) is not None}
+
 
 @dataclass(frozen=True)
 class Model:
     trigrams: np.ndarray
-    words: tuple[str, ...]
+    stems: tuple[tuple[str, int], ...]
     weights: np.ndarray  # the last is the intercept
 
     def features(self) -> Features:
-        lexicon = [w for w, x in zip(self.words, self.weights) if x > 1 and w.isascii() and w.isalpha() and len(w) > 3]
-        return Features(Decoder(self.trigrams, lexicon), {w: k for k, w in enumerate(self.words)})
+        """Stems that speak for toxicity are a lexicon that readings are drawn to."""
+        lexicon = [s for (s, t), x in zip(self.stems, self.weights) if t == 1 and x > 1 and s.isascii() and s.isalpha() and len(s) > 3]
+        return Features(Decoder(self.trigrams, lexicon), {f: k for k, f in enumerate(self.stems)})
 
     def score(self, features: set[int]) -> float:
         z = self.weights[-1] + sum(self.weights[k] for k in features)
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def fit_logistic(x: list[set[int]], y: np.ndarray, n: int, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
+def fit_logistic(x: list[set[int]], y: np.ndarray, n: int, ridge: float = 0.3, rounds: int = 30) -> np.ndarray:
     """Ridge logistic regression by Newton's method; the intercept is last and not penalised."""
     a = np.zeros((len(x), n + 1))
     for k, f in enumerate(x):
@@ -256,27 +245,29 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, features: int
 
     The classifier is fitted on at most ``sample`` such rows (the first by a
     hash of the id; they are marked by a broadcast of ids, bounded by that
-    number), on the ``features`` words that tell the classes apart best, by
-    likelihood ratio. The trigram model counts all texts. With no labelled row
+    number), on the ``features`` that tell the classes apart best, by
+    likelihood ratio; each is a stem that occurs a number of times. The trigram model counts all texts. With no labelled row
     or one class only, the score is the labels' rate, or 0 without labels.
     """
     trigrams = trigram_model(trigram_counts(docs))
     rows = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).where((crc_mod("doc_id", 5) != 0) & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample)
-    texts = docs.select(F.col("doc_id").cast("long"), text_bytes().alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        features = Features(Decoder(trigrams), None)
         by: tuple[Counter, Counter] = Counter(), Counter()
         n = [0, 0]
         for batch in batches:
             for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
-                by[toxic].update({w.strip(_EDGES) for w in text.as_py().lower().split()})
+                by[toxic].update((s, t) for s, c in features.counts(text.as_py()).items() for t in TIMES if c >= t)
                 n[toxic] += 1
         for toxic in (0, 1):
-            yield {"word": [*by[toxic], None], "toxic": [toxic] * (len(by[toxic]) + 1), "n": [*by[toxic].values(), n[toxic]]}
+            keys, values = [*by[toxic], (None, 0)], [*by[toxic].values(), n[toxic]]
+            yield {"word": [s for s, _ in keys], "times": [t for _, t in keys], "toxic": [toxic] * len(keys), "n": values}
 
-    counts = map_arrow(texts, count, "word binary, toxic int, n long")
-    pairs = counts.groupBy("word").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c"))
+    counts = map_arrow(texts, count, "word string, times int, toxic int, n long")
+    pairs = counts.groupBy("word", "times").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c"))
     total = pairs.where("word is null").first()
     t, c = (total["t"], total["c"]) if total else (0, 0)
     if not t or not c:
@@ -285,10 +276,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, features: int
     x, y = F.col("t").cast("double"), F.col("c").cast("double")
     both, rate = x + y, t / (t + c)
     ratio = part(x, both * rate) + part(y, both * (1 - rate)) + part(t - x, (t + c - both) * rate) + part(c - y, (t + c - both) * (1 - rate))
-    telling = pairs.where(f"word is not null and t + c >= {min_docs} and length(word) > 0").withColumn("ratio", ratio)
-    best = telling.orderBy(F.desc("ratio"), "word").limit(features).collect()
-    words = tuple(w for r in best if "�" not in (w := bytes(r["word"]).decode("utf-8", "replace")))
-    plain = Model(trigrams, words, np.append(np.array([2.0 if r["t"] * c > r["c"] * t else 0.0 for r in best][: len(words)]), 0.0))
+    telling = pairs.where(f"word is not null and t + c >= {min_docs} and length(word) > 1").withColumn("ratio", ratio)
+    best = telling.orderBy(F.desc("ratio"), "word", "times").limit(features).collect()
+    stems = tuple((r["word"], r["times"]) for r in best)
+    plain = Model(trigrams, stems, np.array([2.0 if r["t"] * c > r["c"] * t else 0.0 for r in best] + [0.0]))
     sent = docs.sparkSession.sparkContext.broadcast(plain)
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -297,8 +288,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, features: int
             yield {"toxic": batch.column("toxic"), "f": [sorted(of(t.as_py())) for t in batch.column("text")]}
 
     got = map_arrow(texts, featured, "toxic int, f array<int>").collect()
-    weights = fit_logistic([set(r["f"]) for r in got], np.array([r["toxic"] for r in got], float), len(words))
-    return Model(trigrams, words, weights)
+    weights = fit_logistic([set(r["f"]) for r in got], np.array([r["toxic"] for r in got], float), len(stems))
+    return Model(trigrams, stems, weights)
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
@@ -315,7 +306,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
             s = [sent.value.score(of(t.as_py())) for t in batch.column("text")]
             yield {"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "score": s, "predicted": [int(x >= 0.5) for x in s]}
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), (crc_mod("doc_id", 5) == 0).alias("held_out"), text_bytes().alias("text")), rows, "doc_id long, held_out boolean, score double, predicted int")
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), (crc_mod("doc_id", 5) == 0).alias("held_out"), F.coalesce("text", F.lit("")).alias("text")), rows, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def reject(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
@@ -325,7 +316,7 @@ def reject(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = sent.value.features().of
         for batch in batches:
-            texts = ((t.as_py() or "").encode() for t in batch.column("text"))
+            texts = (t.as_py() or "" for t in batch.column("text"))
             yield batch.filter(pa.array([sent.value.score(of(t)) < threshold for t in texts], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
