@@ -1,6 +1,63 @@
-"""placeholder"""
+"""The corpus pipeline: five stages from raw documents to packed sequences.
+
+Each stage is a function (spark, docs, sf_dir) -> DataFrame; its result is
+written as Parquet and read again as the next one's ``docs``. All but the last
+return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from scriptorium.llm import decontaminate, linededup, packing, simhash, toxicity
+from scriptorium.llm._shared import materialise
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, fitted on these documents' labels, does not reject."""
+    return toxicity.reject(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that match an earlier line of any document."""
+    return linededup.dedup(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near duplicates, by shingles of five words."""
+    return simhash.keep_first(docs, shingle=5)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return decontaminate.clean(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of the documents with their sequences and places."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_benchmark_leaks),
+    ("best_fit_packing", pack_sequences),
+]
+
+#: SQL has no classifier, SimHash or tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = materialise(docs, name)
+    return docs
