@@ -16,7 +16,6 @@ import math
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,18 +25,22 @@ from pyspark.sql import functions as F
 from ._shared import map_arrow, materialise, text_bytes
 
 #: Words whose ids a worker keeps; it starts afresh beyond that, which costs time and no result.
-CACHED_WORDS = 900_000
-#: Bytes of text whose unknown words are tokenised together.
-_CHUNK = 1 << 20
+CACHED_WORDS = 600_000
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones for themselves."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in plain)}
 
 
 class _WordIds(dict):
     """Little-endian 32-bit ids of white-space separated words.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its words in order. It is far quicker on one long text than on
-    many words, so unknown words of letters go to it together: each ends with
-    an id of a word end, which tells them apart again.
+    are those of its words in order. A word of letters is one unit to it, which
+    its model can take without the steps before; where a trial shows that to
+    differ, every word takes all steps.
     """
 
     def __init__(self, path: str):
@@ -45,18 +48,22 @@ class _WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        for token, k in vocabulary.items():
-            self.ends[k] = token.endswith("</w>")
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        trial = ["a", "the", "stthrees", "été", "über", "ñaçß", "zzxqwyk", "of"]
+        self.direct = all(self.of_letters(w.encode()) == self.encode(w.encode()) for w in trial)
 
     def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= CACHED_WORDS:
+            self.clear()
         if b"<|" in word:
             ids = self.encode(word)
         elif (low := word.lower()) != word:
             ids = self[low]
         elif word[-1:] in (b",", b".") and word[-2:-1].isalpha():
             ids = self[word[:-1]] + self[word[-1:]]
+        elif self.direct and (word.isalpha() or not word.isascii() and _small_letters(word)):
+            ids = self.of_letters(word)
         else:
             ids = self.encode(word)
         self[word] = ids
@@ -65,27 +72,15 @@ class _WordIds(dict):
     def encode(self, word: bytes) -> bytes:
         return np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, unknown: set[bytes]) -> None:
-        """Take in the words of letters among ``unknown``, without one full stop or comma, in lower case."""
-        if len(self) + len(unknown) > CACHED_WORDS:
-            self.clear()
-        letters = set()
-        for word in unknown:
-            core = word[:-1] if word[-1:] in (b",", b".") else word
-            core = core.lower()
-            if core.isalpha():
-                letters.add(core)
-            elif not core.isascii() and (text := core.decode("utf-8", "replace")).isalpha() and max(text) < "\u0130":
-                letters.add(core)
-        todo = list(letters.difference(self))
-        if not todo:
-            return
-        ids = np.array(self.tokenizer.encode(b" ".join(todo).decode(), add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) != len(todo):
-            return  # not such a tokenizer: the words are tokenised one by one
-        flat, ends = ids.tobytes(), (4 * ends).tolist()
-        self.update(zip(todo, (flat[a:b] for a, b in zip([0, *ends], ends))))
+    def of_letters(self, word: bytes) -> bytes:
+        text = word.decode() if word.isascii() else word.decode("latin-1").translate(self.letters)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(text)])
+
+
+def _small_letters(word: bytes) -> bool:
+    """Whether these are letters that neither lower case nor composition changes."""
+    text = word.decode("utf-8", "replace")
+    return text.isalpha() and max(text) < "\u0130" and text == text.lower()
 
 
 _WORDS: dict[str, _WordIds] = {}
@@ -103,19 +98,6 @@ def word_ids(name: str) -> _WordIds:
     return _WORDS[name]
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes]]]:
-    held, size = [], 0
-    for batch in batches:
-        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-            held.append((doc, text.as_py()))
-            size += len(held[-1][1])
-            if size > _CHUNK:
-                yield held
-                held, size = [], 0
-    if held:
-        yield held
-
-
 def tokenise(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: int = 2048, end_id: int = 0, with_ids: bool = False) -> DataFrame:
     """Pieces (doc_id, piece, start, length, ids_crc32[, ids]) of every document.
 
@@ -128,12 +110,10 @@ def tokenise(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: in
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         words = word_ids(tokenizer)
         get = words.__getitem__
-        for chunk in _chunks(batches):
-            split = [text.split() for _, text in chunk]
-            words.learn(set(chain.from_iterable(split)).difference(words))
+        for batch in batches:
             out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
-            for (doc, _), text in zip(chunk, split):
-                ids = b"".join(map(get, text)) + end
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                ids = b"".join(map(get, text.as_py().split())) + end
                 for piece, at in enumerate(range(0, len(ids), capacity * 4)):
                     part = ids[at : at + capacity * 4]
                     out["doc_id"].append(doc)
