@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import map_arrow, text_bytes
+from ._shared import map_arrow, materialise, text_bytes
 
 # The classes of bytes, and the symbols that the base counts.
 CLASSES = ("space", "newline", "lower", "upper", "digit", "stop", "symbol", "other", "letter2", "letter3", "tail")
@@ -101,7 +101,7 @@ def references(docs: DataFrame, common: int = 64, min_words: int = 1000, max_lan
         yield from flush()
 
     rows = map_arrow(docs.select(F.coalesce("lang", F.lit("")).alias("lang"), text_bytes().alias("text")), count, "lang string, kind int, term binary, n long")
-    counts = rows.groupBy("lang", "kind", "term").agg(F.sum("n").alias("n"))
+    counts = materialise(rows.groupBy("lang", "kind", "term").agg(F.sum("n").alias("n")), "words")
     totals = counts.where("kind = 0").groupBy("lang").agg(F.sum("n").alias("n")).where(f"n >= {min_words}").orderBy(F.desc("n"), "lang").limit(max_languages)
     languages = {r["lang"]: r["n"] for r in totals.collect()}
     group = F.explode(F.array(F.lit("*"), F.when(F.col("lang").isin(list(languages)), F.col("lang")).otherwise(F.lit(None))))

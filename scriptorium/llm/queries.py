@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, licenses, linededup, packing, pii, quality, simhash, toxicity
+from . import chat, decontaminate, licenses, linededup, lm, packing, pii, quality, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(_table(spark, sf_dir, "documents")))
 
 
+def op9_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(_table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     gone = linededup.removed_lines(docs).groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("gone"))
@@ -67,7 +71,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_lines", F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce(listed, F.lit("")).alias("removed_lines"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii_sanitisation, op2_benchmark_decontamination, op3_simhash_neardup, op4_chat_formatting, op5_toxicity, op6_best_fit_packing, op7_quality_rules, op8_license_scan, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_pii_sanitisation, op2_benchmark_decontamination, op3_simhash_neardup, op4_chat_formatting, op5_toxicity, op6_best_fit_packing, op7_quality_rules, op8_license_scan, op9_context_mixing, op10_line_dedup)}
 
 #: DuckDB SQL for those queries that SQL can express.
 ORACLES: dict[str, str] = {"op8_license_scan": licenses.oracle_sql()}
