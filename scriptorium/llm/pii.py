@@ -85,13 +85,25 @@ def _near(s: Column, width: int) -> Column:
     return F.concat(F.transform(match_spans(left, TERM), place(s["start"] - F.length(left))), F.transform(match_spans(right, TERM), place(s["end"] - 1)))
 
 
+def _labelled(kind: str) -> Column:
+    """A kind's column of spans as (kind, start, end, value)."""
+    return F.transform(kind, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
+
+
+def _terms(kind: str, width: int) -> Column:
+    """The terms near a kind's spans as (entity, term, start, end)."""
+    entity = lambda s: F.concat(F.lit(kind + ":"), F.lower(s["value"])).alias("entity")
+    near = lambda s: F.transform(_near(s, width), lambda t: F.struct(entity(s), t["term"].alias("term"), t["start"].alias("start"), t["end"].alias("end")))
+    return F.flatten(F.transform(kind, near))
+
+
 def scan(docs: DataFrame, width: int = 80) -> DataFrame:
     """(row_id, doc_id, spans, near): base spans (kind, start, end, value) by kind and place, and the
     terms near them (entity, term, start, end) outside all of them. Written once, without the texts."""
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     found = text.select("doc_id", *(base_spans(F.col("text"), k).alias(k) for k in PATTERNS))
-    spans = F.concat(*(F.transform(k, lambda s, k=k: F.struct(F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"))) for k in PATTERNS))
-    terms = [F.flatten(F.transform(k, lambda s, k=k: F.transform(_near(s, width), lambda t: F.struct(F.concat(F.lit(k + ":"), F.lower(s["value"])).alias("entity"), t["term"].alias("term"), t["start"].alias("start"), t["end"].alias("end"))))) for k in PATTERNS]
+    spans = F.concat(*(_labelled(k) for k in PATTERNS))
+    terms = [_terms(k, width) for k in PATTERNS]
     found = found.select("doc_id", spans.alias("spans"), F.concat(*terms).alias("near"))
     outside = F.filter("near", lambda t: ~F.exists("spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
     return materialise(found.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "spans", outside.alias("near")), "pii")
@@ -138,7 +150,8 @@ def digest(found: DataFrame) -> DataFrame:
     named = lambda s, kind: F.concat_ws(":", kind, s["start"].cast("string"), s["end"].cast("string"))
     base = F.transform("spans", lambda s: named(s, s["kind"]))
     terms = F.transform("terms", lambda t: named(t, F.lit("term")))
-    count = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in PATTERNS]
+    of_kind = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    count = [of_kind(k).alias(f"n_{k}") for k in PATTERNS]
     return found.select("doc_id", *count, F.size("terms").cast("long").alias("n_term"), F.sha2(F.concat_ws(",", base), 256).alias("base_sha256"), F.concat_ws(",", base, terms).alias("spans"))
 
 
