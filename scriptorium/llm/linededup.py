@@ -4,22 +4,27 @@ A line is the set of its words. Two lines match at a Jaccard similarity of
 ``similarity`` or more, and a line with a match that comes earlier (by doc_id,
 then place) is removed. Steps:
 
-1. One pass counts words in a sketch of fixed size and hashes whole lines; lines
-   with equal sets are settled by a join on that hash.
+1. One pass counts words in a sketch of fixed size and settles lines with equal
+   sets by a hash of the set.
 2. Words ordered by the sketch (rarest first, ties by hash) are the same order
-   everywhere, so matching lines share a word of their prefixes. Rows by prefix
-   word, without the lines' words, find lines with a possible partner: sizes,
-   places in the prefix, and a 128-bit parity map that bounds the overlap.
-   Words that very many lines have are joined with each later word of a prefix
-   longer by one, which matching lines share as well.
+   everywhere, so matching lines share a word of their prefixes. Entries by
+   prefix word, without the lines' words, find lines with a possible partner:
+   by sizes, places in the prefix, and a 128-bit parity map that bounds the
+   overlap. Words that very many lines have are joined with each later word of
+   a prefix longer by one, which matching lines share as well.
 3. Only lines with a possible partner are dealt again, with their words, and
-   compared exactly. Each row leaves at most one row; pairs are never sent.
+   compared exactly. Each entry leaves at most one row; pairs are never sent.
+
+Entries are dealt as packed arrays, a row for each bucket and chunk of texts,
+so that Spark moves a few large rows and numpy does the work on entries. A
+word is known by 40 bits of its hash, a set by 128.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,297 +36,394 @@ from ._shared import map_arrow, materialise, text_bytes
 
 SKETCH_BITS = 22
 _PIECE = 1 << 14  # counters of a row of a partial sketch
-_MASK = np.uint64((1 << SKETCH_BITS) - 1)
+_CHUNK = 1 << 20  # bytes of text taken together
+_WORD = np.uint64((1 << 40) - 1)
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_TAILS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def _mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
+    """A 64-bit finaliser (splitmix64)."""
+    h = h + np.uint64((0x9E3779B97F4A7C15 * (salt + 1)) & (2**64 - 1))
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def word_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words of a byte array that has 8 bytes to spare, 8 bytes at a time."""
+    eight = np.ndarray((len(text) - 7,), "<u8", buffer=text, strides=(1,))
+    size = ends - starts
+    h = _mix(size.astype(np.uint64))
+    live = np.arange(len(starts))
+    for k in range(0, int(min(size.max(initial=0), 128)), 8):
+        live = live[size[live] > k]
+        left = np.minimum(size[live] - k, 8)
+        h[live] = _mix(h[live] ^ (eight[starts[live] + k] & _TAILS[left]), 1)
+    for k in np.flatnonzero(size > 128).tolist():
+        h[k] = xxhash.xxh64_intdigest(text[starts[k] : ends[k]].tobytes())
+    return h
+
+
+@dataclass
+class Lines:
+    """Lines of a chunk: document, place, number of different words, and where these begin in ``words``,
+    which are in order of rarity; ``counts`` are their (sketched) numbers of lines."""
+
+    doc: np.ndarray
+    place: np.ndarray
+    size: np.ndarray
+    start: np.ndarray
+    words: np.ndarray
+    counts: np.ndarray | None
+
+    def sums(self) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits for each line's set."""
+        if not len(self.size):
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        one, two = (np.add.reduceat(_mix(self.words, k), self.start) for k in (2, 3))
+        return _mix(one ^ self.size.astype(np.uint64)), _mix(two)
+
+    def parities(self) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits for each line, each the parity of the words that fall to it."""
+        if not len(self.size):
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        bit = np.uint64(1) << (self.words & np.uint64(63))
+        half = (self.words >> np.uint64(6)) & np.uint64(1)
+        return np.bitwise_xor.reduceat(bit * half, self.start), np.bitwise_xor.reduceat(bit * (np.uint64(1) - half), self.start)
+
+    def take(self, keep: np.ndarray) -> Lines:
+        """Those lines only."""
+        size = self.size[keep]
+        start = np.cumsum(size) - size
+        at = np.repeat(self.start[keep] - start, size) + np.arange(size.sum())
+        return Lines(self.doc[keep], self.place[keep], size, start, self.words[at], None if self.counts is None else self.counts[at])
+
+
+def _code(counts: np.ndarray) -> np.ndarray:
+    """Counts in 64 steps that keep their order, 1 (and 0) apart from all others."""
+    return np.minimum(63, np.floor(4 * np.log2(np.maximum(counts, 1)))).astype(np.uint64)
+
+
+def lines_of(docs: list[int], texts: list[bytes], least: int, sketch: np.ndarray | None = None) -> Iterator[Lines]:
+    """The lines with at least ``least`` different words."""
+    text = np.frombuffer(b"\n".join(texts) + b"\n" + bytes(8), np.uint8).copy()
+    body = text[:-8]
+    body[(body >= 65) & (body <= 90)] += 32
+    space = _SPACE[body]
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    if not space[0]:
+        edge = np.append(0, edge)
+    starts, ends = edge[::2], edge[1::2]
+    line = np.cumsum(body == 10)[starts] if len(starts) else starts
+    per_doc = np.array([t.count(b"\n") + 1 for t in texts])
+    total = int(per_doc.sum())
+    enough = np.bincount(line, minlength=total) >= least
+    dense = np.cumsum(enough) - 1
+    use = enough[line] if len(line) else np.zeros(0, bool)
+    h = word_hashes(text, starts[use], ends[use]) & _WORD
+    line = dense[line[use]]
+    owner = np.repeat(np.arange(len(texts)), per_doc)
+    place = np.arange(total) - np.repeat(np.cumsum(per_doc) - per_doc, per_doc)
+    owner, place = owner[enough], place[enough]
+    ids = np.array(docs, np.int64)
+    for low in range(0, len(owner), 1 << 18):  # a sort key has 18 bits for the line
+        a, b = np.searchsorted(line, [low, low + (1 << 18)])
+        words = h[a:b]
+        key = ((line[a:b] - low).astype(np.uint64) << np.uint64(46)) | words
+        if sketch is not None:
+            key |= _code(sketch[(words >> np.uint64(18)).astype(np.int64)]) << np.uint64(40)
+        key = np.sort(key)
+        key = key[np.append(True, key[1:] != key[:-1])]
+        n = len(owner[low : low + (1 << 18)])
+        size = np.bincount((key >> np.uint64(46)).astype(np.int64), minlength=n)
+        words = key & _WORD
+        counts = None if sketch is None else sketch[(words >> np.uint64(18)).astype(np.int64)]
+        found = Lines(ids[owner[low : low + n]], place[low : low + n], size, np.cumsum(size) - size, words, counts)
+        yield found if size.min(initial=least) >= least else found.take(np.flatnonzero(size >= least))
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[bytes]]]:
+    docs, texts, size = [], [], 0
+    for batch in batches:
+        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+            docs.append(doc)
+            texts.append(text.as_py())
+            size += len(texts[-1])
+            if size >= _CHUNK:
+                yield docs, texts
+                docs, texts, size = [], [], 0
+    if docs:
+        yield docs, texts
+
+
+# Packed entries: arrays of one length, one after the other.
+_LINE = (("h1", "<u8"), ("h2", "<u8"), ("doc", "<i8"), ("place", "<i4"))
+_ENTRY = (("key", "<u8"), ("p1", "<u8"), ("p2", "<u8"), ("doc", "<i8"), ("place", "<i4"), ("size", "<u4"), ("at", "<u4"))
+
 
+def _packed(entries: dict[str, np.ndarray], fields: tuple, buckets: int, by: str) -> Iterator[tuple[int, bytes, np.ndarray]]:
+    """Bucket, its packed entries, and which they are."""
+    bucket = (entries[by] % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.append(0, np.cumsum(np.bincount(bucket, minlength=buckets)))
+    for k in np.flatnonzero(np.diff(cuts)).tolist():
+        rows = order[cuts[k] : cuts[k + 1]]
+        yield k, b"".join(entries[f][rows].astype(t).tobytes() for f, t in fields), rows
 
-class _Hashes(dict):
-    """64-bit hashes of words, kept up to a bound."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
+def _unpacked(blobs: list[bytes], fields: tuple) -> dict[str, np.ndarray]:
+    width = sum(np.dtype(t).itemsize for _, t in fields)
+    parts: dict[str, list[np.ndarray]] = {f: [] for f, _ in fields}
+    for blob in blobs:
+        n, at = len(blob) // width, 0
+        for f, t in fields:
+            parts[f].append(np.frombuffer(blob, t, n, at))
+            at += n * np.dtype(t).itemsize
+    return {f: np.concatenate(v) if v else np.zeros(0, dict(fields)[f]) for f, v in parts.items()}
 
 
-def _lines(text: bytes, hashes: _Hashes, least: int) -> Iterator[tuple[int, set[int]]]:
-    """The lines with at least ``least`` different words: place and word hashes."""
-    get = hashes.__getitem__
-    for k, line in enumerate(text.lower().split(b"\n")):
-        words = line.split()
-        if len(words) >= least and len(found := set(map(get, words))) >= least:
-            yield k, found
+def _first_of_equal(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Whether each line is the earliest of those with its set, or stands where that does."""
+    order = np.lexsort((place, doc, h2, h1))
+    new = np.append(True, (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1]))[: len(order)]
+    head = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    first = np.empty(len(order), bool)
+    first[order] = (doc[order] == doc[head]) & (place[order] == place[head])
+    return first
 
 
-def _survey(docs: DataFrame, least: int) -> DataFrame:
-    """Rows of two kinds: pieces of partial sketches, and every line with the hash of its set."""
+def _source(docs: DataFrame) -> DataFrame:
+    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), text_bytes().alias("text"))
+
+
+def _survey(docs: DataFrame, least: int, buckets: int) -> DataFrame:
+    """Rows of three kinds: pieces of partial sketches (0), packed lines by set (1), and lines (doc_id,
+    place) that are no first of their chunk (2)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        hashes, total = _Hashes(), np.zeros(1 << SKETCH_BITS, np.int64)
-        for batch in batches:
-            doc_ids, places, h1, h2, flat = [], [], [], [], []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                for place, words in _lines(text.as_py(), hashes, least):
-                    ids = np.fromiter(words, np.uint64, len(words))
-                    flat.append(ids)
-                    x = xxhash.xxh3_128_intdigest(np.sort(ids).tobytes())
-                    doc_ids.append(doc)
-                    places.append(place)
-                    h1.append((x >> 64) - (1 << 63))
-                    h2.append((x & (2**64 - 1)) - (1 << 63))
-                    if len(flat) > 20_000:
-                        total += np.bincount((np.concatenate(flat) & _MASK).astype(np.int64), minlength=len(total))
-                        flat = []
-            if flat:
-                total += np.bincount((np.concatenate(flat) & _MASK).astype(np.int64), minlength=len(total))
-            n = len(doc_ids)
-            yield {"piece": [None] * n, "counts": [None] * n, "doc_id": doc_ids, "line": places, "h1": h1, "h2": h2}
+        total, held, size = np.zeros(1 << SKETCH_BITS, np.int64), [], 0
+        for ids, texts in _chunks(batches):
+            for lines in lines_of(ids, texts, least):
+                held.append(lines.words >> np.uint64(18))
+                size += len(held[-1])
+                if size > 1 << 21:
+                    total += np.bincount(np.concatenate(held).astype(np.int64), minlength=len(total))
+                    held, size = [], 0
+                h1, h2 = lines.sums()
+                first = _first_of_equal(h1, h2, lines.doc, lines.place)
+                later = ~first
+                entries = {"h1": h1[first], "h2": h2[first], "doc": lines.doc[first], "place": lines.place[first]}
+                out = list(_packed(entries, _LINE, buckets, "h1"))
+                n, m = len(out), int(later.sum())
+                yield {"kind": [1] * n + [2] * m, "bucket": [k for k, _, _ in out] + [None] * m, "data": [d for _, d, _ in out] + [None] * m, "doc_id": [None] * n + lines.doc[later].tolist(), "line": [None] * n + lines.place[later].tolist()}
+        if held:
+            total += np.bincount(np.concatenate(held).astype(np.int64), minlength=len(total))
         parts = np.minimum(total, 65535).astype("<u2").reshape(-1, _PIECE)
-        used = np.flatnonzero(parts.any(1))
+        used = np.flatnonzero(parts.any(1)).tolist()
         no = [None] * len(used)
-        yield {"piece": used, "counts": [parts[k].tobytes() for k in used], "doc_id": no, "line": no, "h1": no, "h2": no}
+        yield {"kind": [0] * len(used), "bucket": used, "data": [parts[k].tobytes() for k in used], "doc_id": no, "line": no}
 
-    source = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), text_bytes().alias("text"))
-    return map_arrow(source, rows, "piece int, counts binary, doc_id long, line int, h1 long, h2 long")
+    return map_arrow(_source(docs), rows, "kind int, bucket int, data binary, doc_id long, line int")
 
 
-def _merged(pieces: DataFrame, wide: bool) -> np.ndarray:
-    """The sum (or, for bits, the union) of partial arrays that come in pieces."""
-    n = (1 << SKETCH_BITS) // _PIECE
+def _merged(pieces: DataFrame, size: int, kind: str) -> np.ndarray:
+    """One array of ``size`` values from partial ones in pieces: counts ("<u2") are added, bits ("u1") united."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
-            for k, data in zip(batch.column("piece").to_pylist(), batch.column("counts")):
-                x = np.frombuffer(data.as_py(), "<u2" if wide else np.uint8)
-                held[k] = (np.minimum(held[k].astype(np.int64) + x, 65535).astype("<u2") if wide else held[k] | x) if k in held else x
-        yield {"piece": list(held), "counts": [v.tobytes() for v in held.values()]}
-
-    merged = map_arrow(pieces.select("piece", "counts").repartition(min(n, 64), "piece"), rows, "piece int, counts binary").collect()
-    if wide:
-        out = np.zeros((n, _PIECE), "<u2")
-        for r in merged:
-            out[r["piece"]] = np.frombuffer(r["counts"], "<u2")
-        return out.ravel()
-    return {r["piece"]: np.frombuffer(r["counts"], np.uint8) for r in merged}
-
-
-def _parity(ids: np.ndarray) -> tuple[int, int]:
-    """128 bits, each the parity of the words that hash to it."""
-    bit = np.uint64(1) << ((ids >> np.uint64(40)) & np.uint64(63))
-    half = ((ids >> np.uint64(47)) & np.uint64(1)).astype(bool)
-    return int(np.bitwise_xor.reduce(bit[half], initial=np.uint64(0))), int(np.bitwise_xor.reduce(bit[~half], initial=np.uint64(0)))
-
-
-def _signed(x: np.ndarray) -> np.ndarray:
-    return np.asarray(x, np.uint64).view(np.int64)
-
-
-def _prefix_keys(ids: np.ndarray, counts: np.ndarray, similarity: float, hot: int) -> tuple[list[int], list[int]]:
-    """Keys of a line whose words are in order, with their places. A word counted once is in no other line."""
-    n = len(ids)
-    first = n - math.ceil(similarity * n - 1e-9) + 1
-    keys, places = [], []
-    for k in range(first):
-        if counts[k] < 2:
-            continue
-        if counts[k] <= hot:
-            keys.append(int(ids[k]))
-            places.append(k)
-        else:
-            for j in range(k + 1, min(first + 1, n)):
-                keys.append(xxhash.xxh64_intdigest(ids[[k, j]].tobytes(), 1))
-                places.append(k)
-            if first + 1 > n:  # one common word is enough to match: it stays a key itself
-                keys.append(int(ids[k]))
-                places.append(k)
-    return keys, places
-
-
-def _keyed(docs: DataFrame, sketch, chosen, least: int, similarity: float, hot: int) -> DataFrame:
-    """A row for each prefix key of each line; with the line's words if ``chosen`` (bits) tells which lines."""
-    names = ("key", "size", "place", "p1", "p2", "doc_id", "line", "words")
+            for k, data in zip(batch.column("bucket").to_pylist(), batch.column("data")):
+                x = np.frombuffer(data.as_py(), kind)
+                if k not in held:
+                    held[k] = x
+                elif kind == "u1":
+                    held[k] = held[k] | x
+                else:
+                    held[k] = np.minimum(held[k].astype(np.int64) + x, 65535).astype(kind)
+        yield {"bucket": list(held), "data": [v.tobytes() for v in held.values()]}
+
+    out = np.zeros((size // _PIECE, _PIECE), kind)
+    for r in map_arrow(pieces.select("bucket", "data").repartition(64, "bucket"), rows, "bucket int, data binary").collect():
+        out[r["bucket"]] = np.frombuffer(r["data"], kind)
+    return out.ravel()
+
+
+def _later_equal(lines: DataFrame, buckets: int) -> DataFrame:
+    """(doc_id, line) of lines whose set an earlier line of another chunk has."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        hashes, counts = _Hashes(), sketch.value
-        bits = chosen.value if chosen else None
-        seen: set[int] = set()
-        for batch in batches:
-            out: dict[str, list] = {k: [] for k in names}
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                if bits is not None and not _has(bits, doc, None):
-                    continue
-                for line, words in _lines(text.as_py(), hashes, least):
-                    if bits is not None and not _has(bits, doc, line):
-                        continue
-                    ids = np.fromiter(words, np.uint64, len(words))
-                    c = counts[(ids & _MASK).astype(np.int64)]
-                    order = np.lexsort((ids, c))
-                    ids, c = ids[order], c[order]
-                    keys, places = _prefix_keys(ids, c, similarity, hot)
-                    if not keys:
-                        continue
-                    n = len(keys)
-                    a, b = _parity(ids)
-                    out["key"] += keys
-                    out["place"] += places
-                    out["size"] += [len(ids)] * n
-                    out["p1"] += [a] * n
-                    out["p2"] += [b] * n
-                    out["doc_id"] += [doc] * n
-                    out["line"] += [line] * n
-                    if bits is not None:
-                        out["words"] += [np.sort(ids).tobytes()] * n
-                if len(out["key"]) > 50_000:
-                    yield _columns(out, bits is None)
-                    out = {k: [] for k in names}
-            yield _columns(out, bits is None)
-
-    source = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), text_bytes().alias("text"))
-    schema = "key long, size int, place int, p1 long, p2 long, doc_id long, line int" + (", words binary" if chosen else "")
-    return map_arrow(source, rows, schema)
-
-
-def _columns(out: dict[str, list], bare: bool) -> dict:
-    found = {k: _signed(np.array(out[k], np.uint64)) for k in ("key", "p1", "p2")} | {k: out[k] for k in ("size", "place", "doc_id", "line")}
-    return found if bare else found | {"words": out["words"]}
-
-
-def _bit(doc: int, line: int | None) -> int:
-    return xxhash.xxh64_intdigest(f"{doc}:{'' if line is None else line}".encode())
-
-
-def _has(bits: dict[int, np.ndarray], doc: int, line: int | None) -> bool:
-    """Whether the line (or, without one, the document) may be marked: bits in pieces, at three places."""
-    h = _bit(doc, line)
-    pieces = bits["n"]
-    for _ in range(3):
-        piece = bits.get((h >> 20) % pieces)
-        if piece is None or not piece[(h & 0x1FFFF) >> 3] >> (h & 7) & 1:
-            return False
-        h = (h * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & (2**64 - 1)
-    return True
-
-
-def _marked(lines: DataFrame, pieces: int) -> DataFrame:
-    """Partial Bloom bits of (doc_id, line) rows and of their documents, in pieces of 16 KiB."""
+        e = _unpacked([d.as_py() for b in batches for d in b.column("data")], _LINE)
+        later = ~_first_of_equal(e["h1"], e["h2"], e["doc"], e["place"])
+        yield {"doc_id": e["doc"][later], "line": e["place"][later]}
+
+    return map_arrow(lines.select("bucket", "data").repartition(buckets, "bucket"), rows, "doc_id long, line int")
+
+
+def prefix_entries(lines: Lines, similarity: float, hot: int) -> dict[str, np.ndarray]:
+    """Keys of the lines' prefixes: key, place in the prefix (at), and line. A word of one line only is no key."""
+    first = lines.size - np.ceil(similarity * lines.size - 1e-9).astype(np.int64) + 1
+    line = np.repeat(np.arange(len(lines.size)), lines.size)
+    at = np.arange(len(line)) - lines.start[line]
+    use = np.flatnonzero((at < first[line]) & (lines.counts > 1))
+    often = lines.counts[use] > hot
+    plain = use[~often]
+    keys, ats, owners = [_mix(lines.words[plain], 5)], [at[plain]], [line[plain]]
+    for k in use[often].tolist():
+        of, stop = line[k], lines.start[line[k]] + min(first[line[k]] + 1, lines.size[line[k]])
+        both = _mix(lines.words[k] ^ _mix(lines.words[k + 1 : stop], 7), 8)
+        if first[of] + 1 > lines.size[of]:  # one common word may be all: it stays a key
+            both = np.append(both, _mix(lines.words[k : k + 1], 5))
+        keys.append(both)
+        ats.append(np.full(len(both), at[k]))
+        owners.append(np.full(len(both), of))
+    return {"key": np.concatenate(keys), "at": np.concatenate(ats), "line": np.concatenate(owners)}
+
+
+def _dealt(docs: DataFrame, sketch, marks, least: int, similarity: float, hot: int, buckets: int) -> DataFrame:
+    """Packed entries by bucket; with the lines' words and only of marked lines if there are ``marks``."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for doc, line in zip(batch.column("doc_id").to_pylist(), batch.column("line").to_pylist()):
-                for h in (_bit(doc, line), _bit(doc, None)):
-                    for _ in range(3):
-                        piece = held.setdefault((h >> 20) % pieces, np.zeros(1 << 14, np.uint8))
-                        piece[(h & 0x1FFFF) >> 3] |= 1 << (h & 7)
-                        h = (h * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & (2**64 - 1)
-        yield {"piece": list(held), "counts": [v.tobytes() for v in held.values()]}
+        bits = marks.value if marks else None
+        for ids, texts in _chunks(batches):
+            if bits is not None:
+                some = _marked(bits, np.array(ids, np.int64), np.full(len(ids), -1)).tolist()
+                ids, texts = [d for d, x in zip(ids, some) if x], [t for t, x in zip(texts, some) if x]
+                if not ids:
+                    continue
+            for lines in lines_of(ids, texts, least, sketch.value):
+                keep = _first_of_equal(*lines.sums(), lines.doc, lines.place)
+                if bits is not None:
+                    keep &= _marked(bits, lines.doc, lines.place)
+                if not keep.any():
+                    continue
+                lines = lines.take(np.flatnonzero(keep))
+                e = prefix_entries(lines, similarity, hot)
+                of = e["line"]
+                p1, p2 = lines.parities()
+                e |= {"p1": p1[of], "p2": p2[of], "doc": lines.doc[of], "place": lines.place[of], "size": lines.size[of]}
+                out = list(_packed(e, _ENTRY, buckets, "key"))
+                words = [None] * len(out)
+                if bits is not None:
+                    words = []
+                    for _, _, which in out:
+                        n = lines.size[of[which]]
+                        at = np.repeat(lines.start[of[which]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                        words.append(lines.words[at].astype("<u8").tobytes())
+                yield {"bucket": [k for k, _, _ in out], "data": [d for _, d, _ in out], "words": words}
 
-    return map_arrow(lines, rows, "piece int, counts binary")
+    return map_arrow(_source(docs), rows, "bucket int, data binary, words binary").repartition(buckets, "bucket")
 
 
-def _groups(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[dict[str, np.ndarray]]:
-    """Whole keys of sorted rows, some thousand rows at a time."""
-    held: dict[str, list] | None = None
-    for batch in batches:
-        now = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
-        if held is not None:
-            now = {c: np.concatenate([held[c], now[c]]) for c in names}
-        if not len(now["key"]):
-            continue
-        cut = int(np.flatnonzero(np.append(True, now["key"][1:] != now["key"][:-1]))[-1])
-        held = {c: now[c][cut:] for c in names}
-        if cut:
-            yield {c: now[c][:cut] for c in names}
-    if held is not None:
-        yield held
-
-
-def _candidates(g: dict[str, np.ndarray], similarity: float, block: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs (i < j) of rows of a key, sorted by size, that may match: by size, place and parity."""
-    key, size, place = g["key"], g["size"].astype(np.int64), g["place"].astype(np.int64)
-    p1, p2 = g["p1"].view(np.uint64), g["p2"].view(np.uint64)
-    group = np.cumsum(np.append(0, key[1:] != key[:-1]))
-    limit = np.floor(size / similarity + 1e-9).astype(np.int64)
-    wide = int(size.max()) + 2
-    # rows j > i of the key with size up to i's limit: one sorted search over (group, size)
-    rank = group * wide + np.minimum(size, wide - 1)
-    n = np.searchsorted(rank, group * wide + np.minimum(limit, wide - 1), side="right") - np.arange(len(key)) - 1
-    at = 0
-    while at < len(key):
-        total = np.cumsum(n[at:])
-        stop = at + max(1, int(np.searchsorted(total, block, side="right")))
-        m = n[at:stop]
-        if k := int(m.sum()):
-            i = np.repeat(np.arange(at, stop), m)
-            j = i + 1 + np.arange(k) - np.repeat(np.cumsum(m) - m, m)
-            need = np.ceil(similarity / (1 + similarity) * (size[i] + size[j]) - 1e-9)
-            ok = np.flatnonzero(np.minimum(size[i] - place[i], size[j] - place[j]) >= need)
-            i, j, need = i[ok], j[ok], need[ok]
-            apart = np.bitwise_count(p1[i] ^ p1[j]).astype(np.int64) + np.bitwise_count(p2[i] ^ p2[j])
-            ok = (size[i] + size[j] - apart) // 2 >= need
-            yield i[ok], j[ok]
-        at = stop
+def _positions(doc: np.ndarray, place: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    h = _mix(doc.astype(np.int64).view(np.uint64) ^ _mix(place.astype(np.int64).view(np.uint64), 9), 10)
+    for k in range(3):
+        yield (_mix(h, 11 + k) & np.uint64(bits - 1)).astype(np.int64)
 
 
-def _distinct_rows(g: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """First rows of runs that agree in key, size, place and parity, and each row's run, for rows sorted by these."""
-    new = np.append(True, np.any([g[c][1:] != g[c][:-1] for c in ("key", "size", "place", "p1", "p2")], axis=0))
-    return np.flatnonzero(new), np.cumsum(new) - 1
+def _marked(marks: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Whether a Bloom filter may hold the lines (place -1: any line of the document)."""
+    found = np.ones(len(doc), bool)
+    for at in _positions(doc, place, 8 * len(marks)):
+        found &= (marks[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+    return found
 
 
-def _possible(rows: DataFrame, similarity: float) -> DataFrame:
-    """(doc_id, line) of the lines with a possible partner, repeats included."""
-    names = ("key", "size", "place", "p1", "p2", "doc_id", "line")
+def _marks(lines: DataFrame, bits: int) -> np.ndarray:
+    """A Bloom filter of (doc_id, line) rows and of their documents."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for g in _groups(batches, names):
-            first, member = _distinct_rows(g)
-            mark = np.bincount(member) > 1
-            for i, j in _candidates({c: g[c][first] for c in names}, similarity):
-                mark[i] = mark[j] = True
-            hit = mark[member]
-            yield {"doc_id": g["doc_id"][hit], "line": g["line"][hit]}
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        part = np.zeros(bits // 8, np.uint8)
+        for batch in batches:
+            doc, place = (batch.column(c).to_numpy() for c in ("doc_id", "line"))
+            for at in (*_positions(doc, place, bits), *_positions(doc, np.full(len(doc), -1), bits)):
+                np.bitwise_or.at(part, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        pieces = part.reshape(-1, _PIECE)
+        used = np.flatnonzero(pieces.any(1)).tolist()
+        yield {"bucket": used, "data": [pieces[k].tobytes() for k in used]}
+
+    return _merged(map_arrow(lines, rows, "bucket int, data binary"), bits // 8, "u1")
+
+
+def candidates(e: dict[str, np.ndarray], similarity: float, block: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (i < j) of entries of a key, sorted by key and size, that may match: by size, place and parity."""
+    if not len(e["key"]):
+        return
+    size, at = e["size"].astype(np.int64), e["at"].astype(np.int64)
+    group = np.cumsum(np.append(0, e["key"][1:] != e["key"][:-1]))
+    limit = np.floor(size / similarity + 1e-9).astype(np.int64)
+    wide = int(limit.max()) + 2
+    n = np.searchsorted(group * wide + size, group * wide + limit, side="right") - np.arange(len(size)) - 1
+    low = 0
+    while low < len(size):
+        stop = low + max(1, int(np.searchsorted(np.cumsum(n[low : low + block]), block, side="right")))
+        m = n[low:stop]
+        if k := int(m.sum()):
+            i = np.repeat(np.arange(low, low + len(m)), m)
+            j = i + 1 + np.arange(k) - np.repeat(np.cumsum(m) - m, m)
+            both = size[i] + size[j]
+            need = np.ceil(similarity / (1 + similarity) * both - 1e-9)
+            ok = np.minimum(size[i] - at[i], size[j] - at[j]) >= need
+            apart = np.bitwise_count(e["p1"][i] ^ e["p1"][j]).astype(np.int64) + np.bitwise_count(e["p2"][i] ^ e["p2"][j])
+            ok &= (both - apart) // 2 >= need
+            yield i[ok], j[ok]
+        low = stop
 
-    ordered = rows.repartition("key").sortWithinPartitions("key", "size", "place", "p1", "p2")
-    return map_arrow(ordered, run, "doc_id long, line int").distinct()
 
+def _possible(dealt: DataFrame, similarity: float) -> DataFrame:
+    """(doc_id, line) of the lines with a possible partner, repeats included."""
 
-def _matched(rows: DataFrame, similarity: float) -> DataFrame:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        e = _unpacked([d.as_py() for b in batches for d in b.column("data")], _ENTRY)
+        order = np.lexsort((e["p2"], e["p1"], e["at"], e["size"], e["key"]))
+        e = {f: v[order] for f, v in e.items()}
+        alike = ("key", "size", "at", "p1", "p2")
+        new = np.append(True, np.any([e[f][1:] != e[f][:-1] for f in alike], axis=0))[: len(order)]
+        member = np.cumsum(new) - 1
+        mark = np.bincount(member) > 1 if len(member) else np.zeros(0, bool)
+        for i, j in candidates({f: e[f][new] for f in alike}, similarity):
+            mark[i] = mark[j] = True
+        hit = mark[member]
+        rows_ = np.unique(np.stack([e["doc"][hit], e["place"][hit].astype(np.int64)], 1), axis=0)
+        yield {"doc_id": rows_[:, 0], "line": rows_[:, 1].astype(np.int32)}
+
+    return map_arrow(dealt.select("bucket", "data"), rows, "doc_id long, line int")
+
+
+def _matched(dealt: DataFrame, similarity: float) -> DataFrame:
     """(doc_id, line) of the lines that match an earlier one, repeats included."""
-    names = ("key", "size", "place", "p1", "p2", "doc_id", "line", "words")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for g in _groups(batches, names):
-            order = np.lexsort((g["line"], g["doc_id"], g["p2"], g["p1"], g["place"], g["size"], g["key"]))
-            g = {c: g[c][order] for c in names}
-            removed = np.zeros(len(order), bool)
-            same: dict[tuple, int] = {}  # rows with equal words: the earliest stands for all
-            for k, at in enumerate(zip(g["key"].tolist(), g["words"])):
-                if same.setdefault(at, k) != k:
-                    removed[k] = (g["doc_id"][k], g["line"][k]) != (g["doc_id"][same[at]], g["line"][same[at]])
-            keep = np.array(sorted(same.values()))
-            part = {c: g[c][keep] for c in names}
-            sets: dict[int, frozenset] = {}
-
-            def words(k: int) -> frozenset:
-                if k not in sets:
-                    sets[k] = frozenset(np.frombuffer(part["words"][k], np.uint64).tolist())  # noqa: B023
-                return sets[k]  # noqa: B023
-
-            for i, j in _candidates(part, similarity):
-                later = (part["doc_id"][i] > part["doc_id"][j]) | ((part["doc_id"][i] == part["doc_id"][j]) & (part["line"][i] > part["line"][j]))
-                equal = (part["doc_id"][i] == part["doc_id"][j]) & (part["line"][i] == part["line"][j])
-                a, b = np.where(later, i, j), np.where(later, j, i)  # a comes after b
-                for x, y in zip(a[~equal].tolist(), b[~equal].tolist()):
-                    if not removed[keep[x]]:
-                        common = len(words(x) & words(y))
-                        if common >= similarity * (part["size"][x] + part["size"][y] - common) - 1e-9:
-                            removed[keep[x]] = True
-            yield {"doc_id": g["doc_id"][removed], "line": g["line"][removed]}
-
-    ordered = rows.repartition("key").sortWithinPartitions("key", "size")
-    return map_arrow(ordered, run, "doc_id long, line int")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        got = [(d.as_py(), w.as_py()) for b in batches for d, w in zip(b.column("data"), b.column("words"))]
+        e = _unpacked([d for d, _ in got], _ENTRY)
+        words = np.concatenate([np.frombuffer(w, "<u8") for _, w in got]) if got else np.zeros(0, np.uint64)
+        start = np.cumsum(e["size"].astype(np.int64)) - e["size"]
+        order = np.lexsort((e["place"], e["doc"], e["size"], e["key"]))
+        e = {f: v[order] for f, v in e.items()}
+        start = start[order]
+        sets: dict[tuple[int, int], frozenset] = {}
+
+        def of(k: int) -> frozenset:
+            line = int(e["doc"][k]), int(e["place"][k])
+            if line not in sets:
+                sets[line] = frozenset(words[start[k] : start[k] + int(e["size"][k])].tolist())
+            return sets[line]
+
+        gone: set[tuple[int, int]] = set()
+        doc, place, size = e["doc"], e["place"], e["size"].tolist()
+        for i, j in candidates(e, similarity):
+            later = (doc[i] > doc[j]) | ((doc[i] == doc[j]) & (place[i] > place[j]))
+            apart = (doc[i] != doc[j]) | (place[i] != place[j])
+            a, b = np.where(later, i, j)[apart], np.where(later, j, i)[apart]  # a comes after b
+            for x, y, line in zip(a.tolist(), b.tolist(), zip(doc[a].tolist(), place[a].tolist())):
+                if line not in gone:
+                    common = len(of(x) & of(y))
+                    if common >= similarity * (size[x] + size[y] - common) - 1e-9:
+                        gone.add(line)
+        yield {"doc_id": [d for d, _ in gone], "line": [p for _, p in gone]}
+
+    return map_arrow(dealt, rows, "doc_id long, line int")
 
 
 def removed_lines(docs: DataFrame, similarity: float = 0.8, min_words: int = 5, hot: int = 20_000) -> DataFrame:
@@ -329,23 +431,21 @@ def removed_lines(docs: DataFrame, similarity: float = 0.8, min_words: int = 5,
 
     Lines with fewer than ``min_words`` different words are left alone: they are
     too short to call a repeat. ``hot`` is the number of lines beyond which a
-    word is keyed together with a second one. Null texts have no line, rows
+    word is keyed together with a second one. There are four buckets for each
+    shuffle partition that the session asks for. Null texts have no line, rows
     without a doc_id keep all of theirs, and rows that repeat a doc_id count as
     one document. An empty table gives no row.
     """
     spark = docs.sparkSession
-    survey = materialise(_survey(docs, min_words), "lines")
-    sketch = spark.sparkContext.broadcast(_merged(survey.where("piece is not null"), True))
-    lines = survey.where("piece is null").select("h1", "h2", "doc_id", "line")
-    order = F.struct("doc_id", "line")
-    first = lines.groupBy("h1", "h2").agg(F.min(order).alias("first"), F.max(order).alias("last")).where("first < last").drop("last")
-    exact = lines.join(first, ["h1", "h2"]).where(order > F.col("first")).select("doc_id", "line")
-    possible = materialise(_possible(_keyed(docs, sketch, None, min_words, similarity, hot), similarity), "possible")
-    n = possible.count()
-    pieces = 1 << max(0, min(13, math.ceil(math.log2(max(1, n) * 32 / (1 << 17)))))  # up to 128 MiB; beyond, more lines pass
-    bits = _merged(_marked(possible, pieces), False) | {"n": pieces}
-    near = _matched(_keyed(docs, sketch, spark.sparkContext.broadcast(bits), min_words, similarity, hot), similarity)
-    return exact.union(near).distinct()
+    buckets = max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    survey = materialise(_survey(docs, min_words, buckets), "lines")
+    sketch = spark.sparkContext.broadcast(_merged(survey.where("kind = 0"), 1 << SKETCH_BITS, "<u2"))
+    equal = survey.where("kind = 2").select("doc_id", "line").union(_later_equal(survey.where("kind = 1"), buckets))
+    possible = materialise(_possible(_dealt(docs, sketch, None, min_words, similarity, hot, buckets), similarity), "possible")
+    bits = 1 << max(17, min(29, math.ceil(math.log2(8 * max(1, possible.count())))))  # up to 64 MiB; beyond, more lines pass
+    marks = spark.sparkContext.broadcast(_marks(possible, bits))
+    near = _matched(_dealt(docs, sketch, marks, min_words, similarity, hot, buckets), similarity)
+    return equal.union(near).distinct()
 
 
 def dedup(docs: DataFrame, **params) -> DataFrame:
