@@ -8,12 +8,12 @@ then place) is removed. Steps:
    sets by a hash of the set.
 2. Words ordered by the sketch (rarest first, ties by hash) are the same order
    everywhere, so matching lines share a word of their prefixes. Entries by
-   prefix word, without the lines' words, find lines with a possible partner:
-   by sizes, places in the prefix, and a 128-bit parity map that bounds the
-   overlap. Words that very many lines have are joined with each later word of
+   prefix word, without the lines' words, find those with a possible partner:
+   by sizes, places in the prefix, and a 64-bit parity map that bounds the
+   overlap. Of lines with equal sets only the earliest takes part. Words that very many lines have are joined with each later word of
    a prefix longer by one, which matching lines share as well.
-3. Only lines with a possible partner are dealt again, with their words, and
-   compared exactly. Each entry leaves at most one row; pairs are never sent.
+3. Only entries with a possible partner are dealt again, with the lines' words,
+   and compared exactly. Each entry leaves at most one row; pairs are never sent.
 
 Entries are dealt as packed arrays, a row for each bucket and chunk of texts,
 so that Spark moves a few large rows and numpy does the work on entries. A
@@ -28,42 +28,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._shared import map_arrow, materialise, text_bytes
+from .hashing import joined, mix, packed, ranges, unpacked, word_hashes, word_places
 
 SKETCH_BITS = 22
 _PIECE = 1 << 14  # counters of a row of a partial sketch
 _CHUNK = 1 << 20  # bytes of text taken together
 _WORD = np.uint64((1 << 40) - 1)
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_TAILS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
-
-
-def _mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
-    """A 64-bit finaliser (splitmix64)."""
-    h = h + np.uint64((0x9E3779B97F4A7C15 * (salt + 1)) & (2**64 - 1))
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def word_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of words of a byte array that has 8 bytes to spare, 8 bytes at a time."""
-    eight = np.ndarray((len(text) - 7,), "<u8", buffer=text, strides=(1,))
-    size = ends - starts
-    h = _mix(size.astype(np.uint64))
-    live = np.arange(len(starts))
-    for k in range(0, int(min(size.max(initial=0), 128)), 8):
-        live = live[size[live] > k]
-        left = np.minimum(size[live] - k, 8)
-        h[live] = _mix(h[live] ^ (eight[starts[live] + k] & _TAILS[left]), 1)
-    for k in np.flatnonzero(size > 128).tolist():
-        h[k] = xxhash.xxh64_intdigest(text[starts[k] : ends[k]].tobytes())
-    return h
+_SHIFTS = np.arange(0, 40, 8)
 
 
 @dataclass
@@ -82,22 +57,20 @@ class Lines:
         """128 bits for each line's set."""
         if not len(self.size):
             return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        one, two = (np.add.reduceat(_mix(self.words, k), self.start) for k in (2, 3))
-        return _mix(one ^ self.size.astype(np.uint64)), _mix(two)
+        one, two = (np.add.reduceat(mix(self.words, k), self.start) for k in (2, 3))
+        return mix(one ^ self.size.astype(np.uint64)), mix(two)
 
-    def parities(self) -> tuple[np.ndarray, np.ndarray]:
-        """128 bits for each line, each the parity of the words that fall to it."""
+    def parities(self) -> np.ndarray:
+        """64 bits for each line, each the parity of the words that fall to it."""
         if not len(self.size):
-            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        bit = np.uint64(1) << (self.words & np.uint64(63))
-        half = (self.words >> np.uint64(6)) & np.uint64(1)
-        return np.bitwise_xor.reduceat(bit * half, self.start), np.bitwise_xor.reduceat(bit * (np.uint64(1) - half), self.start)
+            return np.zeros(0, np.uint64)
+        return np.bitwise_xor.reduceat(np.uint64(1) << (self.words & np.uint64(63)), self.start)
 
     def take(self, keep: np.ndarray) -> Lines:
         """Those lines only."""
         size = self.size[keep]
         start = np.cumsum(size) - size
-        at = np.repeat(self.start[keep] - start, size) + np.arange(size.sum())
+        at = ranges(self.start[keep], size)
         return Lines(self.doc[keep], self.place[keep], size, start, self.words[at], None if self.counts is None else self.counts[at])
 
 
@@ -108,15 +81,9 @@ def _code(counts: np.ndarray) -> np.ndarray:
 
 def lines_of(docs: list[int], texts: list[bytes], least: int, sketch: np.ndarray | None = None) -> Iterator[Lines]:
     """The lines with at least ``least`` different words."""
-    text = np.frombuffer(b"\n".join(texts) + b"\n" + bytes(8), np.uint8).copy()
-    body = text[:-8]
-    body[(body >= 65) & (body <= 90)] += 32
-    space = _SPACE[body]
-    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
-    if not space[0]:
-        edge = np.append(0, edge)
-    starts, ends = edge[::2], edge[1::2]
-    line = np.cumsum(body == 10)[starts] if len(starts) else starts
+    text = joined(texts)
+    starts, ends = word_places(text)
+    line = np.cumsum(text[:-8] == 10)[starts] if len(starts) else starts
     per_doc = np.array([t.count(b"\n") + 1 for t in texts])
     total = int(per_doc.sum())
     enough = np.bincount(line, minlength=total) >= least
@@ -159,29 +126,13 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list
 
 
 # Packed entries: arrays of one length, one after the other.
+_POSSIBLE = (("key", "<u8"), ("doc", "<i8"), ("place", "<i4"))
 _LINE = (("h1", "<u8"), ("h2", "<u8"), ("doc", "<i8"), ("place", "<i4"))
-_ENTRY = (("key", "<u8"), ("p1", "<u8"), ("p2", "<u8"), ("doc", "<i8"), ("place", "<i4"), ("size", "<u4"), ("at", "<u4"))
-
-
-def _packed(entries: dict[str, np.ndarray], fields: tuple, buckets: int, by: str) -> Iterator[tuple[int, bytes, np.ndarray]]:
-    """Bucket, its packed entries, and which they are."""
-    bucket = (entries[by] % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.append(0, np.cumsum(np.bincount(bucket, minlength=buckets)))
-    for k in np.flatnonzero(np.diff(cuts)).tolist():
-        rows = order[cuts[k] : cuts[k + 1]]
-        yield k, b"".join(entries[f][rows].astype(t).tobytes() for f, t in fields), rows
+_ENTRY = (("key", "<u8"), ("parity", "<u8"), ("set", "<u8"), ("doc", "<i8"), ("place", "<i4"), ("size", "<u4"), ("at", "<u4"))
 
 
-def _unpacked(blobs: list[bytes], fields: tuple) -> dict[str, np.ndarray]:
-    width = sum(np.dtype(t).itemsize for _, t in fields)
-    parts: dict[str, list[np.ndarray]] = {f: [] for f, _ in fields}
-    for blob in blobs:
-        n, at = len(blob) // width, 0
-        for f, t in fields:
-            parts[f].append(np.frombuffer(blob, t, n, at))
-            at += n * np.dtype(t).itemsize
-    return {f: np.concatenate(v) if v else np.zeros(0, dict(fields)[f]) for f, v in parts.items()}
+def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
+    return (h % np.uint64(buckets)).astype(np.int64)
 
 
 def _first_of_equal(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -215,7 +166,7 @@ def _survey(docs: DataFrame, least: int, buckets: int) -> DataFrame:
                 first = _first_of_equal(h1, h2, lines.doc, lines.place)
                 later = ~first
                 entries = {"h1": h1[first], "h2": h2[first], "doc": lines.doc[first], "place": lines.place[first]}
-                out = list(_packed(entries, _LINE, buckets, "h1"))
+                out = list(packed(entries, _LINE, _bucket(entries["h1"], buckets), buckets))
                 n, m = len(out), int(later.sum())
                 yield {"kind": [1] * n + [2] * m, "bucket": [k for k, _, _ in out] + [None] * m, "data": [d for _, d, _ in out] + [None] * m, "doc_id": [None] * n + lines.doc[later].tolist(), "line": [None] * n + lines.place[later].tolist()}
         if held:
@@ -254,7 +205,7 @@ def _later_equal(lines: DataFrame, buckets: int) -> DataFrame:
     """(doc_id, line) of lines whose set an earlier line of another chunk has."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        e = _unpacked([d.as_py() for b in batches for d in b.column("data")], _LINE)
+        e = unpacked([d.as_py() for b in batches for d in b.column("data")], _LINE)
         later = ~_first_of_equal(e["h1"], e["h2"], e["doc"], e["place"])
         yield {"doc_id": e["doc"][later], "line": e["place"][later]}
 
@@ -269,12 +220,12 @@ def prefix_entries(lines: Lines, similarity: float, hot: int) -> dict[str, np.nd
     use = np.flatnonzero((at < first[line]) & (lines.counts > 1))
     often = lines.counts[use] > hot
     plain = use[~often]
-    keys, ats, owners = [_mix(lines.words[plain], 5)], [at[plain]], [line[plain]]
+    keys, ats, owners = [mix(lines.words[plain], 5)], [at[plain]], [line[plain]]
     for k in use[often].tolist():
         of, stop = line[k], lines.start[line[k]] + min(first[line[k]] + 1, lines.size[line[k]])
-        both = _mix(lines.words[k] ^ _mix(lines.words[k + 1 : stop], 7), 8)
+        both = mix(lines.words[k] ^ mix(lines.words[k + 1 : stop], 7), 8)
         if first[of] + 1 > lines.size[of]:  # one common word may be all: it stays a key
-            both = np.append(both, _mix(lines.words[k : k + 1], 5))
+            both = np.append(both, mix(lines.words[k : k + 1], 5))
         keys.append(both)
         ats.append(np.full(len(both), at[k]))
         owners.append(np.full(len(both), of))
@@ -282,113 +233,117 @@ def prefix_entries(lines: Lines, similarity: float, hot: int) -> dict[str, np.nd
 
 
 def _dealt(docs: DataFrame, sketch, marks, least: int, similarity: float, hot: int, buckets: int) -> DataFrame:
-    """Packed entries by bucket; with the lines' words and only of marked lines if there are ``marks``."""
+    """Packed entries by bucket; only marked ones, with the lines' words, if there are ``marks``."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         bits = marks.value if marks else None
         for ids, texts in _chunks(batches):
             if bits is not None:
-                some = _marked(bits, np.array(ids, np.int64), np.full(len(ids), -1)).tolist()
+                whole = np.array(ids, np.int64)
+                some = _marked(bits, whole, np.full(len(ids), -1), np.zeros(len(ids), np.uint64)).tolist()
                 ids, texts = [d for d, x in zip(ids, some) if x], [t for t, x in zip(texts, some) if x]
                 if not ids:
                     continue
             for lines in lines_of(ids, texts, least, sketch.value):
-                keep = _first_of_equal(*lines.sums(), lines.doc, lines.place)
-                if bits is not None:
-                    keep &= _marked(bits, lines.doc, lines.place)
-                if not keep.any():
-                    continue
-                lines = lines.take(np.flatnonzero(keep))
+                h1, h2 = lines.sums()
+                keep = np.flatnonzero(_first_of_equal(h1, h2, lines.doc, lines.place))
+                lines, h1 = lines.take(keep), h1[keep]
                 e = prefix_entries(lines, similarity, hot)
                 of = e["line"]
-                p1, p2 = lines.parities()
-                e |= {"p1": p1[of], "p2": p2[of], "doc": lines.doc[of], "place": lines.place[of], "size": lines.size[of]}
-                out = list(_packed(e, _ENTRY, buckets, "key"))
-                words = [None] * len(out)
+                e |= {"parity": lines.parities()[of], "set": h1[of], "doc": lines.doc[of], "place": lines.place[of], "size": lines.size[of]}
                 if bits is not None:
-                    words = []
-                    for _, _, which in out:
-                        n = lines.size[of[which]]
-                        at = np.repeat(lines.start[of[which]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                        words.append(lines.words[at].astype("<u8").tobytes())
+                    hit = np.flatnonzero(_marked(bits, e["doc"], e["place"], e["key"]))
+                    e, of = {f: v[hit] for f, v in e.items()}, of[hit]
+                out = list(packed(e, _ENTRY, _bucket(e["key"], buckets), buckets))
+                words = [None] * len(out)
+                if bits is not None:  # words are 40 bits
+                    words = [lines.words[ranges(lines.start[of[w]], lines.size[of[w]])].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes() for _, _, w in out]
                 yield {"bucket": [k for k, _, _ in out], "data": [d for _, d, _ in out], "words": words}
 
     return map_arrow(_source(docs), rows, "bucket int, data binary, words binary").repartition(buckets, "bucket")
 
 
-def _positions(doc: np.ndarray, place: np.ndarray, bits: int) -> Iterator[np.ndarray]:
-    h = _mix(doc.astype(np.int64).view(np.uint64) ^ _mix(place.astype(np.int64).view(np.uint64), 9), 10)
+def _positions(doc: np.ndarray, place: np.ndarray, key: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    h = mix(doc.astype(np.int64).view(np.uint64) ^ mix(place.astype(np.int64).view(np.uint64) ^ mix(key, 9), 9), 10)
     for k in range(3):
-        yield (_mix(h, 11 + k) & np.uint64(bits - 1)).astype(np.int64)
+        yield (mix(h, 11 + k) & np.uint64(bits - 1)).astype(np.int64)
 
 
-def _marked(marks: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Whether a Bloom filter may hold the lines (place -1: any line of the document)."""
+def _marked(marks: np.ndarray, doc: np.ndarray, place: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether a Bloom filter may hold the entries (place -1 and key 0: any of the document)."""
     found = np.ones(len(doc), bool)
-    for at in _positions(doc, place, 8 * len(marks)):
+    for at in _positions(doc, place, key, 8 * len(marks)):
         found &= (marks[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
     return found
 
 
-def _marks(lines: DataFrame, bits: int) -> np.ndarray:
-    """A Bloom filter of (doc_id, line) rows and of their documents."""
+def _marks(entries: DataFrame, bits: int) -> np.ndarray:
+    """A Bloom filter of packed (doc, place, key) and of their documents."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         part = np.zeros(bits // 8, np.uint8)
         for batch in batches:
-            doc, place = (batch.column(c).to_numpy() for c in ("doc_id", "line"))
-            for at in (*_positions(doc, place, bits), *_positions(doc, np.full(len(doc), -1), bits)):
+            e = unpacked([d.as_py() for d in batch.column("data")], _POSSIBLE)
+            docs = np.unique(e["doc"])
+            for at in (*_positions(e["doc"], e["place"], e["key"], bits), *_positions(docs, np.full(len(docs), -1), np.zeros(len(docs), np.uint64), bits)):
                 np.bitwise_or.at(part, at >> 3, (1 << (at & 7)).astype(np.uint8))
         pieces = part.reshape(-1, _PIECE)
         used = np.flatnonzero(pieces.any(1)).tolist()
         yield {"bucket": used, "data": [pieces[k].tobytes() for k in used]}
 
-    return _merged(map_arrow(lines, rows, "bucket int, data binary"), bits // 8, "u1")
+    return _merged(map_arrow(entries.select("data"), rows, "bucket int, data binary"), bits // 8, "u1")
 
 
-def candidates(e: dict[str, np.ndarray], similarity: float, block: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def candidates(e: dict[str, np.ndarray], similarity: float, block: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (i < j) of entries of a key, sorted by key and size, that may match: by size, place and parity."""
     if not len(e["key"]):
         return
-    size, at = e["size"].astype(np.int64), e["at"].astype(np.int64)
+    size = e["size"].astype(np.int64)
+    rest = size - e["at"].astype(np.int64)
     group = np.cumsum(np.append(0, e["key"][1:] != e["key"][:-1]))
     limit = np.floor(size / similarity + 1e-9).astype(np.int64)
     wide = int(limit.max()) + 2
     n = np.searchsorted(group * wide + size, group * wide + limit, side="right") - np.arange(len(size)) - 1
     low = 0
     while low < len(size):
-        stop = low + max(1, int(np.searchsorted(np.cumsum(n[low : low + block]), block, side="right")))
-        m = n[low:stop]
+        m = n[low : low + max(1, int(np.searchsorted(np.cumsum(n[low : low + block]), block, side="right")))]
         if k := int(m.sum()):
             i = np.repeat(np.arange(low, low + len(m)), m)
             j = i + 1 + np.arange(k) - np.repeat(np.cumsum(m) - m, m)
             both = size[i] + size[j]
-            need = np.ceil(similarity / (1 + similarity) * both - 1e-9)
-            ok = np.minimum(size[i] - at[i], size[j] - at[j]) >= need
-            apart = np.bitwise_count(e["p1"][i] ^ e["p1"][j]).astype(np.int64) + np.bitwise_count(e["p2"][i] ^ e["p2"][j])
-            ok &= (both - apart) // 2 >= need
+            need = np.ceil(similarity / (1 + similarity) * both - 1e-9).astype(np.int64)
+            ok = np.flatnonzero(np.minimum(rest[i], rest[j]) >= need)
+            i, j = i[ok], j[ok]
+            ok = (both[ok] - np.bitwise_count(e["parity"][i] ^ e["parity"][j])) >= 2 * need[ok]
             yield i[ok], j[ok]
-        low = stop
+        low += len(m)
+
+
+def _in_order(blobs: list[bytes]) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The entries of a task, by key and size, without later ones of a key with an equal set; and which they are."""
+    e = unpacked(blobs, _ENTRY)
+    _, which, often = np.unique(mix(e["key"] ^ mix(e["set"], 15), 16), return_inverse=True, return_counts=True)
+    repeats = np.flatnonzero(often[which] > 1) if len(which) else np.zeros(0, np.int64)
+    keep = np.ones(len(e["key"]), bool)
+    if len(repeats):
+        repeats = repeats[np.lexsort((e["place"][repeats], e["doc"][repeats], which[repeats]))]
+        keep[repeats[1:][which[repeats[1:]] == which[repeats[:-1]]]] = False
+    keep = np.flatnonzero(keep)
+    keep = keep[np.lexsort((e["size"][keep], e["key"][keep]))]
+    return {f: v[keep] for f, v in e.items()}, keep
 
 
 def _possible(dealt: DataFrame, similarity: float) -> DataFrame:
-    """(doc_id, line) of the lines with a possible partner, repeats included."""
+    """Packed (key, doc, place) of the entries with a possible partner, and how many."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        e = _unpacked([d.as_py() for b in batches for d in b.column("data")], _ENTRY)
-        order = np.lexsort((e["p2"], e["p1"], e["at"], e["size"], e["key"]))
-        e = {f: v[order] for f, v in e.items()}
-        alike = ("key", "size", "at", "p1", "p2")
-        new = np.append(True, np.any([e[f][1:] != e[f][:-1] for f in alike], axis=0))[: len(order)]
-        member = np.cumsum(new) - 1
-        mark = np.bincount(member) > 1 if len(member) else np.zeros(0, bool)
-        for i, j in candidates({f: e[f][new] for f in alike}, similarity):
+        e, _ = _in_order([d.as_py() for b in batches for d in b.column("data")])
+        mark = np.zeros(len(e["key"]), bool)
+        for i, j in candidates(e, similarity):
             mark[i] = mark[j] = True
-        hit = mark[member]
-        rows_ = np.unique(np.stack([e["doc"][hit], e["place"][hit].astype(np.int64)], 1), axis=0)
-        yield {"doc_id": rows_[:, 0], "line": rows_[:, 1].astype(np.int32)}
+        yield {"data": [b"".join(e[f][mark].astype(t).tobytes() for f, t in _POSSIBLE)], "n": [int(mark.sum())]}
 
-    return map_arrow(dealt.select("bucket", "data"), rows, "doc_id long, line int")
+    return map_arrow(dealt.select("bucket", "data"), rows, "data binary, n long")
 
 
 def _matched(dealt: DataFrame, similarity: float) -> DataFrame:
@@ -396,18 +351,17 @@ def _matched(dealt: DataFrame, similarity: float) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         got = [(d.as_py(), w.as_py()) for b in batches for d, w in zip(b.column("data"), b.column("words"))]
-        e = _unpacked([d for d, _ in got], _ENTRY)
-        words = np.concatenate([np.frombuffer(w, "<u8") for _, w in got]) if got else np.zeros(0, np.uint64)
-        start = np.cumsum(e["size"].astype(np.int64)) - e["size"]
-        order = np.lexsort((e["place"], e["doc"], e["size"], e["key"]))
-        e = {f: v[order] for f, v in e.items()}
-        start = start[order]
+        sizes = unpacked([d for d, _ in got], _ENTRY)["size"].astype(np.int64)
+        e, kept = _in_order([d for d, _ in got])
+        start = (np.cumsum(sizes) - sizes)[kept]
+        five = np.frombuffer(b"".join(w for _, w in got), np.uint8).reshape(-1, 5)
         sets: dict[tuple[int, int], frozenset] = {}
 
         def of(k: int) -> frozenset:
             line = int(e["doc"][k]), int(e["place"][k])
             if line not in sets:
-                sets[line] = frozenset(words[start[k] : start[k] + int(e["size"][k])].tolist())
+                part = five[start[k] : start[k] + int(e["size"][k])].astype(np.int64)
+                sets[line] = frozenset((part << _SHIFTS).sum(1).tolist())
             return sets[line]
 
         gone: set[tuple[int, int]] = set()
@@ -442,7 +396,7 @@ def removed_lines(docs: DataFrame, similarity: float = 0.8, min_words: int = 5,
     sketch = spark.sparkContext.broadcast(_merged(survey.where("kind = 0"), 1 << SKETCH_BITS, "<u2"))
     equal = survey.where("kind = 2").select("doc_id", "line").union(_later_equal(survey.where("kind = 1"), buckets))
     possible = materialise(_possible(_dealt(docs, sketch, None, min_words, similarity, hot, buckets), similarity), "possible")
-    bits = 1 << max(17, min(29, math.ceil(math.log2(8 * max(1, possible.count())))))  # up to 64 MiB; beyond, more lines pass
+    bits = 1 << max(17, min(29, math.ceil(math.log2(8 * max(1, possible.agg(F.sum("n")).first()[0] or 0)))))  # up to 64 MiB; beyond, more entries pass
     marks = spark.sparkContext.broadcast(_marks(possible, bits))
     near = _matched(_dealt(docs, sketch, marks, min_words, similarity, hot, buckets), similarity)
     return equal.union(near).distinct()
