@@ -9,7 +9,7 @@ then place) is removed. Steps:
 2. Words ordered by the sketch (rarest first, ties by hash) are the same order
    everywhere, so matching lines share a word of their prefixes. Entries by
    prefix word, without the lines' words, find those with a possible partner:
-   by sizes, places in the prefix, and a 64-bit parity map that bounds the
+   by sizes, places in the prefix, and a 128-bit parity map that bounds the
    overlap. Of lines with equal sets only the earliest takes part. Words that very many lines have are joined with each later word of
    a prefix longer by one, which matching lines share as well.
 3. Only entries with a possible partner are dealt again, with the lines' words,
@@ -38,7 +38,6 @@ SKETCH_BITS = 22
 _PIECE = 1 << 14  # counters of a row of a partial sketch
 _CHUNK = 1 << 20  # bytes of text taken together
 _WORD = np.uint64((1 << 40) - 1)
-_SHIFTS = np.arange(0, 40, 8)
 
 
 @dataclass
@@ -60,11 +59,13 @@ class Lines:
         one, two = (np.add.reduceat(mix(self.words, k), self.start) for k in (2, 3))
         return mix(one ^ self.size.astype(np.uint64)), mix(two)
 
-    def parities(self) -> np.ndarray:
-        """64 bits for each line, each the parity of the words that fall to it."""
+    def parities(self) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits for each line, each the parity of the words that fall to it."""
         if not len(self.size):
-            return np.zeros(0, np.uint64)
-        return np.bitwise_xor.reduceat(np.uint64(1) << (self.words & np.uint64(63)), self.start)
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        bit = np.uint64(1) << (self.words & np.uint64(63))
+        half = (self.words >> np.uint64(6)) & np.uint64(1)
+        return np.bitwise_xor.reduceat(bit * half, self.start), np.bitwise_xor.reduceat(bit * (np.uint64(1) - half), self.start)
 
     def take(self, keep: np.ndarray) -> Lines:
         """Those lines only."""
@@ -128,7 +129,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list
 # Packed entries: arrays of one length, one after the other.
 _POSSIBLE = (("key", "<u8"), ("doc", "<i8"), ("place", "<i4"))
 _LINE = (("h1", "<u8"), ("h2", "<u8"), ("doc", "<i8"), ("place", "<i4"))
-_ENTRY = (("key", "<u8"), ("parity", "<u8"), ("set", "<u8"), ("doc", "<i8"), ("place", "<i4"), ("size", "<u4"), ("at", "<u4"))
+_ENTRY = (("key", "<u8"), ("p1", "<u8"), ("p2", "<u8"), ("set", "<u8"), ("doc", "<i8"), ("place", "<i4"), ("size", "<u4"), ("at", "<u4"))
 
 
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -250,7 +251,8 @@ def _dealt(docs: DataFrame, sketch, marks, least: int, similarity: float, hot: i
                 lines, h1 = lines.take(keep), h1[keep]
                 e = prefix_entries(lines, similarity, hot)
                 of = e["line"]
-                e |= {"parity": lines.parities()[of], "set": h1[of], "doc": lines.doc[of], "place": lines.place[of], "size": lines.size[of]}
+                p1, p2 = lines.parities()
+                e |= {"p1": p1[of], "p2": p2[of], "set": h1[of], "doc": lines.doc[of], "place": lines.place[of], "size": lines.size[of]}
                 if bits is not None:
                     hit = np.flatnonzero(_marked(bits, e["doc"], e["place"], e["key"]))
                     e, of = {f: v[hit] for f, v in e.items()}, of[hit]
@@ -314,7 +316,8 @@ def candidates(e: dict[str, np.ndarray], similarity: float, block: int = 1 << 19
             need = np.ceil(similarity / (1 + similarity) * both - 1e-9).astype(np.int64)
             ok = np.flatnonzero(np.minimum(rest[i], rest[j]) >= need)
             i, j = i[ok], j[ok]
-            ok = (both[ok] - np.bitwise_count(e["parity"][i] ^ e["parity"][j])) >= 2 * need[ok]
+            apart = np.bitwise_count(e["p1"][i] ^ e["p1"][j]).astype(np.int64) + np.bitwise_count(e["p2"][i] ^ e["p2"][j])
+            ok = both[ok] - apart >= 2 * need[ok]
             yield i[ok], j[ok]
         low += len(m)
 
@@ -346,6 +349,21 @@ def _possible(dealt: DataFrame, similarity: float) -> DataFrame:
     return map_arrow(dealt.select("bucket", "data"), rows, "data binary, n long")
 
 
+def _matching(five: np.ndarray, start: np.ndarray, size: np.ndarray, start2: np.ndarray, size2: np.ndarray, similarity: float, most: int = 1 << 21) -> np.ndarray:
+    """Whether pairs of lines match: words of both sides in order, equal neighbours counted."""
+    out = np.zeros(len(start), bool)
+    total = size + size2
+    for part in np.split(np.arange(len(start)), np.flatnonzero(np.diff(np.cumsum(total) // most)) + 1):
+        pair = np.concatenate([np.repeat(np.arange(len(part)), size[part]), np.repeat(np.arange(len(part)), size2[part])])
+        at = np.concatenate([ranges(start[part], size[part]), ranges(start2[part], size2[part])])
+        words = np.zeros((len(at), 8), np.uint8)
+        words[:, :5] = five[at]
+        key = np.sort(words.view("<u8").ravel() | (pair.astype(np.uint64) << np.uint64(40)))
+        common = np.bincount((key[1:][key[1:] == key[:-1]] >> np.uint64(40)).astype(np.int64), minlength=len(part))
+        out[part] = common >= similarity * (total[part] - common) - 1e-9
+    return out
+
+
 def _matched(dealt: DataFrame, similarity: float) -> DataFrame:
     """(doc_id, line) of the lines that match an earlier one, repeats included."""
 
@@ -355,27 +373,27 @@ def _matched(dealt: DataFrame, similarity: float) -> DataFrame:
         e, kept = _in_order([d for d, _ in got])
         start = (np.cumsum(sizes) - sizes)[kept]
         five = np.frombuffer(b"".join(w for _, w in got), np.uint8).reshape(-1, 5)
-        sets: dict[tuple[int, int], frozenset] = {}
-
-        def of(k: int) -> frozenset:
-            line = int(e["doc"][k]), int(e["place"][k])
-            if line not in sets:
-                part = five[start[k] : start[k] + int(e["size"][k])].astype(np.int64)
-                sets[line] = frozenset((part << _SHIFTS).sum(1).tolist())
-            return sets[line]
-
-        gone: set[tuple[int, int]] = set()
-        doc, place, size = e["doc"], e["place"], e["size"].tolist()
+        doc, place, size = e["doc"], e["place"].astype(np.int64), e["size"].astype(np.int64)
+        _, line = np.unique(mix(doc.view(np.uint64) ^ mix(place.view(np.uint64), 17), 18), return_inverse=True)
+        gone = np.zeros(len(doc), bool)  # by number of the line
         for i, j in candidates(e, similarity):
             later = (doc[i] > doc[j]) | ((doc[i] == doc[j]) & (place[i] > place[j]))
-            apart = (doc[i] != doc[j]) | (place[i] != place[j])
-            a, b = np.where(later, i, j)[apart], np.where(later, j, i)[apart]  # a comes after b
-            for x, y, line in zip(a.tolist(), b.tolist(), zip(doc[a].tolist(), place[a].tolist())):
-                if line not in gone:
-                    common = len(of(x) & of(y))
-                    if common >= similarity * (size[x] + size[y] - common) - 1e-9:
-                        gone.add(line)
-        yield {"doc_id": [d for d, _ in gone], "line": [p for _, p in gone]}
+            a, b = np.where(later, i, j), np.where(later, j, i)  # a comes after b
+            use = np.flatnonzero((line[a] != line[b]) & ~gone[line[a]])
+            use = use[np.lexsort((place[b[use]], doc[b[use]], line[a[use]]))]
+            a, b = a[use], b[use]
+            tries = 1
+            while len(a):  # of each line left, the next candidates; most lines match one of the first
+                head = np.flatnonzero(np.append(True, line[a][1:] != line[a][:-1]))
+                nth = np.arange(len(a)) - np.repeat(head, np.diff(np.append(head, len(a))))
+                now = nth < tries
+                x, y = a[now], b[now]
+                gone[line[x[_matching(five, start[x], size[x], start[y], size[y], similarity)]]] = True
+                left = ~now & ~gone[line[a]]
+                a, b, tries = a[left], b[left], 2 * tries
+        first = np.unique(line[gone[line]], return_index=True)[1]
+        hit = np.flatnonzero(gone[line])[first]
+        yield {"doc_id": doc[hit], "line": place[hit].astype(np.int32)}
 
     return map_arrow(dealt, rows, "doc_id long, line int")
 
