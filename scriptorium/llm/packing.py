@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ._shared import map_arrow, materialise, text_bytes
 
 #: Words whose ids a worker keeps; it starts afresh beyond that, which costs time and no result.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 300_000
 
 
 def _byte_letters() -> dict[int, str]:

@@ -172,7 +172,7 @@ def needs_reading(word: str) -> str:
 class _Stems(dict):
     """The stems of a word's reading that are of use; words are kept up to a bound."""
 
-    def __init__(self, decoder: Decoder, useful: frozenset[str] | None, kept: int = 400_000):
+    def __init__(self, decoder: Decoder, useful: frozenset[str] | None, kept: int = 200_000):
         self.decoder, self.useful, self.kept = decoder, useful, kept
 
     def __missing__(self, word: str) -> tuple[str, ...] | None:
