@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from .plans import aggregates, joins, nested, ranking, reports, rules, search, selection, sources, state, texts
 from .plans.frames import Tables, with_frames
 from .plans.query import FOUND
+from .workers import reach
 
 __all__ = ["ORACLES", "QUERIES", "aggregates", "joins", "nested", "ranking", "reports", "rules", "search", "selection", "sources", "state", "texts"]
 
 
 def _bound(plan: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: plan(Tables(spark, sf_dir))
+    return lambda spark, sf_dir: plan(Tables(reach(spark), sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _bound(plan) for name, (plan, _) in FOUND.items()}
