@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..workers import reach
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
@@ -35,7 +37,7 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
 
 def map_arrow(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
     """``mapInArrow`` for a function that yields column dicts of lists or arrays."""
-    target = df.sparkSession.createDataFrame([], schema).schema
+    target = reach(df.sparkSession).createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(target)
@@ -47,6 +49,12 @@ def map_arrow(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator
     return df.mapInArrow(run, target)
 
 
+def keep_rows(df: DataFrame, keep: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``mapInArrow`` for a function that drops rows and leaves the columns as they are."""
+    reach(df.sparkSession)
+    return df.mapInArrow(keep, df.schema)
+
+
 def text_bytes(name: str = "text") -> Column:
     """A text column as UTF-8 bytes, null as empty."""
     return F.coalesce(F.col(name), F.lit("")).cast("binary")

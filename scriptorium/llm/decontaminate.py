@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import map_arrow
+from ._shared import keep_rows, map_arrow
 
 
 def normalise(text: str | None) -> str:
@@ -165,5 +165,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, piece: int =
             for batch in batches:
                 yield batch.filter(pa.array([not match(t.as_py()) for t in batch.column("text")], pa.bool_()))
 
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = keep_rows(docs, keep)
     return docs

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import crc_mod, map_arrow, text_bytes
+from ._shared import crc_mod, keep_rows, map_arrow, text_bytes
 
 # What look-alikes stand for. A character may also be a separator.
 LOOKALIKES = {
@@ -319,4 +319,4 @@ def reject(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
             texts = (t.as_py() or "" for t in batch.column("text"))
             yield batch.filter(pa.array([sent.value.score(of(t)) < threshold for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return keep_rows(docs, keep)
