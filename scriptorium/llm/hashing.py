@@ -25,13 +25,30 @@ def mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def joined(texts: list[bytes]) -> np.ndarray:
-    """The texts in lower case (A to Z), a line end after each, and 8 bytes to spare."""
-    text = np.frombuffer(b"\n".join(texts) + b"\n" + bytes(8), np.uint8).copy()
-    text[(text >= 65) & (text <= 90)] += 32
+def joined(texts: list[bytes], lower: bool = True) -> np.ndarray:
+    """The texts, in lower case (A to Z) if asked for, a line end after each, and 8 bytes to spare."""
+    text = np.frombuffer(b"\n".join(texts) + b"\n" + bytes(8), np.uint8)
+    if lower:
+        text = text.copy()
+        text[(text >= 65) & (text <= 90)] += 32
     return text
 
 
+def of_texts(starts: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    """Number of the first word of each joined text, and of all."""
+    return np.searchsorted(starts, np.cumsum([0] + [len(t) + 1 for t in texts]))
+
+
+def different(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each different value comes first, and which of them each value is."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    new = np.append(True, key[1:] != key[:-1])[: len(key)]
+    which = np.empty(len(key), np.int32)
+    which[order] = np.cumsum(new, dtype=np.int32) - 1
+    return order[new], which
+
+
 def word_places(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words of joined texts."""
     space = _SPACE[text[:-8]]

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._shared import map_arrow, materialise, text_bytes
+from .hashing import different, joined, of_texts, ranges, word_hashes, word_places
 
 #: Words whose ids a worker keeps; it starts afresh beyond that, which costs time and no result.
 CACHED_WORDS = 300_000
@@ -34,13 +36,20 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in plain)}
 
 
-class _WordIds(dict):
+# What the tokenizer keeps apart in texts of these letters: runs of letters, digits one by
+# one, and runs of others. Texts with an apostrophe (its contractions) or other scripts are left to it.
+_LETTERS = "a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f"
+_UNITS = re.compile(f"[{_LETTERS}]+|[0-9]|[^0-9{_LETTERS}]+")
+_PLAIN = re.compile(f"[\\x00-&(-\\x7f{_LETTERS}]*")
+
+
+class WordIds(dict):
     """Little-endian 32-bit ids of white-space separated words.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its words in order. A word of letters is one unit to it, which
-    its model can take without the steps before; where a trial shows that to
-    differ, every word takes all steps.
+    are those of its words in order. Words of plain letters and signs are cut
+    into its units here, and the units' ids, which are kept, come from its model
+    alone. Where a trial shows that to differ, every word takes all its steps.
     """
 
     def __init__(self, path: str):
@@ -50,43 +59,48 @@ class _WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        trial = ["a", "the", "stthrees", "été", "über", "ñaçß", "zzxqwyk", "of"]
-        self.direct = all(self.of_letters(w.encode()) == self.encode(w.encode()) for w in trial)
+        trial = ["a", "the", "stthrees", "\u00e9t\u00e9", "\u00dcber", "\u00f1a\u00e7\u00df", "zzxqwyk", "of", "A.b,c!!", "12$3", "#%&", "x\x01y"]
+        self.direct = all(self.of_plain(w.lower()) == self.encode(w) for w in trial)
+
+    def of_word(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        low = text.lower()
+        if self.direct and "<|" not in text and _PLAIN.fullmatch(low):
+            return self[low] if low.isalpha() else self.of_plain(low)
+        return self.encode(text)
 
-    def __missing__(self, word: bytes) -> bytes:
+    def of_plain(self, text: str) -> bytes:
+        return b"".join([self[u] for u in _UNITS.findall(text)])
+
+    def __missing__(self, unit: str) -> bytes:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        if b"<|" in word:
-            ids = self.encode(word)
-        elif (low := word.lower()) != word:
-            ids = self[low]
-        elif word[-1:] in (b",", b".") and word[-2:-1].isalpha():
-            ids = self[word[:-1]] + self[word[-1:]]
-        elif self.direct and (word.isalpha() or not word.isascii() and _small_letters(word)):
-            ids = self.of_letters(word)
-        else:
-            ids = self.encode(word)
-        self[word] = ids
+        text = unit if unit.isascii() and unit.isalpha() else unit.encode().decode("latin-1").translate(self.letters)
+        self[unit] = ids = np.array([t.id for t in self.model.tokenize(text)], "<u4").tobytes()
         return ids
 
-    def encode(self, word: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+    def encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def of_letters(self, word: bytes) -> bytes:
-        text = word.decode() if word.isascii() else word.decode("latin-1").translate(self.letters)
-        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(text)])
+    def of_texts(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of each text. Words are looked up once for all texts and dealt out by number."""
+        text = joined(texts, lower=False)
+        starts, ends = word_places(text)
+        first, which = different(word_hashes(text, starts, ends))
+        data = text.tobytes()
+        ids = [self.of_word(data[a:b]) for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        begin, cuts = np.cumsum(size) - size, of_texts(starts, texts)
+        for a, b in zip(cuts, cuts[1:]):
+            own = which[a:b]
+            yield flat[ranges(begin[own], size[own])].tobytes()
 
 
-def _small_letters(word: bytes) -> bool:
-    """Whether these are letters that neither lower case nor composition changes."""
-    text = word.decode("utf-8", "replace")
-    return text.isalpha() and max(text) < "\u0130" and text == text.lower()
+_WORDS: dict[str, WordIds] = {}
 
 
-_WORDS: dict[str, _WordIds] = {}
-
-
-def word_ids(name: str) -> _WordIds:
+def word_ids(name: str) -> WordIds:
     """The worker's word cache for a tokenizer: a path, or a file name of the public set."""
     if name not in _WORDS:
         path = name
@@ -94,10 +108,24 @@ def word_ids(name: str) -> _WordIds:
             import public_tokenizers
 
             path = public_tokenizers.path(name)
-        _WORDS[name] = _WordIds(path)
+        _WORDS[name] = WordIds(path)
     return _WORDS[name]
 
 
+def _chunks(batches: Iterator[pa.RecordBatch], most: int = 6_000_000) -> Iterator[tuple[list[int], list[bytes]]]:
+    docs, texts, size = [], [], 0
+    for batch in batches:
+        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+            docs.append(doc)
+            texts.append(text.as_py())
+            size += len(texts[-1])
+            if size >= most:
+                yield docs, texts
+                docs, texts, size = [], [], 0
+    if docs:
+        yield docs, texts
+
+
 def tokenise(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: int = 2048, end_id: int = 0, with_ids: bool = False) -> DataFrame:
     """Pieces (doc_id, piece, start, length, ids_crc32[, ids]) of every document.
 
@@ -109,11 +137,10 @@ def tokenise(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: in
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         words = word_ids(tokenizer)
-        get = words.__getitem__
-        for batch in batches:
+        for docs_, texts in _chunks(batches):
             out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = b"".join(map(get, text.as_py().split())) + end
+            for doc, ids in zip(docs_, words.of_texts(texts)):
+                ids += end
                 for piece, at in enumerate(range(0, len(ids), capacity * 4)):
                     part = ids[at : at + capacity * 4]
                     out["doc_id"].append(doc)
