@@ -222,8 +222,9 @@ def hex16(column: str):
 def keep_first(docs: DataFrame, **params) -> DataFrame:
     """Documents that are the first of their component: one of each group stays.
 
-    Of rows that repeat the doc_id of a component's first, all stay if their
-    texts are equal to it only by id; give unique ids for one row a group.
+    Rows that repeat a doc_id count as one document and go or stay together.
+    Rows without a doc_id can't be told apart from others and all stay.
     """
-    first = near_duplicates(docs, **params).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(*docs.columns)
+    named = docs.where("doc_id IS NOT NULL")
+    first = near_duplicates(named, **params).where("doc_id = component_id").select("doc_id").distinct()
+    return named.join(first, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))

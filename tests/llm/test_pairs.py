@@ -213,6 +213,9 @@ def test_odd_rows(spark, odd, empty):
     assert S.near_duplicates(odd).count() == n and S.near_duplicates(empty).count() == 0
     by = {(r["doc_id"], r["fp"]): r["component_id"] for r in S.near_duplicates(odd).collect()}
     assert by[(0, 0)] == by[(1, 0)] == by[(2, 0)] == by[(7, 0)] == 0
+    kept = S.keep_first(odd)
+    assert kept.columns == odd.columns and sorted(r["doc_id"] if r["doc_id"] is not None else -1 for r in kept.collect()) == [-1, 0, 3, 5, 6, 8, 10, 11]
+    assert S.keep_first(empty).count() == 0
     assert {tuple(r) for r in L.removed_lines(odd).collect()} == {(9, 0)}
     assert L.dedup(odd).columns == odd.columns and L.dedup(odd).count() == n
     assert L.removed_lines(empty).count() == 0 and L.dedup(empty).count() == 0
