@@ -37,6 +37,7 @@ from .hashing import joined, mix, packed, ranges, unpacked, word_hashes, word_pl
 SKETCH_BITS = 22
 _PIECE = 1 << 14  # counters of a row of a partial sketch
 _CHUNK = 1 << 20  # bytes of text taken together
+_HELD = 1 << 24  # bytes of entries that a task holds before it deals them
 _WORD = np.uint64((1 << 40) - 1)
 
 
@@ -156,6 +157,15 @@ def _survey(docs: DataFrame, least: int, buckets: int) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         total, held, size = np.zeros(1 << SKETCH_BITS, np.int64), [], 0
+        firsts: list[dict[str, np.ndarray]] = []
+        waiting = 0
+
+        def dealt() -> dict:
+            e = {f: np.concatenate([x[f] for x in firsts]) for f, _ in _LINE}
+            out = list(packed(e, _LINE, _bucket(e["h1"], buckets), buckets))
+            no = [None] * len(out)
+            return {"kind": [1] * len(out), "bucket": [k for k, _, _ in out], "data": [d for _, d, _ in out], "doc_id": no, "line": no}
+
         for ids, texts in _chunks(batches):
             for lines in lines_of(ids, texts, least):
                 held.append(lines.words >> np.uint64(18))
@@ -165,11 +175,15 @@ def _survey(docs: DataFrame, least: int, buckets: int) -> DataFrame:
                     held, size = [], 0
                 h1, h2 = lines.sums()
                 first = _first_of_equal(h1, h2, lines.doc, lines.place)
-                later = ~first
-                entries = {"h1": h1[first], "h2": h2[first], "doc": lines.doc[first], "place": lines.place[first]}
-                out = list(packed(entries, _LINE, _bucket(entries["h1"], buckets), buckets))
-                n, m = len(out), int(later.sum())
-                yield {"kind": [1] * n + [2] * m, "bucket": [k for k, _, _ in out] + [None] * m, "data": [d for _, d, _ in out] + [None] * m, "doc_id": [None] * n + lines.doc[later].tolist(), "line": [None] * n + lines.place[later].tolist()}
+                firsts.append({"h1": h1[first], "h2": h2[first], "doc": lines.doc[first], "place": lines.place[first]})
+                waiting += 28 * int(first.sum())
+                if (m := int((~first).sum())):
+                    yield {"kind": [2] * m, "bucket": [None] * m, "data": [None] * m, "doc_id": lines.doc[~first], "line": lines.place[~first].astype(np.int32)}
+            if waiting > _HELD:
+                yield dealt()
+                firsts, waiting = [], 0
+        if firsts:
+            yield dealt()
         if held:
             total += np.bincount(np.concatenate(held).astype(np.int64), minlength=len(total))
         parts = np.minimum(total, 65535).astype("<u2").reshape(-1, _PIECE)
@@ -238,6 +252,20 @@ def _dealt(docs: DataFrame, sketch, marks, least: int, similarity: float, hot: i
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         bits = marks.value if marks else None
+        held: list[dict[str, np.ndarray]] = []
+        texts_of: list[np.ndarray] = []
+        size = 0
+
+        def flush() -> dict:
+            e = {f: np.concatenate([h[f] for h in held]) for f, _ in _ENTRY}
+            out = list(packed(e, _ENTRY, _bucket(e["key"], buckets), buckets))
+            words = [None] * len(out)
+            if bits is not None:
+                n = e["size"].astype(np.int64)
+                five, start = np.concatenate(texts_of), np.cumsum(n) - n
+                words = [five[ranges(start[w], n[w])].tobytes() for _, _, w in out]
+            return {"bucket": [k for k, _, _ in out], "data": [d for _, d, _ in out], "words": words}
+
         for ids, texts in _chunks(batches):
             if bits is not None:
                 whole = np.array(ids, np.int64)
@@ -256,11 +284,16 @@ def _dealt(docs: DataFrame, sketch, marks, least: int, similarity: float, hot: i
                 if bits is not None:
                     hit = np.flatnonzero(_marked(bits, e["doc"], e["place"], e["key"]))
                     e, of = {f: v[hit] for f, v in e.items()}, of[hit]
-                out = list(packed(e, _ENTRY, _bucket(e["key"], buckets), buckets))
-                words = [None] * len(out)
-                if bits is not None:  # words are 40 bits
-                    words = [lines.words[ranges(lines.start[of[w]], lines.size[of[w]])].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes() for _, _, w in out]
-                yield {"bucket": [k for k, _, _ in out], "data": [d for _, d, _ in out], "words": words}
+                    words = lines.words[ranges(lines.start[of], lines.size[of])]  # words are 40 bits
+                    texts_of.append(np.ascontiguousarray(words.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]))
+                    size += texts_of[-1].size
+                held.append({f: e[f].astype(t) for f, t in _ENTRY})
+                size += 52 * len(e["key"])
+            if size > _HELD:
+                yield flush()
+                held, texts_of, size = [], [], 0
+        if held:
+            yield flush()
 
     return map_arrow(_source(docs), rows, "bucket int, data binary, words binary").repartition(buckets, "bucket")
 
