@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._shared import crc_mod, keep_rows, map_arrow, text_bytes
+from .hashing import different, joined, of_texts, word_hashes, word_places
 
 # What look-alikes stand for. A character may also be a separator.
 LOOKALIKES = {
@@ -150,6 +151,9 @@ class Decoder:
 SPACED = re.compile(r"(?<![^\s.,])[a-z0-9@$!|+](?:[ .*_-]{1,2}[a-z0-9@$!|+]){2,}(?![^\s.,;:!?])")
 _EDGES = ".,;:!?\"'()[]{}<>#%&*|$~`^=_/\\-+«»¿¡"
 _TRIPLE = re.compile(r"(.)\1\1")
+_LONE, _PARTING = np.zeros(256, bool), np.zeros(256, bool)
+_LONE[list(b"abcdefghijklmnopqrstuvwxyz0123456789@$!|+.,")] = True
+_PARTING[list(b".,*_-;:!?")] = True
 #: Words are told apart by so many first letters, and features by how often they occur at least.
 STEM, TIMES = 6, (1, 2, 4)
 
@@ -203,8 +207,35 @@ class Features:
         return found
 
     def of(self, text: str) -> set[int]:
+        return self._numbered(self.counts(text))
+
+    def _numbered(self, counts: Counter) -> set[int]:
         has = self.index.get
-        return {k for s, n in self.counts(text).items() for t in TIMES if n >= t and (k := has((s, t))) is not None}
+        return {k for s, n in counts.items() for t in TIMES if n >= t and (k := has((s, t))) is not None}
+
+    def of_texts(self, texts: list[str]) -> list[set[int]]:
+        """The features of each text, as ``of`` gives them: words are read once for all texts, and texts are
+        searched for spaced letters only where three short words stand in a row."""
+        data = [t.lower().encode() for t in texts]
+        text = joined(data, lower=False)
+        starts, ends = word_places(text)
+        cuts = of_texts(starts, data)
+        owner = np.repeat(np.arange(len(texts)), np.diff(cuts))
+        first, which = different(word_hashes(text, starts, ends))
+        whole = text.tobytes()
+        stems = [self.stems[whole[a:b].decode("utf-8", "replace")] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        useful = np.fromiter((x is not None for x in stems), bool, len(stems))
+        counts: dict[int, Counter] = {}
+        hit = np.flatnonzero(useful[which])
+        for doc, word in zip(owner[hit].tolist(), which[hit].tolist()):
+            counts.setdefault(doc, Counter()).update(stems[word])
+        size = ends - starts
+        short = _LONE[text[starts]] & ((size == 1) | (size == 2) & _PARTING[text[starts + 1]])
+        row = short[:-2] & short[1:-1] & short[2:] & (owner[:-2] == owner[2:])
+        for doc in np.unique(owner[:-2][row]).tolist():
+            for m in SPACED.finditer(data[doc].decode()):
+                counts.setdefault(doc, Counter()).update(w[:STEM] for w in self.decoder.read(m[0]).split())
+        return [self._numbered(counts[k]) if k in counts else set() for k in range(len(texts))]
 
 
 @dataclass(frozen=True)
@@ -223,6 +254,17 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
+def _scored(batches: Iterator[pa.RecordBatch], features: Features, most: int = 4_000_000) -> Iterator[tuple[pa.RecordBatch, list[set[int]]]]:
+    """Parts of batches with the features of their texts."""
+    for batch in batches:
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        at = 0
+        for part in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(np.cumsum([len(t) for t in texts]) // most)) + 1):
+            if len(part):
+                yield batch.slice(at, len(part)), features.of_texts(texts[at : at + len(part)])
+                at += len(part)
+
+
 def fit_logistic(x: list[set[int]], y: np.ndarray, n: int, ridge: float = 0.3, rounds: int = 30) -> np.ndarray:
     """Ridge logistic regression by Newton's method; the intercept is last and not penalised."""
     a = np.zeros((len(x), n + 1))
@@ -283,9 +325,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, features: int
     sent = docs.sparkSession.sparkContext.broadcast(plain)
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        of = sent.value.features().of
-        for batch in batches:
-            yield {"toxic": batch.column("toxic"), "f": [sorted(of(t.as_py())) for t in batch.column("text")]}
+        for batch, found in _scored(batches, sent.value.features()):
+            yield {"toxic": batch.column("toxic"), "f": [sorted(f) for f in found]}
 
     got = map_arrow(texts, featured, "toxic int, f array<int>").collect()
     weights = fit_logistic([set(r["f"]) for r in got], np.array([r["toxic"] for r in got], float), len(stems))
@@ -301,9 +342,8 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        of = sent.value.features().of
-        for batch in batches:
-            s = [sent.value.score(of(t.as_py())) for t in batch.column("text")]
+        for batch, found in _scored(batches, sent.value.features()):
+            s = [sent.value.score(f) for f in found]
             yield {"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "score": s, "predicted": [int(x >= 0.5) for x in s]}
 
     return map_arrow(docs.select(F.col("doc_id").cast("long"), (crc_mod("doc_id", 5) == 0).alias("held_out"), F.coalesce("text", F.lit("")).alias("text")), rows, "doc_id long, held_out boolean, score double, predicted int")
@@ -314,9 +354,7 @@ def reject(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = sent.value.features().of
-        for batch in batches:
-            texts = (t.as_py() or "" for t in batch.column("text"))
-            yield batch.filter(pa.array([sent.value.score(of(t)) < threshold for t in texts], pa.bool_()))
+        for batch, found in _scored(batches, sent.value.features()):
+            yield batch.filter(pa.array([sent.value.score(f) < threshold for f in found], pa.bool_()))
 
     return keep_rows(docs, keep)

@@ -281,6 +281,14 @@ def test_scores_find_hidden_words(spark, judged):
     assert {r["doc_id"] for r in toxicity.reject(odd, model).collect()} == {1000 + k for k in range(len(HIDDEN), len(HIDDEN + FAIR))}
 
 
+def test_texts_together_are_read_as_alone(spark, judged):
+    docs, labels, _ = judged
+    features = toxicity.fit(docs, labels).features()
+    texts = HIDDEN + FAIR + ["É È à b c", "i. d. i. o. t. x", "m - o - r - o - n", "a, b, c, d", "x  y\tz", "Ü " * 50, "t r a s h"] + [r["text"] for r in docs.limit(30).collect()]
+    assert features.of_texts(texts) == [features.of(t) for t in texts]
+    assert features.of_texts([]) == []
+
+
 def test_held_out_labels_are_not_learned(spark, judged):
     docs, labels, rows = judged
     turned = spark.createDataFrame([(d, 1 - t if zlib.crc32(str(d).encode()) % 5 == 0 else t) for d, t in rows], "doc_id long, toxic int")
