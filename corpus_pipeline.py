@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptorium.llm import decontaminate, linededup, packing, simhash, toxicity
+from scriptorium.llm import decontaminate, linededup, packing, simhash, similar, toxicity
 from scriptorium.llm._shared import materialise
 
 
@@ -28,8 +28,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near duplicates, by shingles of five words."""
-    return simhash.keep_first(docs, shingle=5)
+    """The first document of each group of near duplicates: a Jaccard similarity of 0.8 or more of five-word shingles."""
+    return simhash.keep_first(docs, similar.similar_documents, shingle=5, similarity=0.8)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

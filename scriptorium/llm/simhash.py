@@ -12,7 +12,7 @@ rows give at most one link fewer than rows, so large groups cost no pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -206,7 +206,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, segmen
     """
     prints = materialise(fingerprints(docs, shingle), "simhash")
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fps")
-    roots = connected_components(links(distinct, distance, segments))
+    return named_components(prints, distinct, links(distinct, distance, segments))
+
+
+def named_components(prints: DataFrame, distinct: DataFrame, links: DataFrame) -> DataFrame:
+    """(doc_id, fp, component_id) of ``prints``, by links of the ``distinct`` (fp, least doc_id)."""
+    roots = connected_components(links)
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = materialise(named, "rooted")
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -219,12 +224,12 @@ def hex16(column: str):
     return F.lpad(F.lower(F.hex(column)), 16, "0")
 
 
-def keep_first(docs: DataFrame, **params) -> DataFrame:
+def keep_first(docs: DataFrame, components: Callable[..., DataFrame] = near_duplicates, **params) -> DataFrame:
     """Documents that are the first of their component: one of each group stays.
 
     Rows that repeat a doc_id count as one document and go or stay together.
     Rows without a doc_id can't be told apart from others and all stay.
     """
     named = docs.where("doc_id IS NOT NULL")
-    first = near_duplicates(named, **params).where("doc_id = component_id").select("doc_id").distinct()
+    first = components(named, **params).where("doc_id = component_id").select("doc_id").distinct()
     return named.join(first, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
