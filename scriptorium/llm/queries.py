@@ -64,7 +64,7 @@ def op9_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    gone = linededup.removed_lines(docs).groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("gone"))
+    gone = linededup.removed_lines(docs, min_words=1).groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("gone"))
     lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long")
     counted = docs.select("doc_id", lines.alias("n_lines")).join(gone, "doc_id", "left")
     listed = F.concat_ws(",", F.transform("gone", lambda x: x.cast("string")))

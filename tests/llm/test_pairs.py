@@ -11,8 +11,10 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import corpus_pipeline
 from scriptorium.llm import decontaminate as D
 from scriptorium.llm import linededup as L
+from scriptorium.llm import queries
 from scriptorium.llm import simhash as S
 from scriptorium.llm.graph import connected_components
 
@@ -152,6 +154,18 @@ def test_dedup_rebuilds_texts(spark, docs):
         assert got[r["doc_id"]]["text"] == want and got[r["doc_id"]]["n_chars"] == len(want)
 
 
+def test_query_and_stage_remove_short_lines(spark, docs, tmp_path):
+    short = [(2000, "all rights reserved.\nmenu\none two three four"), (2001, "All  rights reserved.\n\n\nMenu"), (2002, "reserved. all rights\none two three four five\nmenu x")]
+    df = docs.select("doc_id", "text").union(spark.createDataFrame(short, "doc_id long, text string"))
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    want = slow_removed(df.orderBy("doc_id").collect(), least=1)
+    assert {(2001, 0), (2001, 3), (2002, 0), (2002, 1)} <= want and (2002, 2) not in want
+    listed = queries.op10_line_dedup(spark, str(tmp_path)).collect()
+    assert {(r["doc_id"], int(x)) for r in listed for x in r["removed_lines"].split(",") if x} == want
+    texts = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_repeated_lines(spark, df, "").collect()}
+    assert texts[2001] == "\n" and texts[2002] == "menu x" and texts[2000] == short[0][1]
+
+
 def test_long_words_and_lines(spark):
     long = " ".join("w" * (100 + k) for k in range(60))
     rows = [(1, long), (2, long + " tail"), (3, " ".join(f"t{k}" for k in range(3000))), (4, " ".join(f"t{k}" for k in range(100, 3000)))]
