@@ -138,7 +138,7 @@ class Decoder:
                     key = (x, y, id(at))
                     if key not in new or s > new[key][0]:
                         new[key] = (s, (back, out), at)
-            beam = new if len(new) <= 200 else dict(sorted(new.items(), key=lambda kv: -kv[1][0])[:200])
+            beam = new
         _, back, _ = max(beam.values(), key=lambda v: v[0])
         parts = []
         while back is not None:
@@ -147,13 +147,10 @@ class Decoder:
         return "".join(reversed(parts)).strip()
 
 
-#: Three or more single characters in a row, parted by spaces or separators.
-SPACED = re.compile(r"(?<![^\s.,])[a-z0-9@$!|+](?:[ .*_-]{1,2}[a-z0-9@$!|+]){2,}(?![^\s.,;:!?])")
+#: Three or more single characters in a row, parted by spaces or separators; the whole may stand in brackets or quotes.
+SPACED = re.compile(r"(?<![^\s.,(\[{<\"'`«“‘])(?<!\w[(\[{<\"'`«“‘])[a-z0-9@$!|+](?:[ .*_-]{1,3}[a-z0-9@$!|+]){2,}(?![^\s.,;:!?)\]}>\"'`»”’])(?!['’]\w)")
 _EDGES = ".,;:!?\"'()[]{}<>#%&*|$~`^=_/\\-+«»¿¡"
 _TRIPLE = re.compile(r"(.)\1\1")
-_LONE, _PARTING = np.zeros(256, bool), np.zeros(256, bool)
-_LONE[list(b"abcdefghijklmnopqrstuvwxyz0123456789@$!|+.,")] = True
-_PARTING[list(b".,*_-;:!?")] = True
 #: Words are told apart by so many first letters, and features by how often they occur at least.
 STEM, TIMES = 6, (1, 2, 4)
 
@@ -214,8 +211,7 @@ class Features:
         return {k for s, n in counts.items() for t in TIMES if n >= t and (k := has((s, t))) is not None}
 
     def of_texts(self, texts: list[str]) -> list[set[int]]:
-        """The features of each text, as ``of`` gives them: words are read once for all texts, and texts are
-        searched for spaced letters only where three short words stand in a row."""
+        """The features of each text, as ``of`` gives them: words are read once for all texts."""
         data = [t.lower().encode() for t in texts]
         text = joined(data, lower=False)
         starts, ends = word_places(text)
@@ -229,11 +225,8 @@ class Features:
         hit = np.flatnonzero(useful[which])
         for doc, word in zip(owner[hit].tolist(), which[hit].tolist()):
             counts.setdefault(doc, Counter()).update(stems[word])
-        size = ends - starts
-        short = _LONE[text[starts]] & ((size == 1) | (size == 2) & _PARTING[text[starts + 1]])
-        row = short[:-2] & short[1:-1] & short[2:] & (owner[:-2] == owner[2:])
-        for doc in np.unique(owner[:-2][row]).tolist():
-            for m in SPACED.finditer(data[doc].decode()):
+        for doc, t in enumerate(data):
+            for m in SPACED.finditer(t.decode()):
                 counts.setdefault(doc, Counter()).update(w[:STEM] for w in self.decoder.read(m[0]).split())
         return [self._numbered(counts[k]) if k in counts else set() for k in range(len(texts))]
 

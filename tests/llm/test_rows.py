@@ -289,6 +289,30 @@ def test_texts_together_are_read_as_alone(spark, judged):
     assert features.of_texts([]) == []
 
 
+def test_spaced_words_in_any_setting_are_read_in_batches(spark, judged):
+    docs, labels, _ = judged
+    features = toxicity.fit(docs, labels).features()
+    one = features.index[("idiot", 1)]
+    whole = ["i .d .i .o .t", "i *d *i *o *t", "i d i o t!!", "(i d i o t)", 'said "i d i o t" then', "[i.d.i.o.t]", "i . d . i . o . t"]
+    found = features.of_texts(whole)
+    assert found == [features.of(t) for t in whole]
+    assert [t for t, f in zip(whole, found) if one not in f] == []
+    for t in ["a s s!!", "it's a b c", "f(a b c)", "a b c's"]:
+        assert features.of_texts([t]) == [features.of(t)]
+    assert [m[0] for m in toxicity.SPACED.finditer("it's a b c, (i d i o t) a s s!!")] == ["a b c", "i d i o t", "a s s"]
+
+
+def test_reading_keeps_every_state():
+    class Counted(toxicity.Decoder):
+        def options(self, c, run):
+            return [(x, 0.0 if x == "z" else 1.0) for x in "bcdfghjklmnpqrstvwxyz"]
+
+    #: "zz...z" pays one less at each letter but alone ends well: it has to outlast over 400 better states.
+    model = np.zeros((toxicity.SYMBOLS,) * 3)
+    model[26, 26, 0] = 100.0
+    assert Counted(model).read("1212").endswith("zz")
+
+
 def test_held_out_labels_are_not_learned(spark, judged):
     docs, labels, rows = judged
     turned = spark.createDataFrame([(d, 1 - t if zlib.crc32(str(d).encode()) % 5 == 0 else t) for d, t in rows], "doc_id long, toxic int")
