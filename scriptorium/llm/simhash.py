@@ -5,13 +5,15 @@ at most t bits, then from some segment on every chain of l consecutive segments
 differs in at most l*t/m bits (the strong form of the pigeonring principle).
 For t = 4 and m = 12 the first two segments of that chain agree and of the next
 three at least two do, which gives 36 exact keys of about 21 bits per
-fingerprint; rows that share a key are held to the chain's budgets and then to
-the full Hamming distance. Only distinct fingerprints are compared, and a key's
-rows give at most one link fewer than rows, so large groups cost no pairs.
+fingerprint (a step further: 144 keys of 32 bits); rows that share a key are
+held to the chain's budgets and then to the full Hamming distance. Only distinct
+fingerprints are compared, and the rows of a key give a spanning forest of
+links, so groups cost no pairs.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from itertools import accumulate, combinations
 
@@ -26,6 +28,13 @@ from .graph import connected_components
 
 #: Shingles whose bits are summed at a time.
 _BLOCK = 1 << 15
+#: Rows of a key that one task compares; more are dealt in pairs of blocks.
+GROUP = 1 << 14
+#: Up to so many rows of a key are compared by shifting all keys at once.
+_SMALL = 64
+
+#: Whether bits that differ (third) keep two rows of a key linked; ``which`` numbers the kind of key.
+Linked = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
 def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
@@ -61,36 +70,54 @@ def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame
     return map_arrow(docs.select(F.col("doc_id").cast("long"), text_bytes().alias("text")), rows, "doc_id long, fp long")
 
 
-class Ring:
-    """The segments of a ring, the keys of a fingerprint and the budgets of chains."""
+class Chains:
+    """Proportional budgets of chains of segments: l of ``segments`` may differ in l * distance / segments bits."""
 
-    def __init__(self, distance: int = 4, segments: int = 12):
+    def __init__(self, distance: int, segments: int):
         self.distance, self.m = distance, segments
         cuts = [round(64 * k / segments) for k in range(segments + 1)]
         self.masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts, cuts[1:])]
         self.budgets = [l * distance // segments for l in range(segments + 1)]
-        exact = max(l for l in range(1, segments + 1) if self.budgets[l] == 0) if distance < segments else 0
-        one = max((l for l in range(1, segments + 1) if self.budgets[l] <= 1), default=0)
-        #: Per key: the first segment of its chain and the bits that must agree.
-        self.keys: list[tuple[int, int]] = []
-        if not exact:
-            raise ValueError("take more segments than the distance")
-        for first in range(segments):
-            at = lambda k: self.masks[(first + k) % segments]  # noqa: B023, E731
-            head = sum(at(k) for k in range(exact))
-            rest = range(exact, one)
-            picks = combinations(rest, len(rest) - 1) if len(rest) > 1 else [()]
-            self.keys += [(first, head | sum(at(k) for k in pick)) for pick in picks]
-
-    def chain_ok(self, first: np.ndarray | int, diff: np.ndarray) -> np.ndarray:
-        """Whether every chain from segment ``first`` stays within its budget."""
-        ok = np.ones(len(diff), bool)
-        total = np.zeros(len(diff), np.int64)
+
+    def within(self, first: np.ndarray | int, diff: np.ndarray) -> np.ndarray:
+        """Which of ``diff`` keep every chain from segment ``first`` within its budget; the last chain is the
+        whole, so that is the full Hamming check. Those that fail a chain are not looked at again."""
         masks = np.array(self.masks, np.uint64)
+        left = np.arange(len(diff))
+        total = np.zeros(len(diff), np.int64)
+        first = np.broadcast_to(np.asarray(first), diff.shape)
         for l in range(self.m):
-            total += np.bitwise_count(diff & masks[(first + l) % self.m])
-            ok &= total <= self.budgets[l + 1]
-        return ok
+            total = total + np.bitwise_count(diff[left] & masks[(first[left] + l) % self.m])
+            ok = total <= self.budgets[l + 1]
+            left, total = left[ok], total[ok]
+        return left
+
+
+class Ring(Chains):
+    """Chains on a ring, and the exact keys that some chain within its budgets shares.
+
+    Of a chain's first segments, as many as have a budget of ``depth`` - 1 or
+    less, a key leaves out ``depth`` - 1 in every way that the budgets allow.
+    """
+
+    def __init__(self, distance: int = 4, segments: int = 12, depth: int = 2):
+        super().__init__(distance, segments)
+        if distance >= segments:
+            raise ValueError("take more segments than the distance")
+        depth = min(depth, distance + 1)
+        reach = max(l for l in range(1, segments + 1) if self.budgets[l] < depth)
+        allowed = [out for out in combinations(range(reach), depth - 1) if all(k + 1 <= self.budgets[at + 1] for k, at in enumerate(out))]
+        #: Per key: the first segment of its chain and the bits that must agree.
+        self.keys = [(first, sum(self.masks[(first + k) % segments] for k in range(reach) if k not in out)) for first in range(segments) for out in allowed]
+
+    @classmethod
+    def for_rows(cls, rows: int, distance: int = 4, segments: int = 12) -> Ring:
+        """A ring whose keys have about as many bits as tell ``rows`` apart, so that the work grows as they do."""
+        for depth in range(2, distance + 2):
+            ring = cls(distance, segments, depth)
+            if min(mask.bit_count() for _, mask in ring.keys) + 4 >= math.log2(max(2, rows)):
+                break
+        return ring
 
 
 def _spread(mask: int, salt: int, fps: np.ndarray) -> np.ndarray:
@@ -100,40 +127,126 @@ def _spread(mask: int, salt: int, fps: np.ndarray) -> np.ndarray:
     return ((x * np.uint64(0xBF58476D1CE4E5B9)) ^ np.uint64(salt * 0x94D049BB133111EB & (2**64 - 1))).view(np.int64)
 
 
-def _forest(fps: np.ndarray, linked) -> Iterator[tuple[int, int]]:
-    """Spanning links of a group: a search that tests each reached row against those not reached yet."""
-    left = np.arange(len(fps))
+def spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the links (a, b), taken in order, join what no earlier ones joined."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = x = root.get(up, up)
+        return x
+
+    use = np.zeros(len(a), bool)
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        x, y = find(x), find(y)
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            use[k] = True
+    return use
+
+
+def _forest(bits: np.ndarray, linked: Callable[[np.ndarray], np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """Spanning links (row, rows) of a group: each reached row is tested against those not reached yet."""
+    left = np.arange(len(bits))
     while len(left):
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             k = queue.pop()
-            hit = linked(fps[k] ^ fps[left])
-            if hit.any():
-                for j in left[hit]:
-                    yield int(fps[k]), int(fps[j])
+            hit = linked(bits[k] ^ bits[left])
+            if len(hit):
+                yield int(k), left[hit]
                 queue.extend(left[hit])
-                left = left[~hit]
-
-
-def links_of_group(fps: np.ndarray, distance: int, linked, block: int = 4096) -> Iterator[tuple[int, int]]:
-    """Links that connect what ``linked`` connects. Groups over ``block`` rows are split by
-    distance + 1 pieces of the bits, one of which linked rows share."""
-    if len(fps) <= block:
-        yield from _forest(fps, linked)
-        return
-    cuts = [round(64 * k / (distance + 1)) for k in range(distance + 2)]
-    for a, b in zip(cuts, cuts[1:]):
-        part = (fps >> np.uint64(a)) & np.uint64((1 << (b - a)) - 1)
-        order = np.argsort(part, kind="stable")
-        for rows in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
-            if len(rows) > 1:
-                yield from _forest(fps[rows], linked)
-
-
-def links(distinct: DataFrame, distance: int = 4, segments: int = 12, partitions: int | None = None) -> DataFrame:
+                left = np.delete(left, hit)
+
+
+def pairs_of_groups(edge: np.ndarray, sizes: np.ndarray, which: np.ndarray, bits: np.ndarray, linked: Linked) -> tuple[np.ndarray, np.ndarray]:
+    """Links (rows) that connect what ``linked`` connects in groups of rows, given their first rows and sizes."""
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    small = sizes <= _SMALL
+    for shift in range(1, int(sizes[small].max(initial=0))):  # pairs of all small groups at once
+        fit = small & (sizes > shift)
+        n = sizes[fit] - shift
+        i = np.repeat(edge[fit] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
+        i = i[linked(which[i], bits[i] ^ bits[i + shift])]
+        a.append(i)
+        b.append(i + shift)
+    a, b = np.concatenate(a), np.concatenate(b)
+    use = spanning(a, b)
+    a, b = [a[use]], [b[use]]
+    for s, n in zip(edge[~small].tolist(), sizes[~small].tolist()):
+        kind = which[s : s + 1]
+        for k, rows in _forest(bits[s : s + n], lambda diff: linked(np.broadcast_to(kind, diff.shape), diff)):  # noqa: B023
+            a.append(np.full(len(rows), s + k))
+            b.append(s + rows)
+    return np.concatenate(a), np.concatenate(b)
+
+
+def linked_by_key(rows: DataFrame, linked: Linked, group: int = GROUP, partitions: int | None = None, tag: str = "pairs") -> DataFrame:
+    """(key, a, b): links of ``rows`` (key, which, bits, node) that share a key, a spanning forest for each key.
+
+    A key's rows are compared in one task while there are no more than ``group``.
+    Those of larger keys are only numbered there and dealt again, a task for
+    each pair of blocks of ``group`` rows, so no task holds more than two.
+    """
+    names = ("key", "which", "cell", "bits", "node")
+    schema = "key long, a long, b long, which int, place long"
+
+    def search(most: int):
+        def links(cols: list[np.ndarray], edge: np.ndarray, sizes: np.ndarray) -> dict:
+            a, b = pairs_of_groups(edge, sizes, cols[1], cols[3].view(np.uint64), linked)
+            return {"key": cols[0][a], "which": cols[1][a], "a": cols[4][a], "b": cols[4][b], "place": np.full(len(a), -1)}
+
+        def numbered(cols: list[np.ndarray], first: int) -> dict:
+            return {"key": cols[0], "which": cols[1], "a": cols[3], "b": cols[4], "place": first + np.arange(len(cols[0]))}
+
+        def found(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+            held: list[np.ndarray] = []
+            large, seen = None, 0  # the key that is only numbered, and how many of its rows were
+            for batch in batches:
+                cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
+                cols = [np.concatenate(x) for x in zip(held, cols)] if held else cols
+                if large is not None:
+                    m = int(((cols[0] == large[0]) & (cols[1] == large[1])).sum())
+                    yield numbered([c[:m] for c in cols], seen)
+                    seen, cols = seen + m, [c[m:] for c in cols]
+                    large = None if len(cols[0]) else large
+                held = cols
+                if not len(cols[0]):
+                    continue
+                edge = np.flatnonzero(np.append(True, np.logical_or.reduce([c[1:] != c[:-1] for c in cols[:3]])))
+                sizes = np.diff(np.append(edge, len(cols[0])))
+                for k in np.flatnonzero(sizes[:-1] > most).tolist():
+                    yield numbered([c[edge[k] : edge[k + 1]] for c in cols], 0)
+                fit = np.flatnonzero(sizes[:-1] <= most)
+                if len(fit):
+                    yield links(cols, edge[fit], sizes[fit])
+                held = [c[edge[-1] :] for c in cols]  # the last key may go on
+                if sizes[-1] > most:
+                    yield numbered(held, 0)
+                    large, seen, held = (held[0][0], held[1][0]), int(sizes[-1]), []
+            if held and len(held[0]):
+                yield links(held, np.zeros(1, np.int64), np.array([len(held[0])]))
+
+        return found
+
+    dealt = (rows.repartition(partitions, "key") if partitions else rows.repartition("key")).sortWithinPartitions("key", "which", "node")
+    first = materialise(map_arrow(dealt.withColumn("cell", F.lit(0)), search(group), schema), tag)
+    plain, left = first.where("place < 0").select("key", "a", "b"), first.where("place >= 0")
+    if left.isEmpty():
+        return plain
+    last = left.groupBy("key", "which").agg((F.max("place") / group).cast("int").alias("last"))  # a row for each key of over ``group`` rows
+    own, other = F.floor(F.col("place") / group).cast("int"), F.col("other")
+    cells = left.join(last, ["key", "which"]).withColumn("other", F.explode(F.sequence(F.lit(0), "last"))).where(own != other)
+    cell = (F.least(own, other) * (F.col("last") + 1) + F.greatest(own, other)).alias("cell")
+    cells = cells.select("key", "which", cell, F.col("a").alias("bits"), F.col("b").alias("node")).repartition("key", "which", "cell")
+    return plain.union(map_arrow(cells.sortWithinPartitions("key", "which", "cell"), search(2 * group), schema).select("key", "a", "b"))
+
+
+def links(distinct: DataFrame, distance: int = 4, segments: int = 12, partitions: int | None = None, group: int = GROUP) -> DataFrame:
     """(a, b) links between distinct fingerprints ``fp`` whose components are those of
     all pairs at ``distance`` or fewer bits."""
-    ring = Ring(distance, segments)
+    ring = Ring.for_rows(distinct.count(), distance, segments)
+    firsts = np.array([f for f, _ in ring.keys])
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -142,57 +255,11 @@ def links(distinct: DataFrame, distance: int = 4, segments: int = 12, partitions
                 part = fps[at : at + 4096]
                 keys = np.concatenate([_spread(mask, k, part) for k, (_, mask) in enumerate(ring.keys)])
                 which = np.repeat(np.arange(len(ring.keys), dtype=np.int32), len(part))
-                yield {"key": keys, "which": which, "fp": np.tile(part, len(ring.keys)).view(np.int64)}
-
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        firsts = np.array([f for f, _ in ring.keys])
-
-        def solve(key: np.ndarray, which: np.ndarray, fps: np.ndarray) -> dict:
-            edge = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (which[1:] != which[:-1])))
-            sizes = np.diff(np.append(edge, len(key)))
-            a, b = [], []
-            for shift in range(1, 16):  # groups of up to 16 rows: their pairs, all groups at once
-                fit = (sizes > shift) & (sizes <= 16)
-                if not fit.any():
-                    continue
-                n = sizes[fit] - shift
-                i = np.repeat(edge[fit] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
-                diff = fps[i] ^ fps[i + shift]
-                ok = np.flatnonzero(ring.chain_ok(firsts[which[i]], diff))
-                ok = ok[np.bitwise_count(diff[ok]) <= distance]
-                a.append(fps[i[ok]])
-                b.append(fps[i[ok] + shift])
-            for s, n in zip(edge[sizes > 16], sizes[sizes > 16]):
-                first = int(firsts[which[s]])
-
-                def linked(diff: np.ndarray) -> np.ndarray:
-                    ok = ring.chain_ok(first, diff)  # noqa: B023
-                    return ok & (np.bitwise_count(diff) <= distance)
-
-                if pairs := list(links_of_group(fps[s : s + n], distance, linked)):
-                    x = np.array(pairs, np.uint64)
-                    a.append(x[:, 0])
-                    b.append(x[:, 1])
-            join = lambda x: (np.concatenate(x) if x else np.zeros(0, np.uint64)).view(np.int64)
-            return {"a": join(a), "b": join(b)}
-
-        held: list[np.ndarray] | None = None
-        for batch in batches:
-            now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "which", "fp")]
-            if held is not None:
-                now = [np.concatenate(x) for x in zip(held, now)]
-            if not len(now[0]):
-                continue
-            cut = int(np.flatnonzero(np.append(True, now[0][1:] != now[0][:-1]))[-1])  # the last key may go on
-            held = [x[cut:] for x in now]
-            if cut:
-                yield solve(now[0][:cut], now[1][:cut], now[2][:cut].view(np.uint64))
-        if held is not None:
-            yield solve(held[0], held[1], held[2].view(np.uint64))
-
-    rows = map_arrow(distinct.select("fp"), keyed, "key long, which int, fp long")
-    rows = (rows.repartition(partitions, "key") if partitions else rows.repartition("key")).sortWithinPartitions("key", "which")
-    return map_arrow(rows, found, "a long, b long")
+                same = np.tile(part, len(ring.keys)).view(np.int64)
+                yield {"key": keys, "which": which, "bits": same, "node": same}
+
+    rows = map_arrow(distinct.select("fp"), keyed, "key long, which int, bits long, node long")
+    return linked_by_key(rows, lambda which, diff: ring.within(firsts[which], diff), group, partitions).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, segments: int = 12) -> DataFrame:

@@ -92,13 +92,25 @@ def test_links_find_every_component_among_close_fingerprints(spark):
     assert [find(k) for k in range(len(fps))] == components(fps, list(range(len(fps))), 4)
 
 
-def test_large_groups_are_split_and_lose_no_link():
+def signed(fps: list[int]) -> list[int]:
+    return np.array(fps, np.uint64).view(np.int64).tolist()
+
+
+def test_large_groups_are_split_and_lose_no_link(spark):
     r = random.Random(5)
     base = r.getrandbits(64)
-    fps = np.array(sorted({base ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 3))) for _ in range(300)}), np.uint64)
-    linked = lambda d: np.bitwise_count(d) <= 4
-    one = lambda block: components_of(fps, S.links_of_group(fps, 4, linked, block))
-    assert one(20) == one(10_000) == components([int(x) for x in fps], list(range(len(fps))), 4)
+    fps = sorted({base ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 3))) for _ in range(300)} | {r.getrandbits(64) for _ in range(20)})
+    df = spark.createDataFrame([(x,) for x in signed(fps)], "fp long")
+    want = components(fps, list(range(len(fps))), 4)
+    for group in (20, 10_000):  # keys of over 20 rows are numbered and dealt again in pairs of blocks
+        found = [(a & (2**64 - 1), b & (2**64 - 1)) for a, b in S.links(df, 4, 12, 3, group=group).collect()]
+        assert components_of(fps, found) == want
+    one_key = df.selectExpr("0L as key", "0 as which", "fp as bits", "fp as node")
+    linked = lambda which, diff: np.flatnonzero(np.bitwise_count(diff) <= 4)
+    for group in (7, 70, 1000):
+        found = [(r["a"] & (2**64 - 1), r["b"] & (2**64 - 1)) for r in S.linked_by_key(one_key, linked, group).collect()]
+        assert components_of(fps, found) == want
+        assert len(found) <= len(fps) * (len(fps) // group + 2)  # a forest for each pair of blocks, not all pairs
 
 
 def components_of(fps, links):
@@ -116,11 +128,30 @@ def components_of(fps, links):
     return [find(k) for k in range(len(fps))]
 
 
-def test_ring_keys_cover_every_pair_within_the_distance():
-    ring, r = S.Ring(4, 12), random.Random(1)
-    for _ in range(500):
-        diff = sum(1 << b for b in r.sample(range(64), r.randint(0, 4)))
-        assert any(diff & mask == 0 and ring.chain_ok(first, np.array([diff], np.uint64))[0] for first, mask in ring.keys)
+@pytest.mark.parametrize("distance, segments, depth", [(4, 12, 2), (4, 12, 3), (4, 16, 2), (3, 8, 1), (6, 12, 3)])
+def test_ring_keys_cover_every_pair_within_the_distance(distance, segments, depth):
+    ring, r = S.Ring(distance, segments, depth), random.Random(1)
+    for _ in range(300):
+        diff = sum(1 << b for b in r.sample(range(64), r.randint(0, distance)))
+        assert any(diff & mask == 0 and len(ring.within(first, np.array([diff], np.uint64))) for first, mask in ring.keys)
+
+
+def test_chains_are_pruned_by_every_budget():
+    ring, r = S.Ring(4, 12), random.Random(2)
+    diffs = [sum(1 << b for b in r.sample(range(64), r.randint(0, 7))) for _ in range(2000)]
+    for first in range(12):
+        slow = []
+        for k, d in enumerate(diffs):
+            bits = [(d & ring.masks[(first + l) % 12]).bit_count() for l in range(12)]
+            if all(sum(bits[: l + 1]) <= (l + 1) * 4 // 12 for l in range(12)):
+                slow.append(k)
+        assert ring.within(first, np.array(diffs, np.uint64)).tolist() == slow
+
+
+def test_more_rows_take_longer_keys():
+    few, many = S.Ring.for_rows(1000), S.Ring.for_rows(10**9)
+    assert (len(few.keys), len(many.keys)) == (36, 144)
+    assert min(m.bit_count() for _, m in many.keys) >= 30
 
 
 def test_connected_components(spark):
