@@ -28,7 +28,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near duplicates: a Jaccard similarity of 0.8 or more of five-word shingles."""
+    """The first document of each group of near duplicates: long SimHash fingerprints find candidates, and a
+    Jaccard similarity of 0.8 or more of five-word shingles links them."""
     return simhash.keep_first(docs, similar.similar_documents, shingle=5, similarity=0.8)
 
 
