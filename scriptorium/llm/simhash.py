@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -159,45 +160,86 @@ def _forest(bits: np.ndarray, linked: Callable[[np.ndarray], np.ndarray]) -> Ite
                 left = np.delete(left, hit)
 
 
-def pairs_of_groups(edge: np.ndarray, sizes: np.ndarray, which: np.ndarray, bits: np.ndarray, linked: Linked) -> tuple[np.ndarray, np.ndarray]:
-    """Links (rows) that connect what ``linked`` connects in groups of rows, given their first rows and sizes."""
+def close_pairs(edge: np.ndarray, sizes: np.ndarray, which: np.ndarray, bits: np.ndarray, linked: Linked) -> tuple[np.ndarray, np.ndarray]:
+    """The linked pairs (rows i < j) of groups of rows, given their first rows and sizes."""
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    small = sizes <= _SMALL
-    for shift in range(1, int(sizes[small].max(initial=0))):  # pairs of all small groups at once
-        fit = small & (sizes > shift)
+    for shift in range(1, int(sizes.max(initial=0))):  # pairs of all groups at once
+        fit = sizes > shift
         n = sizes[fit] - shift
         i = np.repeat(edge[fit] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
         i = i[linked(which[i], bits[i] ^ bits[i + shift])]
         a.append(i)
         b.append(i + shift)
-    a, b = np.concatenate(a), np.concatenate(b)
-    use = spanning(a, b)
-    a, b = [a[use]], [b[use]]
-    for s, n in zip(edge[~small].tolist(), sizes[~small].tolist()):
-        kind = which[s : s + 1]
-        for k, rows in _forest(bits[s : s + n], lambda diff: linked(np.broadcast_to(kind, diff.shape), diff)):  # noqa: B023
-            a.append(np.full(len(rows), s + k))
-            b.append(s + rows)
     return np.concatenate(a), np.concatenate(b)
 
 
-def linked_by_key(rows: DataFrame, linked: Linked, group: int = GROUP, partitions: int | None = None, tag: str = "pairs") -> DataFrame:
-    """(key, a, b): links of ``rows`` (key, which, bits, node) that share a key, a spanning forest for each key.
+@dataclass(frozen=True)
+class Forest:
+    """Chooses links that connect what ``linked`` connects."""
+
+    linked: Linked
+
+    def __call__(self, edge: np.ndarray, sizes: np.ndarray, which: np.ndarray, bits: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        small = sizes <= _SMALL
+        a, b = close_pairs(edge[small], sizes[small], which, bits, self.linked)
+        use = spanning(a, b)
+        a, b = [a[use]], [b[use]]
+        for s, n in zip(edge[~small].tolist(), sizes[~small].tolist()):
+            kind = which[s : s + 1]
+            for k, rows in _forest(bits[s : s + n], lambda diff: self.linked(np.broadcast_to(kind, diff.shape), diff)):  # noqa: B023
+                a.append(np.full(len(rows), s + k))
+                b.append(s + rows)
+        a, b = np.concatenate(a), np.concatenate(b)
+        return a, b, np.zeros(len(a), bool)
+
+
+@dataclass(frozen=True)
+class Across:
+    """Chooses, for each row, the first ``tries`` linked rows before it of another root, and says if it had more."""
+
+    linked: Linked
+    tries: int
+
+    def __call__(self, edge: np.ndarray, sizes: np.ndarray, which: np.ndarray, bits: np.ndarray, root: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        small = sizes <= _SMALL
+        i, j = close_pairs(edge[small], sizes[small], which, bits, self.linked)
+        apart = np.flatnonzero(root[i] != root[j])
+        a, b = [i[apart]], [j[apart]]
+        for s, n in zip(edge[~small].tolist(), sizes[~small].tolist()):
+            for k in range(s + 1, s + n):
+                i = s + np.flatnonzero(root[s:k] != root[k])
+                i = i[self.linked(which[i], bits[i] ^ bits[k])]
+                a.append(i)
+                b.append(np.full(len(i), k))
+        a, b = np.concatenate(a), np.concatenate(b)
+        order = np.lexsort((a, b))
+        a, b = a[order], b[order]
+        head = np.flatnonzero(np.append(True, b[1:] != b[:-1])[: len(b)])
+        count = np.diff(np.append(head, len(b)))
+        nth = np.arange(len(b)) - np.repeat(head, count)
+        use = nth < self.tries
+        return a[use], b[use], np.repeat(count > self.tries, count)[use]
+
+
+def pairs_by_key(rows: DataFrame, choose: Forest | Across, group: int = GROUP, partitions: int | None = None, tag: str = "pairs") -> DataFrame:
+    """(key, a, b, more): the pairs of nodes that ``choose`` takes of ``rows`` (key, which, bits, node[, root]) with one key.
 
     A key's rows are compared in one task while there are no more than ``group``.
     Those of larger keys are only numbered there and dealt again, a task for
     each pair of blocks of ``group`` rows, so no task holds more than two.
     """
-    names = ("key", "which", "cell", "bits", "node")
-    schema = "key long, a long, b long, which int, place long"
+    names = ("key", "which", "cell", "bits", "node", "root")
+    schema = "key long, a long, b long, more boolean, which int, root long, place long"
 
     def search(most: int):
-        def links(cols: list[np.ndarray], edge: np.ndarray, sizes: np.ndarray) -> dict:
-            a, b = pairs_of_groups(edge, sizes, cols[1], cols[3].view(np.uint64), linked)
-            return {"key": cols[0][a], "which": cols[1][a], "a": cols[4][a], "b": cols[4][b], "place": np.full(len(a), -1)}
+        def chosen(cols: list[np.ndarray], edge: np.ndarray, sizes: np.ndarray) -> dict:
+            key, which, _, bits, node, root = cols
+            a, b, more = choose(edge, sizes, which, bits.view(np.uint64), root)
+            return {"key": key[a], "a": node[a], "b": node[b], "more": more, "which": which[a], "root": root[a], "place": np.full(len(a), -1)}
 
         def numbered(cols: list[np.ndarray], first: int) -> dict:
-            return {"key": cols[0], "which": cols[1], "a": cols[3], "b": cols[4], "place": first + np.arange(len(cols[0]))}
+            key, which, _, bits, node, root = cols
+            return {"key": key, "a": bits, "b": node, "more": np.zeros(len(key), bool), "which": which, "root": root, "place": first + np.arange(len(key))}
 
         def found(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             held: list[np.ndarray] = []
@@ -219,27 +261,28 @@ def linked_by_key(rows: DataFrame, linked: Linked, group: int = GROUP, partition
                     yield numbered([c[edge[k] : edge[k + 1]] for c in cols], 0)
                 fit = np.flatnonzero(sizes[:-1] <= most)
                 if len(fit):
-                    yield links(cols, edge[fit], sizes[fit])
+                    yield chosen(cols, edge[fit], sizes[fit])
                 held = [c[edge[-1] :] for c in cols]  # the last key may go on
                 if sizes[-1] > most:
                     yield numbered(held, 0)
                     large, seen, held = (held[0][0], held[1][0]), int(sizes[-1]), []
             if held and len(held[0]):
-                yield links(held, np.zeros(1, np.int64), np.array([len(held[0])]))
+                yield chosen(held, np.zeros(1, np.int64), np.array([len(held[0])]))
 
         return found
 
     dealt = (rows.repartition(partitions, "key") if partitions else rows.repartition("key")).sortWithinPartitions("key", "which", "node")
-    first = materialise(map_arrow(dealt.withColumn("cell", F.lit(0)), search(group), schema), tag)
-    plain, left = first.where("place < 0").select("key", "a", "b"), first.where("place >= 0")
+    dealt = dealt.withColumn("cell", F.lit(0)).withColumn("root", F.col("root") if "root" in rows.columns else F.lit(0).cast("long"))
+    first = materialise(map_arrow(dealt, search(group), schema), tag)
+    plain, left = first.where("place < 0").select("key", "a", "b", "more"), first.where("place >= 0")
     if left.isEmpty():
         return plain
     last = left.groupBy("key", "which").agg((F.max("place") / group).cast("int").alias("last"))  # a row for each key of over ``group`` rows
     own, other = F.floor(F.col("place") / group).cast("int"), F.col("other")
     cells = left.join(last, ["key", "which"]).withColumn("other", F.explode(F.sequence(F.lit(0), "last"))).where(own != other)
     cell = (F.least(own, other) * (F.col("last") + 1) + F.greatest(own, other)).alias("cell")
-    cells = cells.select("key", "which", cell, F.col("a").alias("bits"), F.col("b").alias("node")).repartition("key", "which", "cell")
-    return plain.union(map_arrow(cells.sortWithinPartitions("key", "which", "cell"), search(2 * group), schema).select("key", "a", "b"))
+    cells = cells.select("key", "which", cell, F.col("a").alias("bits"), F.col("b").alias("node"), "root").repartition("key", "which", "cell")
+    return plain.union(map_arrow(cells.sortWithinPartitions("key", "which", "cell", "node"), search(2 * group), schema).select("key", "a", "b", "more"))
 
 
 def links(distinct: DataFrame, distance: int = 4, segments: int = 12, partitions: int | None = None, group: int = GROUP) -> DataFrame:
@@ -259,7 +302,7 @@ def links(distinct: DataFrame, distance: int = 4, segments: int = 12, partitions
                 yield {"key": keys, "which": which, "bits": same, "node": same}
 
     rows = map_arrow(distinct.select("fp"), keyed, "key long, which int, bits long, node long")
-    return linked_by_key(rows, lambda which, diff: ring.within(firsts[which], diff), group, partitions).select("a", "b")
+    return pairs_by_key(rows, Forest(lambda which, diff: ring.within(firsts[which], diff)), group, partitions).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, segments: int = 12) -> DataFrame:

@@ -29,7 +29,7 @@ from .bloom import Bloom
 from .graph import connected_components
 from .hashing import joined, mix, of_texts, word_hashes, word_places
 from .linededup import _chunks, _source
-from .simhash import GROUP, Chains, linked_by_key
+from .simhash import GROUP, Across, Chains, Forest, pairs_by_key
 
 #: Bits that follow a segment on the ring, in so many further segments.
 WINDOW, STEPS = 64, 4
@@ -213,41 +213,8 @@ def compared(docs: DataFrame, pairs: DataFrame, shingle: int, similarity: float,
     return map_arrow(dealt, check, "a long, b long, similar boolean")
 
 
-def _across(rows: DataFrame, plan: Segments, tries: int) -> DataFrame:
-    """(key, a, b, more): for each of ``rows`` (key, bits, node, root), sorted by key, the first ``tries``
-    rows before it in its key that pass the chains and have another root; ``more`` if it had others."""
-
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        def solve() -> dict:
-            key, bits, node, root = (np.concatenate(x) for x in zip(*held))
-            a, b, more = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
-            for j in range(1, len(node)):
-                i = np.flatnonzero(root[:j] != root[j])
-                i = i[plan.chains.within(0, bits[i] ^ bits[j])]
-                a.append(node[i[:tries]])
-                b.append(np.full(len(a[-1]), node[j]))
-                more.append(np.full(len(a[-1]), len(i) > tries))
-            a, b, more = np.concatenate(a), np.concatenate(b), np.concatenate(more)
-            return {"key": np.full(len(a), key[0]), "a": a, "b": b, "more": more}
-
-        held: list[list[np.ndarray]] = []
-        for batch in batches:
-            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "bits", "node", "root")]
-            cols[1] = cols[1].view(np.uint64)
-            edge = np.flatnonzero(np.append(True, cols[0][1:] != cols[0][:-1])) if len(cols[0]) else []
-            for x, y in zip(edge, [*edge[1:], len(cols[0])]):
-                if held and held[-1][0][0] != cols[0][x]:
-                    yield solve()
-                    held = []
-                held.append([c[x:y] for c in cols])
-        if held:
-            yield solve()
-
-    return map_arrow(rows.repartition("key").sortWithinPartitions("key", "node"), found, "key long, a long, b long, more boolean")
-
-
-def similar_links(docs: DataFrame, distinct: DataFrame, plan: Segments, shingle: int, similarity: float, group: int = GROUP) -> DataFrame:
-    """(a, b) links whose components are those of all pairs that share a segment and chain and are similar.
+def similar_components(docs: DataFrame, distinct: DataFrame, plan: Segments, shingle: int, similarity: float, group: int = GROUP) -> DataFrame:
+    """(node, root) by links of all pairs that share a segment and chain and are similar.
 
     A segment's rows give a spanning forest of pairs to compare. Where one of
     those is refused, its neighbours in the forest may be joined otherwise: such
@@ -256,21 +223,22 @@ def similar_links(docs: DataFrame, distinct: DataFrame, plan: Segments, shingle:
     """
     keyed = _keyed(distinct, plan)
     linked = lambda which, diff: plan.chains.within(0, diff)
-    offered = materialise(linked_by_key(keyed, linked, group, tag="similar"), "offered")
+    offered = materialise(pairs_by_key(keyed, Forest(linked), group, tag="similar"), "offered")
     known = materialise(compared(docs, offered, shingle, similarity), "compared")
-    refused = known.where("not similar").select("a", "b")
-    again = offered.join(refused, ["a", "b"], "left_semi").select("key").distinct()
+    again = offered.join(known.where("not similar").select("a", "b"), ["a", "b"], "left_semi").select("key").distinct()
+    roots = materialise(connected_components(known.where("similar").select("a", "b")), "roots")
     tries = 8
     while not again.isEmpty():
-        roots = connected_components(known.where("similar").select("a", "b"))
-        rows = keyed.select("key", "bits", "node").join(again, "key", "left_semi")
-        rows = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        offered = materialise(_across(rows, plan, tries), "offered")
-        new = offered.select("a", "b").distinct().join(known, ["a", "b"], "left_anti")
-        known = materialise(known.union(compared(docs, new, shingle, similarity)), "compared")
+        rows = keyed.join(again, "key", "left_semi").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        offered = materialise(pairs_by_key(rows, Across(linked, tries), group, tag="similar"), "offered")
+        new = materialise(compared(docs, offered.select("a", "b").distinct().join(known, ["a", "b"], "left_anti"), shingle, similarity), "compared")
+        joined = new.where("similar").select("a", "b")
+        if not joined.isEmpty():
+            roots = materialise(connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(joined)), "roots")
+        known = known.union(new)
         again = offered.where("more").select("key").distinct()
         tries *= 8
-    return known.where("similar").select("a", "b")
+    return roots
 
 
 def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, miss: float = 0.001, group: int = GROUP) -> DataFrame:
@@ -286,6 +254,6 @@ def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8
     plan = Segments(docs.count(), similarity, miss)
     prints = materialise(_prints(docs, shingle, plan.words), "rings")
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("node"), F.min("ring").alias("ring")), "fps")
-    roots = connected_components(similar_links(docs, distinct, plan, shingle, similarity, group))
+    roots = similar_components(docs, distinct, plan, shingle, similarity, group)
     named = distinct.select("fp", "node").join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
     return prints.select("doc_id", "fp").join(named, "fp").select("doc_id", "fp", "component_id")

@@ -108,7 +108,7 @@ def test_large_groups_are_split_and_lose_no_link(spark):
     one_key = df.selectExpr("0L as key", "0 as which", "fp as bits", "fp as node")
     linked = lambda which, diff: np.flatnonzero(np.bitwise_count(diff) <= 4)
     for group in (7, 70, 1000):
-        found = [(r["a"] & (2**64 - 1), r["b"] & (2**64 - 1)) for r in S.linked_by_key(one_key, linked, group).collect()]
+        found = [(r["a"] & (2**64 - 1), r["b"] & (2**64 - 1)) for r in S.pairs_by_key(one_key, S.Forest(linked), group).collect()]
         assert components_of(fps, found) == want
         assert len(found) <= len(fps) * (len(fps) // group + 2)  # a forest for each pair of blocks, not all pairs
 
