@@ -63,3 +63,11 @@ def text_bytes(name: str = "text") -> Column:
 def crc_mod(column: str, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus``; null ids count as the empty text."""
     return (F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus).cast("int")
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever the case of its names."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name

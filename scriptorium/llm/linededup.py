@@ -4,8 +4,8 @@ A line is the set of its words. Two lines match at a Jaccard similarity of
 ``similarity`` or more, and a line with a match that comes earlier (by doc_id,
 then place) is removed. Steps:
 
-1. One pass counts words in a sketch of fixed size and settles lines with equal
-   sets by a hash of the set.
+1. One pass counts words in a sketch whose size follows from the input's and
+   settles lines with equal sets by a hash of the set.
 2. Words ordered by the sketch (rarest first, ties by hash) are the same order
    everywhere, so matching lines share a word of their prefixes. Entries by
    prefix word, without the lines' words, find those with a possible partner:
@@ -17,7 +17,7 @@ then place) is removed. Steps:
 
 Entries are dealt as packed arrays, a row for each bucket and chunk of texts,
 so that Spark moves a few large rows and numpy does the work on entries. A
-word is known by 40 bits of its hash, a set by 128.
+word is known by 64 bits of its hash, a set by 128.
 """
 
 from __future__ import annotations
@@ -31,27 +31,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import map_arrow, materialise, text_bytes
+from ._shared import map_arrow, materialise, text_bytes, unused
+from .bloom import united_bits
 from .hashing import joined, mix, packed, ranges, unpacked, word_hashes, word_places
 
-SKETCH_BITS = 22
 _PIECE = 1 << 14  # counters of a row of a partial sketch
+_CODES = 8  # steps of a counter's logarithm for each doubling
 _CHUNK = 1 << 20  # bytes of text taken together
 _HELD = 1 << 24  # bytes of entries that a task holds before it deals them
-_WORD = np.uint64((1 << 40) - 1)
+_LINES = 12  # bits of a sort key for the line, before 8 for the counter and the first ones of the word
 
 
 @dataclass
 class Lines:
     """Lines of a chunk: document, place, number of different words, and where these begin in ``words``,
-    which are in order of rarity; ``counts`` are their (sketched) numbers of lines."""
+    which are in order of rarity; ``codes`` stand for their (sketched) numbers of lines."""
 
     doc: np.ndarray
     place: np.ndarray
     size: np.ndarray
     start: np.ndarray
     words: np.ndarray
-    counts: np.ndarray | None
+    codes: np.ndarray | None
 
     def sums(self) -> tuple[np.ndarray, np.ndarray]:
         """128 bits for each line's set."""
@@ -73,16 +74,21 @@ class Lines:
         size = self.size[keep]
         start = np.cumsum(size) - size
         at = ranges(self.start[keep], size)
-        return Lines(self.doc[keep], self.place[keep], size, start, self.words[at], None if self.counts is None else self.counts[at])
+        return Lines(self.doc[keep], self.place[keep], size, start, self.words[at], None if self.codes is None else self.codes[at])
 
 
-def _code(counts: np.ndarray) -> np.ndarray:
-    """Counts in 64 steps that keep their order, 1 (and 0) apart from all others."""
-    return np.minimum(63, np.floor(4 * np.log2(np.maximum(counts, 1)))).astype(np.uint64)
+def code(counts: np.ndarray) -> np.ndarray:
+    """Counts in 256 steps that keep their order, 1 (and 0) apart from all others; the last begins at 2**31.9."""
+    return np.minimum(255, np.floor(_CODES * np.log2(np.maximum(counts, 1)))).astype(np.uint8)
+
+
+def counter(words: np.ndarray, counters: int) -> np.ndarray:
+    """The counter of each word in a sketch of that many (a power of two)."""
+    return (words & np.uint64(counters - 1)).astype(np.int64)
 
 
 def lines_of(docs: list[int], texts: list[bytes], least: int, sketch: np.ndarray | None = None) -> Iterator[Lines]:
-    """The lines with at least ``least`` different words."""
+    """The lines with at least ``least`` different words; ``sketch`` has the codes of the counters."""
     text = joined(texts)
     starts, ends = word_places(text)
     line = np.cumsum(text[:-8] == 10)[starts] if len(starts) else starts
@@ -91,25 +97,28 @@ def lines_of(docs: list[int], texts: list[bytes], least: int, sketch: np.ndarray
     enough = np.bincount(line, minlength=total) >= least
     dense = np.cumsum(enough) - 1
     use = enough[line] if len(line) else np.zeros(0, bool)
-    h = word_hashes(text, starts[use], ends[use]) & _WORD
+    h = word_hashes(text, starts[use], ends[use])
     line = dense[line[use]]
     owner = np.repeat(np.arange(len(texts)), per_doc)
     place = np.arange(total) - np.repeat(np.cumsum(per_doc) - per_doc, per_doc)
     owner, place = owner[enough], place[enough]
     ids = np.array(docs, np.int64)
-    for low in range(0, len(owner), 1 << 18):  # a sort key has 18 bits for the line
-        a, b = np.searchsorted(line, [low, low + (1 << 18)])
-        words = h[a:b]
-        key = ((line[a:b] - low).astype(np.uint64) << np.uint64(46)) | words
-        if sketch is not None:
-            key |= _code(sketch[(words >> np.uint64(18)).astype(np.int64)]) << np.uint64(40)
-        key = np.sort(key)
-        key = key[np.append(True, key[1:] != key[:-1])]
-        n = len(owner[low : low + (1 << 18)])
-        size = np.bincount((key >> np.uint64(46)).astype(np.int64), minlength=n)
-        words = key & _WORD
-        counts = None if sketch is None else sketch[(words >> np.uint64(18)).astype(np.int64)]
-        found = Lines(ids[owner[low : low + n]], place[low : low + n], size, np.cumsum(size) - size, words, counts)
+    for low in range(0, len(owner), 1 << _LINES):
+        a, b = np.searchsorted(line, [low, low + (1 << _LINES)])
+        words, own = h[a:b], (line[a:b] - low).astype(np.uint64)
+        codes = np.zeros(len(words), np.uint8) if sketch is None else sketch[counter(words, len(sketch))]
+        key = (own << np.uint64(64 - _LINES)) | (codes.astype(np.uint64) << np.uint64(56 - _LINES)) | (words >> np.uint64(8 + _LINES))
+        order = np.argsort(key)
+        key, words = key[order], words[order]
+        same = key[1:] == key[:-1]
+        if np.any(same & (words[1:] != words[:-1])):  # words that agree in the first bits are ordered by the rest
+            order = order[np.lexsort((words, key))]
+            words = h[a:b][order]
+            same = (own[order][1:] == own[order][:-1]) & (words[1:] == words[:-1])
+        keep = np.append(True, ~same)[: len(words)]
+        n = len(owner[low : low + (1 << _LINES)])
+        size = np.bincount(own[order][keep].astype(np.int64), minlength=n)
+        found = Lines(ids[owner[low : low + n]], place[low : low + n], size, np.cumsum(size) - size, words[keep], codes[order][keep] if sketch is not None else None)
         yield found if size.min(initial=least) >= least else found.take(np.flatnonzero(size >= least))
 
 
@@ -151,15 +160,20 @@ def _source(docs: DataFrame) -> DataFrame:
     return docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), text_bytes().alias("text"))
 
 
-def _survey(docs: DataFrame, least: int, buckets: int) -> DataFrame:
+def _survey(docs: DataFrame, least: int, buckets: int, counters: int) -> DataFrame:
     """Rows of three kinds: pieces of partial sketches (0), packed lines by set (1), and lines (doc_id,
     place) that are no first of their chunk (2)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        total, held, size = np.zeros(1 << SKETCH_BITS, np.int64), [], 0
+        total, held, size = np.zeros(counters, np.uint32), [], 0
         firsts: list[dict[str, np.ndarray]] = []
         waiting = 0
 
+        def add() -> None:
+            at = np.sort(np.concatenate(held))
+            first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+            total[at[first]] += np.diff(np.append(first, len(at))).astype(np.uint32)
+
         def dealt() -> dict:
             e = {f: np.concatenate([x[f] for x in firsts]) for f, _ in _LINE}
             out = list(packed(e, _LINE, _bucket(e["h1"], buckets), buckets))
@@ -168,10 +182,10 @@ def _survey(docs: DataFrame, least: int, buckets: int) -> DataFrame:
 
         for ids, texts in _chunks(batches):
             for lines in lines_of(ids, texts, least):
-                held.append(lines.words >> np.uint64(18))
+                held.append(counter(lines.words, counters))
                 size += len(held[-1])
                 if size > 1 << 21:
-                    total += np.bincount(np.concatenate(held).astype(np.int64), minlength=len(total))
+                    add()
                     held, size = [], 0
                 h1, h2 = lines.sums()
                 first = _first_of_equal(h1, h2, lines.doc, lines.place)
@@ -185,8 +199,8 @@ def _survey(docs: DataFrame, least: int, buckets: int) -> DataFrame:
         if firsts:
             yield dealt()
         if held:
-            total += np.bincount(np.concatenate(held).astype(np.int64), minlength=len(total))
-        parts = np.minimum(total, 65535).astype("<u2").reshape(-1, _PIECE)
+            add()
+        parts = total.astype("<u4").reshape(-1, _PIECE)
         used = np.flatnonzero(parts.any(1)).tolist()
         no = [None] * len(used)
         yield {"kind": [0] * len(used), "bucket": used, "data": [parts[k].tobytes() for k in used], "doc_id": no, "line": no}
@@ -194,25 +208,19 @@ def _survey(docs: DataFrame, least: int, buckets: int) -> DataFrame:
     return map_arrow(_source(docs), rows, "kind int, bucket int, data binary, doc_id long, line int")
 
 
-def _merged(pieces: DataFrame, size: int, kind: str) -> np.ndarray:
-    """One array of ``size`` values from partial ones in pieces: counts ("<u2") are added, bits ("u1") united."""
+def _codes(pieces: DataFrame, counters: int) -> np.ndarray:
+    """The codes of the counters, whose partial counts are in pieces: a byte each reaches the driver."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, data in zip(batch.column("bucket").to_pylist(), batch.column("data")):
-                x = np.frombuffer(data.as_py(), kind)
-                if k not in held:
-                    held[k] = x
-                elif kind == "u1":
-                    held[k] = held[k] | x
-                else:
-                    held[k] = np.minimum(held[k].astype(np.int64) + x, 65535).astype(kind)
-        yield {"bucket": list(held), "data": [v.tobytes() for v in held.values()]}
-
-    out = np.zeros((size // _PIECE, _PIECE), kind)
+                held[k] = held.get(k, np.int64(0)) + np.frombuffer(data.as_py(), "<u4")
+        yield {"bucket": list(held), "data": [code(v).tobytes() for v in held.values()]}
+
+    out = np.zeros((counters // _PIECE, _PIECE), np.uint8)
     for r in map_arrow(pieces.select("bucket", "data").repartition(64, "bucket"), rows, "bucket int, data binary").collect():
-        out[r["bucket"]] = np.frombuffer(r["data"], kind)
+        out[r["bucket"]] = np.frombuffer(r["data"], np.uint8)
     return out.ravel()
 
 
@@ -232,8 +240,8 @@ def prefix_entries(lines: Lines, similarity: float, hot: int) -> dict[str, np.nd
     first = lines.size - np.ceil(similarity * lines.size - 1e-9).astype(np.int64) + 1
     line = np.repeat(np.arange(len(lines.size)), lines.size)
     at = np.arange(len(line)) - lines.start[line]
-    use = np.flatnonzero((at < first[line]) & (lines.counts > 1))
-    often = lines.counts[use] > hot
+    use = np.flatnonzero((at < first[line]) & (lines.codes > 0))
+    often = lines.codes[use] > code(np.array([hot]))[0]
     plain = use[~often]
     keys, ats, owners = [mix(lines.words[plain], 5)], [at[plain]], [line[plain]]
     for k in use[often].tolist():
@@ -262,8 +270,8 @@ def _dealt(docs: DataFrame, sketch, marks, least: int, similarity: float, hot: i
             words = [None] * len(out)
             if bits is not None:
                 n = e["size"].astype(np.int64)
-                five, start = np.concatenate(texts_of), np.cumsum(n) - n
-                words = [five[ranges(start[w], n[w])].tobytes() for _, _, w in out]
+                flat, start = np.concatenate(texts_of), np.cumsum(n) - n
+                words = [flat[ranges(start[w], n[w])].astype("<u8").tobytes() for _, _, w in out]
             return {"bucket": [k for k, _, _ in out], "data": [d for _, d, _ in out], "words": words}
 
         for ids, texts in _chunks(batches):
@@ -284,9 +292,8 @@ def _dealt(docs: DataFrame, sketch, marks, least: int, similarity: float, hot: i
                 if bits is not None:
                     hit = np.flatnonzero(_marked(bits, e["doc"], e["place"], e["key"]))
                     e, of = {f: v[hit] for f, v in e.items()}, of[hit]
-                    words = lines.words[ranges(lines.start[of], lines.size[of])]  # words are 40 bits
-                    texts_of.append(np.ascontiguousarray(words.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]))
-                    size += texts_of[-1].size
+                    texts_of.append(lines.words[ranges(lines.start[of], lines.size[of])])
+                    size += 8 * len(texts_of[-1])
                 held.append({f: e[f].astype(t) for f, t in _ENTRY})
                 size += 52 * len(e["key"])
             if size > _HELD:
@@ -315,18 +322,13 @@ def _marked(marks: np.ndarray, doc: np.ndarray, place: np.ndarray, key: np.ndarr
 def _marks(entries: DataFrame, bits: int) -> np.ndarray:
     """A Bloom filter of packed (doc, place, key) and of their documents."""
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        part = np.zeros(bits // 8, np.uint8)
-        for batch in batches:
-            e = unpacked([d.as_py() for d in batch.column("data")], _POSSIBLE)
-            docs = np.unique(e["doc"])
-            for at in (*_positions(e["doc"], e["place"], e["key"], bits), *_positions(docs, np.full(len(docs), -1), np.zeros(len(docs), np.uint64), bits)):
-                np.bitwise_or.at(part, at >> 3, (1 << (at & 7)).astype(np.uint8))
-        pieces = part.reshape(-1, _PIECE)
-        used = np.flatnonzero(pieces.any(1)).tolist()
-        yield {"bucket": used, "data": [pieces[k].tobytes() for k in used]}
+    def places(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        e = unpacked([d.as_py() for d in batch.column("data")], _POSSIBLE)
+        docs = np.unique(e["doc"])
+        yield from _positions(e["doc"], e["place"], e["key"], bits)
+        yield from _positions(docs, np.full(len(docs), -1), np.zeros(len(docs), np.uint64), bits)
 
-    return _merged(map_arrow(entries.select("data"), rows, "bucket int, data binary"), bits // 8, "u1")
+    return united_bits(entries.select("data"), places, bits)
 
 
 def candidates(e: dict[str, np.ndarray], similarity: float, block: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -382,17 +384,16 @@ def _possible(dealt: DataFrame, similarity: float) -> DataFrame:
     return map_arrow(dealt.select("bucket", "data"), rows, "data binary, n long")
 
 
-def _matching(five: np.ndarray, start: np.ndarray, size: np.ndarray, start2: np.ndarray, size2: np.ndarray, similarity: float, most: int = 1 << 21) -> np.ndarray:
-    """Whether pairs of lines match: words of both sides in order, equal neighbours counted."""
+def _matching(words: np.ndarray, start: np.ndarray, size: np.ndarray, start2: np.ndarray, size2: np.ndarray, similarity: float, most: int = 1 << 21) -> np.ndarray:
+    """Whether pairs of lines match: words of both sides in order, equal neighbours of a pair counted."""
     out = np.zeros(len(start), bool)
     total = size + size2
     for part in np.split(np.arange(len(start)), np.flatnonzero(np.diff(np.cumsum(total) // most)) + 1):
         pair = np.concatenate([np.repeat(np.arange(len(part)), size[part]), np.repeat(np.arange(len(part)), size2[part])])
-        at = np.concatenate([ranges(start[part], size[part]), ranges(start2[part], size2[part])])
-        words = np.zeros((len(at), 8), np.uint8)
-        words[:, :5] = five[at]
-        key = np.sort(words.view("<u8").ravel() | (pair.astype(np.uint64) << np.uint64(40)))
-        common = np.bincount((key[1:][key[1:] == key[:-1]] >> np.uint64(40)).astype(np.int64), minlength=len(part))
+        both = words[np.concatenate([ranges(start[part], size[part]), ranges(start2[part], size2[part])])]
+        order = np.argsort(both ^ mix(pair.astype(np.uint64), 19))  # a pair's equal words meet; others may lie between pairs
+        both, pair = both[order], pair[order]
+        common = np.bincount(pair[1:][(both[1:] == both[:-1]) & (pair[1:] == pair[:-1])], minlength=len(part))
         out[part] = common >= similarity * (total[part] - common) - 1e-9
     return out
 
@@ -405,7 +406,7 @@ def _matched(dealt: DataFrame, similarity: float) -> DataFrame:
         sizes = unpacked([d for d, _ in got], _ENTRY)["size"].astype(np.int64)
         e, kept = _in_order([d for d, _ in got])
         start = (np.cumsum(sizes) - sizes)[kept]
-        five = np.frombuffer(b"".join(w for _, w in got), np.uint8).reshape(-1, 5)
+        words = np.frombuffer(b"".join(w for _, w in got), "<u8")
         doc, place, size = e["doc"], e["place"].astype(np.int64), e["size"].astype(np.int64)
         _, line = np.unique(mix(doc.view(np.uint64) ^ mix(place.view(np.uint64), 17), 18), return_inverse=True)
         gone = np.zeros(len(doc), bool)  # by number of the line
@@ -421,7 +422,7 @@ def _matched(dealt: DataFrame, similarity: float) -> DataFrame:
                 nth = np.arange(len(a)) - np.repeat(head, np.diff(np.append(head, len(a))))
                 now = nth < tries
                 x, y = a[now], b[now]
-                gone[line[x[_matching(five, start[x], size[x], start[y], size[y], similarity)]]] = True
+                gone[line[x[_matching(words, start[x], size[x], start[y], size[y], similarity)]]] = True
                 left = ~now & ~gone[line[a]]
                 a, b, tries = a[left], b[left], 2 * tries
         first = np.unique(line[gone[line]], return_index=True)[1]
@@ -431,20 +432,24 @@ def _matched(dealt: DataFrame, similarity: float) -> DataFrame:
     return map_arrow(dealt, rows, "doc_id long, line int")
 
 
-def removed_lines(docs: DataFrame, similarity: float = 0.8, min_words: int = 5, hot: int = 20_000) -> DataFrame:
+def removed_lines(docs: DataFrame, similarity: float = 0.8, min_words: int = 1, hot: int = 20_000) -> DataFrame:
     """(doc_id, line) of every line to remove; lines count from 0.
 
-    Lines with fewer than ``min_words`` different words are left alone: they are
-    too short to call a repeat. ``hot`` is the number of lines beyond which a
-    word is keyed together with a second one. There are four buckets for each
-    shuffle partition that the session asks for. Null texts have no line, rows
-    without a doc_id keep all of theirs, and rows that repeat a doc_id count as
-    one document. An empty table gives no row.
+    Lines with fewer than ``min_words`` different words are left alone; lines
+    without a word always are. ``hot`` is the number of lines beyond which a
+    word is keyed together with a second one. Counters and buckets follow from
+    the bytes of the input: a counter for 64 bytes (64 MiB of counters at most;
+    beyond that more words share one, which changes their order and no result),
+    a bucket for 64 MB, and at least four for each shuffle partition. Null texts
+    have no line, rows without a doc_id keep all of theirs, and rows that repeat
+    a doc_id count as one document. An empty table gives no row.
     """
     spark = docs.sparkSession
-    buckets = max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    survey = materialise(_survey(docs, min_words, buckets), "lines")
-    sketch = spark.sparkContext.broadcast(_merged(survey.where("kind = 0"), 1 << SKETCH_BITS, "<u2"))
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / 64e6))
+    counters = 1 << max(20, min(26, math.ceil(math.log2(max(1, total / 64)))))
+    survey = materialise(_survey(docs, min_words, buckets, counters), "lines")
+    sketch = spark.sparkContext.broadcast(_codes(survey.where("kind = 0"), counters))
     equal = survey.where("kind = 2").select("doc_id", "line").union(_later_equal(survey.where("kind = 1"), buckets))
     possible = materialise(_possible(_dealt(docs, sketch, None, min_words, similarity, hot, buckets), similarity), "possible")
     bits = 1 << max(17, min(29, math.ceil(math.log2(8 * max(1, possible.agg(F.sum("n")).first()[0] or 0)))))  # up to 64 MiB; beyond, more entries pass
@@ -454,12 +459,18 @@ def removed_lines(docs: DataFrame, similarity: float = 0.8, min_words: int = 5,
 
 
 def dedup(docs: DataFrame, **params) -> DataFrame:
-    """The documents without their removed lines; all other columns as they were, n_chars as counted anew."""
-    gone = removed_lines(docs, **params).groupBy("doc_id").agg(F.collect_set("line").alias("_gone")).withColumnRenamed("doc_id", "_id")
-    joined = docs.join(gone, docs["doc_id"].cast("long") == F.col("_id"), "left")
-    kept = F.filter(F.split("text", "\n", -1), lambda x, k: ~F.array_contains("_gone", k))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    """The documents without their removed lines; all other columns as they were, n_chars as counted anew.
+
+    Null texts stay null, rows without a doc_id stay as they are, and rows that
+    repeat a doc_id lose the same lines. An empty table gives no row. Other
+    columns may have any name.
+    """
+    doc, lines = unused(docs, "doc"), unused(docs, "lines")
+    gone = removed_lines(docs, **params).groupBy("doc_id").agg(F.collect_set("line").alias(lines)).withColumnRenamed("doc_id", doc)
+    joined = docs.join(gone, docs["doc_id"].cast("long") == F.col(doc), "left")
+    kept = F.filter(F.split("text", "\n", -1), lambda x, k: ~F.array_contains(lines, k))
+    text = F.when(F.col(lines).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     out = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(F.col(lines).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)

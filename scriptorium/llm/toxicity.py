@@ -1,11 +1,12 @@
 """Toxicity scores of texts restored by noisy-channel deobfuscation.
 
 Letters may be hidden by look-alikes (``1d10t``), spacing (``i d i o t``) and
-repetition (``stuuupid``). A suspicious stretch becomes a lattice: each
-character with the letters it may stand for, separators that may stand for
-nothing or a word end, runs that may be shorter. Viterbi search finds the
-likeliest reading under a character trigram model of all the texts, and a
-logistic model of the restored words scores the text.
+repetition (``stuuupid``). A word becomes a lattice: each character with the
+letters it may stand for, separators that may stand for nothing or a word end,
+runs that may be shorter. Viterbi search over all states finds the likeliest
+reading under a character trigram model of all the texts, and a logistic model
+of the restored words scores the text. A word whose lattice has one path, letters
+without a double, is its own reading and is not searched.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import crc_mod, keep_rows, map_arrow, text_bytes
+from ._shared import crc_mod, keep_rows, map_arrow, materialise, text_bytes
 from .hashing import different, joined, of_texts, word_hashes, word_places
 
 # What look-alikes stand for. A character may also be a separator.
@@ -113,15 +114,19 @@ class Decoder:
             found += [("", -1.0), (" ", -1.0)]
         return found or [(" ", 0.0)]
 
-    def read(self, text: str) -> str:
-        """The likeliest reading: lower-case letters, with spaces at word ends."""
-        runs = [(m[0][0], len(m[0])) for m in re.finditer(r"(.)\1*", " ".join(text.lower().split()), re.S)]
-        #: State: the last two symbols and the place in the lexicon's trie (None: off it).
-        beam = {(0, 0, id(self.trie)): (0.0, None, self.trie)}
-        for c, run in [*runs, ("", 1)]:
+    def lattice(self, text: str) -> list[list[tuple[str, float]]]:
+        """The options of each run of one character; white space is one space, and a word end closes the text."""
+        runs = re.finditer(r"(.)\1*", " ".join(text.lower().split()), re.S)
+        return [*(self.options(m[0][0], len(m[0])) for m in runs), [(" ", 0.0)]]
+
+    def best(self, text: str) -> tuple[float, str]:
+        """Score and outputs of the likeliest path. A state is the last two symbols and the place in the
+        lexicon's trie (None: off it), which is all that later steps depend on; none is dropped."""
+        states = {(0, 0, id(self.trie)): (0.0, None, self.trie)}
+        for options in self.lattice(text):
             new: dict = {}
-            for (a, b, _), (score, back, node) in beam.items():
-                for out, cost in [(" ", 0.0)] if not c else self.options(c, run):
+            for (a, b, _), (score, back, node) in states.items():
+                for out, cost in options:
                     x, y, s, at = a, b, score + cost, node
                     for o in out:
                         k = _WORD_END if o == " " else _letter(o)
@@ -138,25 +143,58 @@ class Decoder:
                     key = (x, y, id(at))
                     if key not in new or s > new[key][0]:
                         new[key] = (s, (back, out), at)
-            beam = new
-        _, back, _ = max(beam.values(), key=lambda v: v[0])
+            states = new
+        score, back, _ = max(states.values(), key=lambda v: v[0])
         parts = []
         while back is not None:
             back, out = back
             parts.append(out)
-        return "".join(reversed(parts)).strip()
+        return score, "".join(reversed(parts))
+
+    def read(self, text: str) -> str:
+        """The likeliest reading: lower-case letters, with spaces at word ends."""
+        return self.best(text)[1].strip()
 
 
 #: Three or more single characters in a row, parted by spaces or separators; the whole may stand in brackets or quotes.
 SPACED = re.compile(r"(?<![^\s.,(\[{<\"'`«“‘])(?<!\w[(\[{<\"'`«“‘])[a-z0-9@$!|+](?:[ .*_-]{1,3}[a-z0-9@$!|+]){2,}(?![^\s.,;:!?)\]}>\"'`»”’])(?!['’]\w)")
 _EDGES = ".,;:!?\"'()[]{}<>#%&*|$~`^=_/\\-+«»¿¡"
-_TRIPLE = re.compile(r"(.)\1\1")
-#: Words are told apart by so many first letters, and features by how often they occur at least.
-STEM, TIMES = 6, (1, 2, 4)
+#: Features are told apart by how often a word, or a beginning of longer words, occurs at least.
+TIMES, BEGINNING = (1, 2, 4), 5
+
+
+def forms(words: list[str]) -> tuple[str, ...]:
+    """The words and, marked by a hyphen, the beginnings of those that are longer: inflections share these."""
+    return tuple(x for w in words for x in ((w, w[:BEGINNING] + "-") if len(w) > BEGINNING else (w,)) if w)
+
+
+def _bytes_of(chars: bytes) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[list(chars)] = True
+    return table
+
+
+_WORDLIKE, _SINGLE, _GAP = _bytes_of(b"abcdefghijklmnopqrstuvwxyz0123456789"), _bytes_of(b"abcdefghijklmnopqrstuvwxyz0123456789@$!|+"), _bytes_of(b" .*_-")
+
+
+def may_be_spaced(text: np.ndarray) -> np.ndarray:
+    """Places of a lower-case byte array (with 8 bytes to spare) where the first three characters of a match of
+    ``SPACED`` may begin: every match begins at one of them. For each, the edges are looked at loosely."""
+    n = len(text) - 8
+    one, gap, word = _SINGLE[text], _GAP[text], _WORDLIKE[text]
+    step = {2: gap[1 : n + 1] & one[2 : n + 2], 3: gap[1 : n + 1] & gap[2 : n + 2] & one[3 : n + 3], 4: gap[1 : n + 1] & gap[2 : n + 2] & gap[3 : n + 3] & one[4 : n + 4]}
+    ends = np.zeros(n + 8, bool)  # a single character from which a step leads on
+    ends[:n] = one[:n] & (step[2] | step[3] | step[4])
+    first = one[:n] & ~np.append(False, word[: n - 1])[:n]
+    found = np.zeros(n, bool)
+    for d, ok in step.items():
+        found |= ok & ends[d : n + d]
+    return np.flatnonzero(first & found)
 
 
 def needs_reading(word: str) -> str:
-    """The part of a lower-case word to decode, or empty if it reads as it is."""
+    """The part of a lower-case word whose lattice has more than one path, or empty if it reads as it is.
+    Signs at its edges are read only where they may be letters."""
     core = word.strip(_EDGES)
     if not core:
         return ""
@@ -165,42 +203,43 @@ def needs_reading(word: str) -> str:
     lead = re.search(r"[$!|+(]{1,2}$", before)
     tail = after if re.fullmatch(r"[$|]{1,2}", after) else ""
     part = (lead[0] if lead else "") + core + tail
-    if part.isalpha() and not _TRIPLE.search(part) or not re.search(r"[a-z]", part):
-        return ""
-    return part
+    return "" if part.isalpha() and not _DOUBLE.search(part) else part
 
 
-class _Stems(dict):
-    """The stems of a word's reading that are of use; words are kept up to a bound."""
+_DOUBLE = re.compile(r"(.)\1")
+
+
+class _Readings(dict):
+    """The forms of a word's restored words that are of use; words are kept up to a bound."""
 
     def __init__(self, decoder: Decoder, useful: frozenset[str] | None, kept: int = 200_000):
         self.decoder, self.useful, self.kept = decoder, useful, kept
 
     def __missing__(self, word: str) -> tuple[str, ...] | None:
         part = needs_reading(word)
-        words = self.decoder.read(part).split() if part else [word.strip(_EDGES)]
-        stems = tuple(x for w in words if (x := w[:STEM]) and (self.useful is None or x in self.useful))
+        words = forms(self.decoder.read(part).split() if part else [word.strip(_EDGES)])
+        words = tuple(w for w in words if self.useful is None or w in self.useful)
         if len(self) >= self.kept:
             self.clear()
-        self[word] = found = stems or None
+        self[word] = found = words or None
         return found
 
 
 class Features:
-    """Which features a text has. A feature is (stem, times), numbered; with no index, all that occur."""
+    """Which features a text has. A feature is (form, times), numbered; with no index, all that occur."""
 
     def __init__(self, decoder: Decoder, index: dict[tuple[str, int], int] | None):
         self.index, self.decoder = index, decoder
-        self.stems = _Stems(decoder, None if index is None else frozenset(s for s, _ in index))
+        self.words = _Readings(decoder, None if index is None else frozenset(s for s, _ in index))
 
     def counts(self, text: str) -> Counter:
         text = text.lower()
         found: Counter = Counter()
-        for stems, n in Counter(map(self.stems.__getitem__, text.split())).items():
-            for s in stems or ():
+        for words, n in Counter(map(self.words.__getitem__, text.split())).items():
+            for s in words or ():
                 found[s] += n
         for m in SPACED.finditer(text):
-            found.update(w[:STEM] for w in self.decoder.read(m[0]).split())
+            found.update(forms(self.decoder.read(m[0]).split()))
         return found
 
     def of(self, text: str) -> set[int]:
@@ -212,35 +251,44 @@ class Features:
 
     def of_texts(self, texts: list[str]) -> list[set[int]]:
         """The features of each text, as ``of`` gives them: words are read once for all texts."""
-        data = [t.lower().encode() for t in texts]
+        lower = [t.lower() for t in texts]
+        data = [t.encode("utf-8", "replace") for t in lower]
         text = joined(data, lower=False)
         starts, ends = word_places(text)
         cuts = of_texts(starts, data)
         owner = np.repeat(np.arange(len(texts)), np.diff(cuts))
         first, which = different(word_hashes(text, starts, ends))
         whole = text.tobytes()
-        stems = [self.stems[whole[a:b].decode("utf-8", "replace")] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-        useful = np.fromiter((x is not None for x in stems), bool, len(stems))
+        words = [self._of_word(whole[a:b].decode()) for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        useful = np.fromiter((x is not None for x in words), bool, len(words))
         counts: dict[int, Counter] = {}
         hit = np.flatnonzero(useful[which])
         for doc, word in zip(owner[hit].tolist(), which[hit].tolist()):
-            counts.setdefault(doc, Counter()).update(stems[word])
-        for doc, t in enumerate(data):
-            for m in SPACED.finditer(t.decode()):
-                counts.setdefault(doc, Counter()).update(w[:STEM] for w in self.decoder.read(m[0]).split())
+            counts.setdefault(doc, Counter()).update(words[word])
+        begin = np.cumsum([0] + [len(t) + 1 for t in data])
+        for doc in np.unique(np.searchsorted(begin, may_be_spaced(text), side="right") - 1).tolist():
+            for m in SPACED.finditer(lower[doc]):
+                counts.setdefault(doc, Counter()).update(forms(self.decoder.read(m[0]).split()))
         return [self._numbered(counts[k]) if k in counts else set() for k in range(len(texts))]
 
+    def _of_word(self, word: str) -> tuple[str, ...] | None:
+        """Readings of a word without ASCII white space; it may hold other white space."""
+        parts = word.split()
+        if len(parts) == 1:
+            return self.words[parts[0]]
+        return tuple(x for p in parts for x in self.words[p] or ()) or None
+
 
 @dataclass(frozen=True)
 class Model:
     trigrams: np.ndarray
-    stems: tuple[tuple[str, int], ...]
+    words: tuple[tuple[str, int], ...]
     weights: np.ndarray  # the last is the intercept
 
     def features(self) -> Features:
-        """Stems that speak for toxicity are a lexicon that readings are drawn to."""
-        lexicon = [s for (s, t), x in zip(self.stems, self.weights) if t == 1 and x > 1 and s.isascii() and s.isalpha() and len(s) > 3]
-        return Features(Decoder(self.trigrams, lexicon), {f: k for k, f in enumerate(self.stems)})
+        """Words that speak for toxicity are a lexicon that readings are drawn to."""
+        lexicon = [s for (s, t), x in zip(self.words, self.weights) if t == 1 and x > 1 and s.isascii() and s.isalpha() and len(s) > 3]
+        return Features(Decoder(self.trigrams, lexicon), {f: k for k, f in enumerate(self.words)})
 
     def score(self, features: set[int]) -> float:
         z = self.weights[-1] + sum(self.weights[k] for k in features)
@@ -258,7 +306,7 @@ def _scored(batches: Iterator[pa.RecordBatch], features: Features, most: int = 4
                 at += len(part)
 
 
-def fit_logistic(x: list[set[int]], y: np.ndarray, n: int, ridge: float = 0.3, rounds: int = 30) -> np.ndarray:
+def fit_logistic(x: list[set[int]], y: np.ndarray, n: int, ridge: float = 0.1, rounds: int = 30) -> np.ndarray:
     """Ridge logistic regression by Newton's method; the intercept is last and not penalised."""
     a = np.zeros((len(x), n + 1))
     for k, f in enumerate(x):
@@ -275,19 +323,22 @@ def fit_logistic(x: list[set[int]], y: np.ndarray, n: int, ridge: float = 0.3, r
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, features: int = 256, min_docs: int = 5) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, least_ratio: float = 10.0) -> Model:
     """Learn from labelled rows whose crc32(doc_id) mod 5 is not 0.
 
     The classifier is fitted on at most ``sample`` such rows (the first by a
     hash of the id; they are marked by a broadcast of ids, bounded by that
-    number), on the ``features`` that tell the classes apart best, by
-    likelihood ratio; each is a stem that occurs a number of times. The trigram model counts all texts. With no labelled row
-    or one class only, the score is the labels' rate, or 0 without labels.
+    number). Its features are forms that occur a number of times: all those
+    whose likelihood ratio of the classes is ``least_ratio`` or more in that
+    sample, so the sample bounds them too. The trigram model counts all texts.
+    With no labelled row or one class only, the score is the labels' rate, or 0
+    without labels. Null labels and ids are left out, null texts are empty.
     """
     trigrams = trigram_model(trigram_counts(docs))
     rows = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).where((crc_mod("doc_id", 5) != 0) & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample)
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    texts = materialise(texts, "labelled")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         features = Features(Decoder(trigrams), None)
@@ -311,10 +362,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, features: int
     x, y = F.col("t").cast("double"), F.col("c").cast("double")
     both, rate = x + y, t / (t + c)
     ratio = part(x, both * rate) + part(y, both * (1 - rate)) + part(t - x, (t + c - both) * rate) + part(c - y, (t + c - both) * (1 - rate))
-    telling = pairs.where(f"word is not null and t + c >= {min_docs} and length(word) > 1").withColumn("ratio", ratio)
-    best = telling.orderBy(F.desc("ratio"), "word", "times").limit(features).collect()
-    stems = tuple((r["word"], r["times"]) for r in best)
-    plain = Model(trigrams, stems, np.array([2.0 if r["t"] * c > r["c"] * t else 0.0 for r in best] + [0.0]))
+    telling = pairs.where("word is not null and length(word) > 1").withColumn("ratio", ratio).where(F.col("ratio") >= least_ratio)
+    best = telling.orderBy(F.desc("ratio"), "word", "times").collect()
+    words = tuple((r["word"], r["times"]) for r in best)
+    plain = Model(trigrams, words, np.array([2.0 if r["t"] * c > r["c"] * t else 0.0 for r in best] + [0.0]))
     sent = docs.sparkSession.sparkContext.broadcast(plain)
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -322,8 +373,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, features: int
             yield {"toxic": batch.column("toxic"), "f": [sorted(f) for f in found]}
 
     got = map_arrow(texts, featured, "toxic int, f array<int>").collect()
-    weights = fit_logistic([set(r["f"]) for r in got], np.array([r["toxic"] for r in got], float), len(stems))
-    return Model(trigrams, stems, weights)
+    weights = fit_logistic([set(r["f"]) for r in got], np.array([r["toxic"] for r in got], float), len(words))
+    return Model(trigrams, words, weights)
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
@@ -343,7 +394,11 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def reject(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """The documents that score under ``threshold``, all columns as they were."""
+    """The documents that score under ``threshold``, all columns as they were.
+
+    Null and empty texts score as texts without features; repeated rows go or
+    stay together; an empty table gives no row.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -161,7 +161,7 @@ def test_connected_components(spark):
     assert not connected_components(spark.createDataFrame([], "a long, b long")).collect()
 
 
-def slow_removed(rows, t=0.8, least=5):
+def slow_removed(rows, t=0.8, least=1):
     lines = [(r["doc_id"], k, frozenset(s)) for r in rows for k, x in enumerate((r["text"] or "").encode().lower().split(b"\n")) if len(s := set(x.split())) >= least]
     lines.sort(key=lambda x: x[:2])
     out = set()
@@ -189,7 +189,7 @@ def test_query_and_stage_remove_short_lines(spark, docs, tmp_path):
     short = [(2000, "all rights reserved.\nmenu\none two three four"), (2001, "All  rights reserved.\n\n\nMenu"), (2002, "reserved. all rights\none two three four five\nmenu x")]
     df = docs.select("doc_id", "text").union(spark.createDataFrame(short, "doc_id long, text string"))
     df.write.parquet(f"{tmp_path}/documents.parquet")
-    want = slow_removed(df.orderBy("doc_id").collect(), least=1)
+    want = slow_removed(df.orderBy("doc_id").collect())
     assert {(2001, 0), (2001, 3), (2002, 0), (2002, 1)} <= want and (2002, 2) not in want
     listed = queries.op10_line_dedup(spark, str(tmp_path)).collect()
     assert {(r["doc_id"], int(x)) for r in listed for x in r["removed_lines"].split(",") if x} == want
@@ -197,6 +197,37 @@ def test_query_and_stage_remove_short_lines(spark, docs, tmp_path):
     assert texts[2001] == "\n" and texts[2002] == "menu x" and texts[2000] == short[0][1]
 
 
+def test_least_words_and_clashing_names(spark, docs):
+    rows = docs.orderBy("doc_id").collect()
+    assert {tuple(r) for r in L.removed_lines(docs, min_words=5).collect()} == slow_removed(rows, least=5)
+    named = docs.selectExpr("*", "1 as doc", "2 as `lines`", "3 as _id", "4 as _gone", "5 as line")
+    found = L.dedup(named)
+    assert found.columns == named.columns and {r["doc_id"]: r["text"] for r in found.collect()} == {r["doc_id"]: r["text"] for r in L.dedup(docs).collect()}
+
+
+def test_words_that_agree_in_their_first_bits_stay_apart(monkeypatch, spark, docs):
+    """With hashes that differ in their last bits only, sort keys tie and words are told apart by the rest."""
+    whole = L.word_hashes
+    monkeypatch.setattr(L, "word_hashes", lambda *a: whole(*a) & np.uint64(0xFFFF))
+    rows = docs.orderBy("doc_id").collect()
+    for lines in L.lines_of([r["doc_id"] for r in rows], [r["text"].encode() for r in rows], 1, np.zeros(1 << 20, np.uint8)):
+        for d, p, s, n in zip(lines.doc, lines.place, lines.start, lines.size):
+            text = next(r["text"] for r in rows if r["doc_id"] == d).split("\n")[p]
+            assert n == len(set(lines.words[s : s + n].tolist())) and sorted(lines.words[s : s + n].tolist()) == lines.words[s : s + n].tolist()
+            assert n == len({int(h) for h in np.unique(hashed(text, L.word_hashes))})
+
+
+def hashed(text, hashes):
+    data = L.joined([text.encode()])
+    return hashes(data, *L.word_places(data))
+
+
+def test_codes_keep_the_order_of_counts():
+    counts = np.array([0, 1, 2, 3, 10, 65_535, 65_536, 10**6, 2**31, 2**32 - 1])
+    codes = L.code(counts)
+    assert codes[0] == codes[1] == 0 < codes[2] and (np.diff(codes.astype(int)) >= 0).all() and codes[5] < codes[7] < codes[8]
+
+
 def test_long_words_and_lines(spark):
     long = " ".join("w" * (100 + k) for k in range(60))
     rows = [(1, long), (2, long + " tail"), (3, " ".join(f"t{k}" for k in range(3000))), (4, " ".join(f"t{k}" for k in range(100, 3000)))]
@@ -261,7 +292,7 @@ def test_odd_rows(spark, odd, empty):
     kept = S.keep_first(odd)
     assert kept.columns == odd.columns and sorted(r["doc_id"] if r["doc_id"] is not None else -1 for r in kept.collect()) == [-1, 0, 3, 5, 6, 8, 10, 11]
     assert S.keep_first(empty).count() == 0
-    assert {tuple(r) for r in L.removed_lines(odd).collect()} == {(9, 0)}
+    assert {tuple(r) for r in L.removed_lines(odd).collect()} == {(4, 0), (9, 0)}
     assert L.dedup(odd).columns == odd.columns and L.dedup(odd).count() == n
     assert L.removed_lines(empty).count() == 0 and L.dedup(empty).count() == 0
     bench = spark.createDataFrame([(1, None), (2, "one two three four five six seven"), (None, "x" * 100)], "item_id long, text string")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import math
 import random
@@ -57,25 +58,99 @@ def test_base_spans(spark, odd):
     for k, t in enumerate(texts):
         want = slow_spans(t)
         got = rows[k]
-        assert [s for s in got["spans"].split(",") if s and not s.startswith("term")] == want
+        assert [s for s in got["spans"].split(",") if s and not s.startswith(("generalise", "remove"))] == want
         assert got["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest()
         assert [got[f"n_{kind}"] for kind in PATTERNS] == [sum(s.startswith(kind) for s in want) for kind in PATTERNS]
 
 
-def test_disclosing_terms(spark):
-    telling = [(k, f"meet Zorblax about it at joe@mail.org today number {k}") for k in range(4)]
+def test_tables_of_numbers_take_linear_time(spark):
+    """A text of 200,000 numbers, one of 60,000 addresses and one of 20,000 cards; by quadratic sums these would take hours."""
+    texts = [" ".join(str(10 + k % 90) for k in range(200_000)), " ".join(f"a{k}@b.c" for k in range(60_000)), "; ".join("4111 1111 1111 1111" for _ in range(20_000))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.digest(pii.find(df)).collect():
+        want = slow_spans(texts[r["doc_id"]])
+        assert r["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest() and len(want) == (0, 60_000, 20_000)[r["doc_id"]]
+
+
+def slow_disclosures(texts, support=3, generalise_at=0.8):
+    """(entity, term): disclosure, and documents by term and by prefix, of different texts."""
+    held, words = [], []
+    for t in dict.fromkeys(texts):
+        held.append({f"{s.split(':')[0]}:{t[int(s.split(':')[1]) : int(s.split(':')[2])].lower()}" for s in slow_spans(t)})
+        words.append({w for w in re.findall(r"[^\W\d_]{4,}", re.sub(PATTERNS["email"], " ", t).lower())})
+    n = len(held)
+    n_entity, n_term, n_both = Counter(e for h in held for e in h), Counter(w for x in words for w in x), Counter((e, w) for h, x in zip(held, words) for e in h for w in x)
+    found = {}
+    for (e, w), both in n_both.items():
+        if both >= support and n_entity[e] >= support and n_entity[e] < n:
+            d = math.log2(both * n / (n_entity[e] * n_term[w])) / math.log2(n / n_entity[e])
+            if d >= generalise_at:
+                found[e, w] = d, both, n_entity[e], n
+    return found, n_term
+
+
+def test_disclosures_against_brute_force(spark):
+    r = random.Random(6)
+    names = ["zorblax", "zorbing", "quinta", "marvelo", "merlin", "zorb"]
+    texts = []
+    for k in range(300):
+        words = r.choices(["meet", "today", "about", "number", "with", "someone", "zorbing", "marvel", "merchant"], k=8)
+        if k % 6 == 0:
+            who = r.randrange(4)
+            words.insert(3, f"p{who}@mail.org")
+            words.insert(r.randrange(len(words)), names[who] if r.random() < 0.9 else "other")
+            if who == 0:
+                words.append("call +49 30 1234567")
+        elif k % 50 == 1:
+            words.append(names[r.randrange(4)].upper())
+        texts.append(" ".join(words))
+    texts += texts[:3]
+    df = spark.createDataFrame([(k if k < 300 else k - 300, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    want, n_term = slow_disclosures(texts)
+    scanned, terms = pii.scan(df), pii._terms(df)
+    risky = pii.disclosures(terms, scanned)
+    got = {(x["entity"], x["term"]): x["disclosure"] for x in risky.collect()}
+    assert got.keys() == want.keys() and got and all(abs(got[k] - want[k][0]) < 1e-9 for k in got)
+    todo = {x["term"]: (x["action"], x["general"]) for x in pii.actions(terms, risky).collect()}
+    for term in {w for _, w in want}:
+        worst = max(d for (_, w), (d, *_) in want.items() if w == term)
+        general = None
+        for size in range(len(term) - 1, 0, -1):
+            under = sum(c for w, c in n_term.items() if w.startswith(term[:size]))
+            if all(math.log2(both * n / (ne * under)) / math.log2(n / ne) < 0.8 for (_, w), (_, both, ne, n) in want.items() if w == term):
+                general = term[:size]
+                break
+        assert todo[term] == (("remove", None) if worst >= 0.95 or not general else ("generalise", general))
+    assert {a for a, _ in todo.values()} == {"remove", "generalise"}
+    rows = pii.find(df).collect()
+    assert len(rows) == len(texts)
+    by_id = {k if k < 300 else k - 300: t for k, t in enumerate(texts)}
+    for x in rows:
+        t = by_id[x["doc_id"]]
+        spans = [tuple(map(int, s.split(":")[1:])) for s in slow_spans(t) if s.startswith("email")]
+        hits = [m for m in re.finditer(r"[^\W\d_]+", t) if m[0].lower() in todo and not any(a < m.end() and m.start() < b for a, b in spans)]
+        assert [(m.start(), m.end(), *todo[m[0].lower()]) for m in hits] == [tuple(s) for s in x["terms"]]
+
+
+def test_terms_go_wherever_they_occur(spark):
+    telling = [(k, f"meet Zorblax about it at joe@mail.org today number {k} " + "number with someone " * 30 + "about today ZORBLAX!") for k in range(4)]
     other = [(10 + k, f"meet today about number {k} with someone or other") for k in range(60)]
-    df = spark.createDataFrame(telling + other, "doc_id long, text string")
+    df = spark.createDataFrame(telling + other + [telling[1]] * 2, "doc_id long, text string")
     found = {r["doc_id"]: r for r in pii.find(df).collect()}
     text = telling[0][1]
-    assert {text[t["start"] : t["end"]] for t in found[0]["terms"]} == {"Zorblax"}
+    assert [text[t["start"] : t["end"]] for t in found[0]["terms"]] == ["Zorblax", "ZORBLAX"]
     assert all(not found[k]["terms"] for k in range(10, 70))
-    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(df).collect()}
-    assert clean[0] == "meet  about it at [EMAIL] today number 0" and clean[10] == other[0][1]
+    spans = {r["doc_id"]: r["spans"].split(",") for r in pii.digest(pii.find(df)).collect()}
+    assert spans[0] == ["email:25:37", "remove:5:12", f"remove:{len(text) - 8}:{len(text) - 1}"]
+    rows = pii.sanitise(df).collect()
+    assert len(rows) == 66  # repeated rows stay, once each
+    clean = {r["doc_id"]: r["text"] for r in rows}
+    assert clean[0] == "meet  about it at [EMAIL] today number 0 " + "number with someone " * 30 + "about today !" and clean[10] == other[0][1]
 
 
 def test_pii_odd_rows(spark, odd, empty):
     assert pii.digest(pii.find(odd)).count() == odd.count() and pii.find(empty).count() == 0
+    assert pii.sanitise(odd).count() == odd.count() and pii.sanitise(empty).count() == 0
 
 
 # ---------------------------------------------------------------- chat
@@ -257,14 +332,14 @@ def judged(spark):
         text = r.choices(words, k=40)
         toxic = int(k % 5 == 1)
         if toxic:
-            for w in r.sample(BAD, 2):
+            for w in r.sample(BAD, 1 + k % 2):  # texts with one such word tell that one is enough
                 text[r.randrange(40)] = w
         rows.append((k, " ".join(text)))
         labels.append((k, toxic))
     return spark.createDataFrame(rows, "doc_id long, text string").cache(), spark.createDataFrame(labels, "doc_id long, toxic int").cache(), labels
 
 
-HIDDEN = ["you 1d10t there", "you i d i o t there", "so stuuupid it is", "$tup1d thing", "such a m0r0n!!", "tr@sh and quiet", "m.o.r.o.n walks", "t r a s h in the garden", "IDIOT###", "st*pid river"]
+HIDDEN = ["you 1d10t there", "you i d i o t there", "so stuuupid it is", "$tup1d thing", "such a m0r0n!!", "tr@sh and quiet", "stuupid river", "you idiiot", "m.o.r.o.n walks", "t r a s h in the garden", "IDIOT###", "st*pid river"]
 FAIR = ["the 1st river and 2 stones", "a b c d e f", "soooo bright a morning", "call +1 234 567 now", "quiet@garden.org wrote", "under 50% of the letter", ""]
 
 
@@ -302,22 +377,64 @@ def test_spaced_words_in_any_setting_are_read_in_batches(spark, judged):
     assert [m[0] for m in toxicity.SPACED.finditer("it's a b c, (i d i o t) a s s!!")] == ["a b c", "i d i o t", "a s s"]
 
 
-def test_reading_keeps_every_state():
-    class Counted(toxicity.Decoder):
-        def options(self, c, run):
-            return [(x, 0.0 if x == "z" else 1.0) for x in "bcdfghjklmnpqrstvwxyz"]
+SYMBOL = {" ": 0, **{c: ord(c) - 96 for c in "abcdefghijklmnopqrstuvwxyz"}}
+
+
+def slow_best(decoder, words, text):
+    """The best score over every path of the lattice, each written out."""
+    best = -math.inf
+    for path in itertools.product(*decoder.lattice(text)):
+        x = y = 0
+        score, word = 0.0, ""
+        for out, cost in path:
+            score += cost
+            for o in out:
+                k = SYMBOL.get(o, 27)
+                if k == 0 and y == 0:
+                    continue
+                score += decoder.model[x][y][k]
+                if k == 0:
+                    score, word = score + decoder.bonus * (word in words), ""
+                else:
+                    word += o
+                x, y = y, k
+        best = max(best, score)
+    return best
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text("ab1ddoo0t*. $éx", min_size=1, max_size=7), st.integers(0, 3))
+def test_best_reading_of_every_lattice(text, seed):
+    words = ["dot", "boot", "aid", "to"]
+    decoder = toxicity.Decoder(np.random.default_rng(seed).normal(-3, 2, (toxicity.SYMBOLS,) * 3), words)
+    score, said = decoder.best(text)
+    assert math.isclose(score, slow_best(decoder, words, text), abs_tol=1e-9)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text("a b1.*_-,('\"x\n!é", max_size=24))
+def test_no_spaced_word_is_passed_over(text):
+    data = toxicity.joined([text.encode()], lower=False)
+    places = set(toxicity.may_be_spaced(data).tolist())
+    for m in toxicity.SPACED.finditer(text):
+        assert len(text[: m.start()].encode()) in places
+
+
+def test_words_with_several_readings_are_read():
+    assert [w for w in ["stuupid", "idiiot", "1d10t", "s.t", "455", "(c)ool", "plain", "über", "word,", "word!!"] if toxicity.needs_reading(w)] == ["stuupid", "idiiot", "1d10t", "s.t", "455", "(c)ool"]
+
 
-    #: "zz...z" pays one less at each letter but alone ends well: it has to outlast over 400 better states.
-    model = np.zeros((toxicity.SYMBOLS,) * 3)
-    model[26, 26, 0] = 100.0
-    assert Counted(model).read("1212").endswith("zz")
+def test_very_long_word_is_read(spark, judged):
+    model = toxicity.fit(*judged[:2])
+    text = "ab1" * 20_000 + " you 1d10t"
+    assert toxicity.scores(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).first()["predicted"] == 1
 
 
 def test_held_out_labels_are_not_learned(spark, judged):
     docs, labels, rows = judged
     turned = spark.createDataFrame([(d, 1 - t if zlib.crc32(str(d).encode()) % 5 == 0 else t) for d, t in rows], "doc_id long, toxic int")
     a, b = (toxicity.fit(docs, x) for x in (labels, turned))
-    assert a.stems == b.stems and np.allclose(a.weights, b.weights)
+    assert a.words == b.words and np.allclose(a.weights, b.weights)
 
 
 def test_toxicity_odd_rows(spark, odd, empty, judged):
