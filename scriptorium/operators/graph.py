@@ -7,6 +7,8 @@ checkpoints where the session has a folder for them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,16 +28,16 @@ def _cut(df: DataFrame) -> DataFrame:
 def _walk(edges: DataFrame, roots: DataFrame, source: str, target: str, most: int | None) -> DataFrame:
     """(root, node, distance) of everything reached, roots included at 0; shortest distances."""
     step = edges.select(F.col(source).alias("_from"), F.col(target).alias("_to")).distinct()
-    seen = _cut(roots.select("root", F.col("root").alias("node"), F.lit(0).alias("distance")).distinct())
-    front, n = seen, 0
-    while most is None or n < most:
-        n += 1
+    front = _cut(roots.select("root", F.col("root").alias("node"), F.lit(0).alias("distance")).distinct())
+    fronts = [front]  # each is written once; what was seen is all of them
+    while most is None or len(fronts) <= most:
         reached = front.join(step, front["node"] == step["_from"]).select("root", F.col("_to").alias("node")).distinct()
-        front = _cut(reached.join(seen.select("root", "node"), ["root", "node"], "left_anti").withColumn("distance", F.lit(n)))
+        seen = reduce(DataFrame.union, (f.select("root", "node") for f in fronts))
+        front = _cut(reached.join(seen, ["root", "node"], "left_anti").withColumn("distance", F.lit(len(fronts))))
         if front.isEmpty():
             break
-        seen = _cut(seen.unionByName(front))
-    return seen
+        fronts.append(front)
+    return reduce(DataFrame.unionByName, fronts)
 
 
 def ancestors(edges: DataFrame, nodes: DataFrame, most: int | None = None) -> DataFrame:
@@ -47,16 +49,16 @@ def descendants(edges: DataFrame, roots: DataFrame, most: int | None = None) ->
     """Nodes reachable downward from any of ``roots``, these included."""
     one = roots.select(F.lit(0).alias("root"), F.col("root").alias("node"))
     step = edges.select(F.col("parent").alias("_from"), F.col("child").alias("_to")).distinct()
-    seen = _cut(one.withColumn("distance", F.lit(0)).distinct())
-    front, n = seen, 0
-    while most is None or n < most:
-        n += 1
+    front = _cut(one.withColumn("distance", F.lit(0)).distinct())
+    fronts = [front]
+    while most is None or len(fronts) <= most:
         reached = front.join(step, front["node"] == step["_from"]).select(F.lit(0).alias("root"), F.col("_to").alias("node")).distinct()
-        front = _cut(reached.join(seen.select("node"), "node", "left_anti").select("root", "node", F.lit(n).alias("distance")))
+        seen = reduce(DataFrame.union, (f.select("node") for f in fronts))
+        front = _cut(reached.join(seen, "node", "left_anti").select("root", "node", F.lit(len(fronts)).alias("distance")))
         if front.isEmpty():
             break
-        seen = _cut(seen.unionByName(front))
-    return seen.select("node", "distance")
+        fronts.append(front)
+    return reduce(DataFrame.unionByName, fronts).select("node", "distance")
 
 
 def levels(edges: DataFrame, root: DataFrame, eligible: DataFrame, depth: int = 3) -> DataFrame:

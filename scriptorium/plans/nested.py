@@ -51,7 +51,7 @@ def n4_quotes_union(t: Tables) -> DataFrame:
 @query("""
 SELECT l_orderkey, count(*) FILTER (WHERE l_returnflag <> 'N') AS kept, count(*) FILTER (WHERE l_returnflag = 'N') AS dropped FROM lineitem GROUP BY l_orderkey""")
 def n5_drop_elements(t: Tables) -> DataFrame:
-    kept, dropped = D.drop_where(F.flatten(F.transform("groups", lambda g: g["lines"])), lambda x: is_placeholder(F.when(x["flag"] == "N", "NR").otherwise("quoted")))
+    kept, dropped = D.drop_where(F.flatten(F.transform("groups", lambda g: g["lines"])), lambda x: is_placeholder(F.when(x["flag"] == "N", "n/a").otherwise("NR")))
     return _orders(t).select("l_orderkey", F.size(kept).cast("long").alias("kept"), dropped.cast("long").alias("dropped"))
 
 

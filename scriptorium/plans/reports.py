@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
+from ..operators import panels
 from ..operators import predicates as P
+from ..operators import prefill as A
 from .frames import Tables
 from .query import query
 
@@ -20,38 +22,61 @@ def _rated(t: Tables) -> DataFrame:
     return rated.withColumn("finding", R.finding(F.col("rating"), F.col("listed_rating"), F.col("reviewed"), F.lit(False), F.col("families")))
 
 
-@query(f"""
-WITH r AS (SELECT hgnc_id, {_RATING} AS rating, {_FINDING} AS finding FROM associations),
-g AS (SELECT hgnc_id, max(rating) AS rating, max(CASE finding WHEN 'new_gene' THEN 2 WHEN 'upgrade' THEN 1 ELSE 0 END) AS f FROM r GROUP BY hgnc_id)
-SELECT CASE f WHEN 2 THEN 'new' WHEN 1 THEN 'upgraded' ELSE 'known' END AS placed, rating, count(*) AS genes FROM g GROUP BY 1, 2""")
+_GROUPS = f"""r AS (SELECT hgnc_id, {_RATING} AS rating, CASE WHEN position % 4 = 0 THEN NULL ELSE {_FINDING} END AS finding, listed_rating, reviewed FROM (SELECT * REPLACE (id % 900 AS hgnc_id) FROM associations) q),
+g AS (SELECT hgnc_id, max(CASE WHEN finding IS NOT NULL THEN rating END) AS best, bool_and(listed_rating IS NULL) AS novel, bool_or(listed_rating IS NOT NULL AND NOT reviewed) AS unreviewed FROM r GROUP BY hgnc_id),
+p AS (SELECT hgnc_id, CASE WHEN best IS NOT NULL THEN CASE WHEN novel THEN 'new-' ELSE 'finding-' END || CASE WHEN best >= 3 THEN 'green' WHEN best = 2 THEN 'amber' ELSE 'red' END
+  WHEN novel THEN 'new-older' WHEN unreviewed THEN 'unreviewed' ELSE 'reviewed' END AS placed FROM g)"""
+
+
+def _placed(t: Tables) -> DataFrame:
+    """(hgnc_id, placed): the group of each of 900 genes; every fourth association rests on older literature."""
+    older = F.col("position") % 4 == 0
+    rated = _rated(t).withColumn("hgnc_id", F.col("id") % 900).withColumn("finding", F.when(~older, F.col("finding")))
+    g = rated.groupBy("hgnc_id").agg(
+        F.max(F.when(F.col("finding").isNotNull(), F.col("rating"))).alias("best"), F.bool_and(F.col("listed_rating").isNull()).alias("novel"),
+        F.bool_or(F.col("listed_rating").isNotNull() & ~F.col("reviewed")).alias("unreviewed"),
+    )
+    return g.select("hgnc_id", R.gene_group(F.col("novel"), F.col("best"), F.col("unreviewed")).alias("placed"))
+
+
+@query(f"WITH {_GROUPS} SELECT placed, count(*) AS genes FROM p GROUP BY placed")
 def g8_gene_placement(t: Tables) -> DataFrame:
-    strength = F.when(F.col("finding") == "new_gene", 2).when(F.col("finding") == "upgrade", 1).otherwise(0)
-    g = _rated(t).groupBy("hgnc_id").agg(F.max("rating").alias("rating"), F.max(strength).alias("f"))
-    placed = F.when(F.col("f") == 2, "new").when(F.col("f") == 1, "upgraded").otherwise("known")
-    return g.groupBy(placed.alias("placed"), "rating").agg(F.count("*").alias("genes"))
+    return _placed(t).groupBy("placed").agg(F.count("*").alias("genes"))
 
 
-@query("""
-WITH f AS (SELECT p.doi, p.source = '1-URGENT' AS featured, EXISTS (SELECT 1 FROM mentions m WHERE m.paper_doi = p.doi) AS mentioned,
-  EXISTS (SELECT 1 FROM citations c WHERE c.paper_doi = p.doi) AS cited, p.relevant, p.extraction_json IS NOT NULL AS read FROM papers p)
-SELECT CASE WHEN read AND cited THEN 'read_cited' WHEN read THEN 'read' WHEN cited THEN 'cited' WHEN relevant AND mentioned THEN 'relevant_mentioned'
-  WHEN relevant THEN 'relevant' WHEN relevant IS NULL THEN 'unassessed' ELSE 'rejected' END AS bucket, count(*) AS n FROM f WHERE featured GROUP BY 1""")
+@query(f"""
+WITH {_GROUPS},
+c AS (SELECT m.paper_doi, min(CASE WHEN m.source <> 'recent_evidence' THEN CASE WHEN p.placed LIKE 'new-%' THEN 0 WHEN p.placed LIKE 'finding-%' THEN 1 WHEN p.placed = 'unreviewed' THEN 2 ELSE 3 END END) AS best
+  FROM mentions m JOIN p ON m.hgnc_id = p.hgnc_id WHERE m.hgnc_id % 3 = 0 GROUP BY m.paper_doi),
+f AS (SELECT x.doi, c.best, c.paper_doi IS NOT NULL AND c.best IS NULL AS filtered, x.relevance_json IS NOT NULL AS assessed, x.extraction_json IS NOT NULL AS read,
+  coalesce(x.relevant, false) OR EXISTS (SELECT 1 FROM citations k WHERE k.paper_doi = x.doi) AS in_corpus, coalesce(x.download_status = 'manual_required', false) AS manual,
+  json_extract_string(x.relevance_json, '$.refused.model') IS NOT NULL AS refused FROM papers x LEFT JOIN c ON x.doi = c.paper_doi WHERE x.source_type = 'initial' AND x.source <> '5-LOW'),
+b AS (SELECT CASE WHEN best IS NOT NULL THEN ['novel', 'findings', 'unreviewed', 'already_reviewed'][best + 1] WHEN filtered THEN 'filtered' WHEN NOT assessed THEN NULL WHEN read THEN 'read_no_evidence'
+  WHEN in_corpus THEN CASE WHEN manual THEN 'manual_download' END WHEN refused THEN 'refused' ELSE 'not_relevant' END AS bucket FROM f)
+SELECT bucket, count(*) AS n FROM b WHERE bucket IS NOT NULL GROUP BY bucket""")
 def g9_featured_buckets(t: Tables) -> DataFrame:
-    f = P.with_flag(t.papers.where("source = '1-URGENT'"), t.mentions, [("doi", "paper_doi")], "mentioned")
+    added = F.when(F.col("source") != "recent_evidence", R.contribution(F.col("placed")))
+    c = t.mentions.where("hgnc_id % 3 = 0").join(_placed(t), "hgnc_id").groupBy("paper_doi").agg(F.min(added).alias("best"))
+    f = t.papers.where("source_type = 'initial' AND source <> '5-LOW'").join(c, F.col("doi") == F.col("paper_doi"), "left")
     f = P.with_flag(f, t.citations, [("doi", "paper_doi")], "cited")
-    read = F.col("extraction_json").isNotNull()
-    bucket = P.first_reason((read & F.col("cited"), "read_cited"), (read, "read"), (F.col("cited"), "cited"), (F.col("relevant") & F.col("mentioned"), "relevant_mentioned"), (F.col("relevant"), "relevant"), (F.col("relevant").isNull(), "unassessed"), otherwise="rejected")
-    return f.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    yes = lambda x: F.coalesce(x, F.lit(False))
+    filtered = F.col("paper_doi").isNotNull() & F.col("best").isNull()
+    bucket = R.featured_bucket(F.col("best"), filtered, F.col("relevance_json").isNotNull(), F.col("extraction_json").isNotNull(), yes(F.col("relevant")) | F.col("cited"), yes(F.col("download_status") == "manual_required"), P.refused())
+    return f.select(bucket.alias("bucket")).where("bucket IS NOT NULL").groupBy("bucket").agg(F.count("*").alias("n"))
 
 
 @query("""
 WITH e AS (SELECT DISTINCT l_partkey AS hgnc_id FROM lineitem WHERE l_quantity > 49),
-r AS (SELECT hgnc_id, count(*) AS papers FROM mentions GROUP BY hgnc_id)
-SELECT e.hgnc_id, coalesce(r.papers, 0) AS papers FROM e LEFT JOIN r ON e.hgnc_id = r.hgnc_id WHERE e.hgnc_id NOT IN (SELECT hgnc_id FROM associations)""")
+r AS (SELECT hgnc_id, count(*) AS papers FROM mentions GROUP BY hgnc_id),
+c AS (SELECT DISTINCT hgnc_id FROM citations)
+SELECT e.hgnc_id, coalesce(r.papers, 0) AS papers, CASE WHEN c.hgnc_id IS NULL THEN 'no citation' WHEN r.papers IS NULL THEN 'no paper' ELSE 'no entity' END AS reason
+FROM e LEFT JOIN r ON e.hgnc_id = r.hgnc_id LEFT JOIN c ON e.hgnc_id = c.hgnc_id WHERE e.hgnc_id NOT IN (SELECT hgnc_id FROM associations)""")
 def g10_entries_without_evidence(t: Tables) -> DataFrame:
     entries = t.lineitem.where("l_quantity > 49").select(F.col("l_partkey").alias("hgnc_id")).distinct().join(t.associations, "hgnc_id", "left_anti")
     read = t.mentions.groupBy("hgnc_id").agg(F.count("*").alias("papers"))
-    return entries.join(read, "hgnc_id", "left").select("hgnc_id", F.coalesce("papers", F.lit(0)).alias("papers"))
+    found = P.with_flag(entries.join(read, "hgnc_id", "left"), t.citations, [("hgnc_id", "hgnc_id")], "cited")
+    reason = P.first_reason((~F.col("cited"), "no citation"), (F.col("papers").isNull(), "no paper"), otherwise="no entity")
+    return found.select("hgnc_id", F.coalesce("papers", F.lit(0)).alias("papers"), reason.alias("reason"))
 
 
 @query("""
@@ -91,36 +116,53 @@ def g15_unlisted_first(t: Tables) -> DataFrame:
 
 
 @query(f"""
-WITH r AS (SELECT hgnc_id, moi, {_RATING} AS rating, {_FINDING} AS finding FROM associations),
-n AS (SELECT hgnc_id, count(*) FILTER (WHERE finding IS NOT NULL) AS f, max(rating) AS best FROM r GROUP BY hgnc_id)
-SELECT r.hgnc_id, string_agg(DISTINCT r.moi, ',' ORDER BY r.moi) AS modes, count(*) AS chosen FROM r JOIN n ON r.hgnc_id = n.hgnc_id
-WHERE (n.f > 0 AND r.finding IS NOT NULL) OR (n.f = 0 AND r.rating = n.best) GROUP BY r.hgnc_id""")
+WITH r AS (SELECT id % 900 AS gene, id, moi, disease, reviewed, {_FINDING} AS finding FROM associations),
+n AS (SELECT gene, count(finding) AS f, count(*) FILTER (WHERE NOT reviewed) AS u FROM r GROUP BY gene),
+c AS (SELECT r.*, n.f > 0 OR n.u > 0 AS rated FROM r JOIN n ON r.gene = n.gene WHERE CASE WHEN n.f > 0 THEN r.finding IS NOT NULL WHEN n.u > 0 THEN NOT r.reviewed ELSE true END),
+m AS (SELECT gene, coalesce(list_filter(list(DISTINCT moi), lambda x: x <> 'NR'), []) AS k FROM c GROUP BY gene),
+k AS (SELECT gene, CASE WHEN len(list_filter(k, lambda x: x <> 'Other')) > 0 THEN list_filter(k, lambda x: x <> 'Other') ELSE k END AS k FROM m),
+d AS (SELECT c.gene, string_agg(DISTINCT x.paper_doi, ' ' ORDER BY x.paper_doi) AS publications FROM c JOIN citations x ON c.id = x.hgnc_id GROUP BY c.gene)
+SELECT c.gene, bool_and(c.rated) AS rated, count(*) AS chosen, string_agg(DISTINCT c.disease, '; ' ORDER BY c.disease) AS phenotypes, coalesce(any_value(d.publications), '') AS publications,
+  any_value(CASE WHEN len(k.k) = 0 THEN 'Unknown' WHEN len(k.k) = 1 THEN k.k[1] WHEN len(list_filter(k.k, lambda x: x NOT IN ('MONOALLELIC', 'BIALLELIC'))) = 0 THEN 'BOTH' ELSE 'Other' END) AS mode
+FROM c JOIN k ON c.gene = k.gene LEFT JOIN d ON c.gene = d.gene GROUP BY c.gene""")
 def g16_prefill_selection(t: Tables) -> DataFrame:
-    w = Window.partitionBy("hgnc_id")
-    r = _rated(t).withColumns({"f": F.count("finding").over(w), "best": F.max("rating").over(w)})
-    chosen = r.where(((F.col("f") > 0) & F.col("finding").isNotNull()) | ((F.col("f") == 0) & (F.col("rating") == F.col("best"))))
-    return chosen.groupBy("hgnc_id").agg(F.array_join(F.array_sort(F.collect_set("moi")), ",").alias("modes"), F.count("*").alias("chosen"))
+    rows = _rated(t).withColumn("gene", F.col("id") % 900).join(t.citations.groupBy(F.col("hgnc_id").alias("id")).agg(F.collect_set("paper_doi").alias("publications")), "id", "left")
+    return A.prefill(rows.withColumnRenamed("moi", "mode"), "gene").select("gene", "rated", "chosen", F.array_join("phenotypes", "; ").alias("phenotypes"), F.array_join("publications", " ").alias("publications"), "mode")
 
 
-@query("SELECT l_partkey AS gene, count(DISTINCT l_suppkey) AS panels FROM lineitem GROUP BY l_partkey")
+_PANELS = """panels AS (SELECT o.o_orderkey AS id, 'Panel ' || o.o_orderkey AS name, CASE WHEN o.o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS super FROM orders o),
+held AS (SELECT l_orderkey AS panel, l_partkey AS gene, l_linenumber AS n, l_returnflag AS flag, l_linestatus AS state FROM lineitem)"""
+
+
+def _panels(t: Tables) -> DataFrame:
+    """Panels as a snapshot has them, of orders and their lines."""
+    evaluations = F.when(F.col("l_linestatus") == "O", F.array()).when(F.col("l_returnflag") == "R", F.array(F.struct(F.col("l_shipdate").cast("string").alias("created"), F.lit("GREEN").alias("rating"), F.array(F.concat(F.lit("r"), F.col("l_suppkey").cast("string"))).alias("publications"))))
+    evaluations = evaluations.cast("array<struct<created:string,rating:string,publications:array<string>>>")
+    gene = F.struct(F.col("l_partkey").alias("hgnc_id"), F.array(F.concat(F.lit("p"), F.col("l_linenumber").cast("string"))).alias("publications"), evaluations.alias("evaluations"))
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("id")).agg(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("n"), gene.alias("gene")))).alias("lines"))
+    children = F.when(F.col("o_orderkey") % 5 == 0, F.array(F.col("o_orderkey") + 1)).otherwise(F.array().cast("array<bigint>"))
+    orders = t.orders.select(F.col("o_orderkey").alias("id"), F.concat(F.lit("Panel "), F.col("o_orderkey").cast("string")).alias("name"), F.col("o_orderpriority").alias("description"), children.alias("child_panel_ids"))
+    return orders.join(lines, "id", "left").withColumn("genes", F.transform("lines", lambda x: x["gene"])).drop("lines")
+
+
+@query(f"WITH {_PANELS} SELECT gene, count(DISTINCT panel) AS panels, min(panel) AS first FROM held JOIN panels ON panel = id GROUP BY gene")
 def p1_gene_panels(t: Tables) -> DataFrame:
-    return t.lineitem.groupBy(F.col("l_partkey").alias("gene")).agg(F.countDistinct("l_suppkey").alias("panels"))
+    found = panels.gene_panels(_panels(t))
+    return found.select("gene", F.size("panels").cast("long").alias("panels"), F.array_min("panels").alias("first"))
 
 
-@query("SELECT n_nationkey AS id, n_name AS name FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 9500)")
+@query(f"WITH {_PANELS} SELECT p.id, p.name, o.o_orderpriority AS description FROM panels p JOIN orders o ON p.id = o.o_orderkey WHERE super = 0")
 def p2_panels_without_children(t: Tables) -> DataFrame:
-    children = t.supplier.where("s_acctbal > 9500").groupBy("s_nationkey").agg(F.collect_list("s_suppkey").alias("children"))
-    joined = t.nation.join(children, F.col("n_nationkey") == F.col("s_nationkey"), "left")
-    return joined.where(F.size(F.coalesce("children", F.array().cast("array<bigint>"))) == 0).select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    return panels.descriptions(_panels(t)).select("id", "name", "description")
 
 
-@query("""
-WITH v AS (SELECT o_custkey, count(*) FILTER (WHERE o_orderstatus = 'F') AS n FROM orders GROUP BY o_custkey)
-SELECT c.c_custkey, CASE WHEN v.o_custkey IS NULL THEN 'not served' WHEN v.n = 0 THEN 'none' ELSE CAST(v.n AS VARCHAR) END AS reviews FROM customer c LEFT JOIN v ON c.c_custkey = v.o_custkey""")
+@query(f"""
+WITH {_PANELS}, l AS (SELECT l_orderkey AS panel, l_partkey AS gene, l_linenumber AS n, l_linestatus, l_returnflag, l_shipdate FROM lineitem),
+f AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY panel, gene ORDER BY n DESC, CASE WHEN l_linestatus = 'O' THEN 1 WHEN l_returnflag = 'R' THEN 2 ELSE 0 END DESC, l_shipdate DESC) = 1)
+SELECT panel, gene, CASE WHEN l_linestatus = 'O' THEN 'none' WHEN l_returnflag = 'R' THEN 'reviewed' ELSE 'not served' END AS state, CASE WHEN l_linestatus <> 'O' AND l_returnflag = 'R' THEN strftime(l_shipdate, '%Y-%m-%d') END AS latest FROM f""")
 def p3_reviews_of_entries(t: Tables) -> DataFrame:
-    v = t.orders.groupBy("o_custkey").agg(F.filter(F.collect_list("o_orderstatus"), lambda x: x == "F").alias("reviews"))
-    state = F.when(F.col("reviews").isNull(), "not served").when(F.size("reviews") == 0, "none").otherwise(F.size("reviews").cast("string"))
-    return t.customer.join(v, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", state.alias("reviews"))
+    found = panels.gene_reviews(_panels(t))
+    return found.select("panel", "gene", panels.review_state(F.col("reviews")).alias("state"), F.left(F.get("reviews", F.lit(0))["created"], F.lit(10)).alias("latest"))
 
 
 @query("""
@@ -147,12 +189,10 @@ def p5_reviewed_in_full(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT o_custkey, count(*) AS publications FROM (SELECT o_custkey, o_orderkey FROM orders UNION ALL SELECT o_custkey, l_partkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_returnflag = 'R') q GROUP BY o_custkey""")
+WITH p AS (SELECT l_orderkey AS panel, l_partkey AS gene, 'p' || l_linenumber AS pub FROM lineitem UNION SELECT l_orderkey, l_partkey, 'r' || l_suppkey FROM lineitem WHERE l_linestatus <> 'O' AND l_returnflag = 'R')
+SELECT panel, gene, string_agg(pub, ' ' ORDER BY pub) AS publications FROM p GROUP BY panel, gene""")
 def p6_entry_publications(t: Tables) -> DataFrame:
-    reviews = t.lineitem.where("l_returnflag = 'R'").groupBy("l_orderkey").agg(F.collect_list("l_partkey").alias("pubs"))
-    joined = t.orders.join(reviews, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    by = joined.groupBy("o_custkey").agg(F.collect_list("o_orderkey").alias("own"), F.collect_list(F.coalesce("pubs", F.array().cast("array<bigint>"))).alias("reviewed"))
-    return by.select("o_custkey", F.size(F.concat("own", F.flatten("reviewed"))).cast("long").alias("publications"))
+    return panels.entry_publications(_panels(t)).select("panel", "gene", F.array_join("publications", " ").alias("publications"))
 
 
 @query("""
@@ -242,9 +282,10 @@ def p17_pursued(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT a.id, string_agg(CAST(o.id AS VARCHAR), ',' ORDER BY o.id) AS others FROM associations a JOIN associations o ON a.hgnc_id = o.hgnc_id AND a.id <> o.id WHERE a.id <= 500 AND o.id <= 500 GROUP BY a.id""")
+WITH g AS (SELECT id, id % 900 AS gene FROM associations)
+SELECT a.id, string_agg(CAST(o.id AS VARCHAR), ',' ORDER BY o.id) AS others FROM g a JOIN g o ON a.gene = o.gene AND a.id <> o.id GROUP BY a.id""")
 def p18_other_associations(t: Tables) -> DataFrame:
-    rows = t.associations.where("id <= 500").select("hgnc_id", "id")
-    siblings = rows.withColumn("all", F.array_sort(F.collect_list("id").over(Window.partitionBy("hgnc_id"))))
+    rows = t.associations.select((F.col("id") % 900).alias("gene"), "id")
+    siblings = rows.withColumn("all", F.array_sort(F.collect_list("id").over(Window.partitionBy("gene"))))
     others = siblings.withColumn("others", F.filter("all", lambda x: x != F.col("id"))).where(F.size("others") > 0)
     return others.select("id", F.array_join(F.transform("others", lambda x: x.cast("string")), ",").alias("others"))

@@ -22,10 +22,11 @@ def m1_gene_rating(t: Tables) -> DataFrame:
 
 
 @query(f"""
-SELECT id, CASE WHEN reviewed THEN NULL WHEN listed_rating IS NULL THEN 'new_gene' WHEN moi = 'BIALLELIC' AND coalesce(families, 0) >= 2 THEN 'new_mode'
+SELECT id, CASE WHEN reviewed OR position % 4 = 0 THEN NULL WHEN listed_rating IS NULL THEN 'new_gene' WHEN moi = 'BIALLELIC' AND coalesce(families, 0) >= 2 THEN 'new_mode'
   WHEN {_RATING} > listed_rating THEN 'upgrade' END AS finding FROM associations""")
 def m2_findings(t: Tables) -> DataFrame:
-    return t.associations.select("id", R.finding(_rating(), F.col("listed_rating"), F.col("reviewed"), F.col("moi") == "BIALLELIC", F.col("families")).alias("finding"))
+    older = F.col("position") % 4 == 0
+    return t.associations.select("id", R.finding(_rating(), F.col("listed_rating"), F.col("reviewed"), F.col("moi") == "BIALLELIC", F.col("families"), older).alias("finding"))
 
 
 @query("""
@@ -55,11 +56,20 @@ def m5_derived_families(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH s AS (SELECT hgnc_id, list_filter(list(DISTINCT moi), lambda x: x <> 'NR') AS k FROM associations GROUP BY hgnc_id),
-k AS (SELECT hgnc_id, CASE WHEN len(list_filter(k, lambda x: x <> 'Other')) > 0 THEN list_filter(k, lambda x: x <> 'Other') ELSE k END AS k FROM s)
-SELECT hgnc_id, CASE WHEN len(k) = 0 THEN 'Unknown' WHEN len(k) = 1 THEN k[1] WHEN len(k) = 2 AND list_contains(k, 'MONOALLELIC') AND list_contains(k, 'BIALLELIC') THEN 'BOTH' ELSE 'Other' END AS mode FROM k""")
+WITH a AS (SELECT p_partkey % 700 AS gene, CASE WHEN moi IN ('X-LINKED', 'Other') AND id % 3 <> 0 THEN 'BOTH' ELSE moi END AS moi,
+  CASE id % 5 WHEN 0 THEN 'mosaic; imprinted, paternal allele expressed' WHEN 1 THEN 'imprinted, maternal allele expressed' ELSE '' END AS details FROM (SELECT *, id AS p_partkey FROM associations) q),
+s AS (SELECT gene, list(DISTINCT moi) FILTER (WHERE moi <> 'NR') AS k, bool_or(moi = 'MONOALLELIC' AND details LIKE '%paternal%') AS p, bool_or(moi = 'MONOALLELIC' AND details LIKE '%maternal%') AS m FROM a GROUP BY gene),
+k AS (SELECT gene, p, m, CASE WHEN len(list_filter(k, lambda x: x <> 'Other')) > 0 THEN list_filter(k, lambda x: x <> 'Other') ELSE coalesce(k, []) END AS k FROM s)
+SELECT gene, CASE WHEN len(k) = 0 THEN 'Unknown' WHEN k = ['MONOALLELIC'] AND p AND m THEN 'MONOALLELIC, autosomal or pseudoautosomal, imprinted status unknown'
+  WHEN k = ['MONOALLELIC'] AND p THEN 'MONOALLELIC, autosomal or pseudoautosomal, maternally imprinted (paternal allele expressed)'
+  WHEN k = ['MONOALLELIC'] AND m THEN 'MONOALLELIC, autosomal or pseudoautosomal, paternally imprinted (maternal allele expressed)'
+  WHEN k = ['MONOALLELIC'] THEN 'MONOALLELIC, autosomal or pseudoautosomal, NOT imprinted' WHEN len(k) = 1 THEN k[1]
+  WHEN len(list_filter(k, lambda x: x NOT IN ('BOTH', 'MONOALLELIC', 'BIALLELIC'))) = 0 THEN 'BOTH' ELSE 'Other' END AS mode FROM k""")
 def m6_modes_of_inheritance(t: Tables) -> DataFrame:
-    return t.associations.groupBy("hgnc_id").agg(F.collect_set("moi").alias("modes")).select("hgnc_id", R.mode_of_inheritance(F.col("modes")).alias("mode"))
+    mode = F.when(F.col("moi").isin("X-LINKED", "Other") & (F.col("id") % 3 != 0), "BOTH").otherwise(F.col("moi"))
+    details = F.when(F.col("id") % 5 == 0, "mosaic; imprinted, paternal allele expressed").when(F.col("id") % 5 == 1, R.MATERNAL).otherwise("")
+    rows = t.associations.groupBy((F.col("id") % 700).alias("gene")).agg(F.collect_list(F.struct(mode.alias("mode"), details.alias("details"))).alias("rows"))
+    return rows.select("gene", R.panel_mode(F.col("rows")).alias("mode"))
 
 
 @query("""

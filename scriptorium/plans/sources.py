@@ -55,11 +55,11 @@ def src_crossref_versions(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT 'pubmed' || CAST(24 + p_partkey % 2 AS VARCHAR) || 'n' || lpad(CAST(p_partkey AS VARCHAR), 4, '0') || '.xml.gz' AS name, CAST(2024 + p_partkey % 2 AS INT) AS year, CAST(p_partkey AS INT) AS number FROM part WHERE p_partkey <= 900""")
+SELECT DISTINCT 'pubmed' || CAST(24 + p_partkey % 2 AS VARCHAR) || 'n' || lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0') || '.xml.gz' AS name, CAST(2024 + p_partkey % 2 AS INT) AS year, CAST(p_partkey % 10000 AS INT) AS number FROM part""")
 def src_update_files(t: Tables) -> DataFrame:
     k = F.col("p_partkey")
-    name = F.concat(F.lit("pubmed"), (24 + k % 2).cast("string"), F.lit("n"), F.lpad(k.cast("string"), 4, "0"), F.lit(".xml.gz"))
-    lines = t.part.where("p_partkey <= 900").select(F.concat(F.lit('<a href="'), name, F.lit('">'), name, F.lit("</a> <a>"), name, F.lit(".md5</a>")).alias("line"))
+    name = F.concat(F.lit("pubmed"), (24 + k % 2).cast("string"), F.lit("n"), F.lpad((k % 10000).cast("string"), 4, "0"), F.lit(".xml.gz"))
+    lines = t.part.select(F.concat(F.lit('<a href="'), name, F.lit('">'), name, F.lit("</a> <a>"), name, F.lit(".md5</a>")).alias("line"))
     return B.update_files(lines)
 
 

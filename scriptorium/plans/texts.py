@@ -10,15 +10,27 @@ from .frames import Tables
 from .query import query
 
 
-@query()
+@query("""
+SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN '10.1234/ab(' || p_partkey || ')x 10.1101/2020.01.01.1' WHEN 1 THEN '10.1101/2021.04.27.' || p_partkey
+  ELSE '10.5000/' || p_partkey || '[a] 10.9999/z' END AS dois FROM part""")
 def t1_dois(t: Tables) -> DataFrame:
-    url = F.concat(F.lit("see https://doi.org/10.1234/ab("), F.col("p_partkey").cast("string"), F.lit(")x). Also 10.1101/2020.01.01.1v2;"))
-    return t.part.select("p_partkey", F.array_join(T.dois(url), " ").alias("dois"))
+    k = F.col("p_partkey").cast("string")
+    bracketed = F.concat(F.lit("see https://doi.org/10.1234/ab("), k, F.lit(")x). Also 10.1101/2020.01.01.1v2;"))
+    version = F.concat(F.lit("https://www.biorxiv.org/content/10.1101/2021.04.27."), k, F.lit("v1.full.pdf?x=1 and 10.1101/2021.04.27."), k)
+    marks = F.concat(F.lit("[10.5000/"), k, F.lit("[a]]; 10.9999/z#part, 10.9999/z."))
+    text = F.when(F.col("p_partkey") % 3 == 0, bracketed).when(F.col("p_partkey") % 3 == 1, version).otherwise(marks)
+    return t.part.select("p_partkey", F.array_join(T.dois(text), " ").alias("dois"))
 
 
-@query()
+@query("""
+WITH k AS (SELECT p_partkey, CAST(p_partkey + 1000000 AS VARCHAR) AS k FROM part)
+SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN k WHEN 1 THEN k || ' 2345678' WHEN 2 THEN k WHEN 3 THEN '' WHEN 4 THEN k || ' 55555' ELSE k END AS pmids FROM k""")
 def t2_pmids(t: Tables) -> DataFrame:
-    text = F.concat(F.lit("PMID: "), (F.col("p_partkey") + 1000000).cast("string"), F.lit("; OMIM 123456; 10.1000/7654321"))
+    k = (F.col("p_partkey") + 1000000).cast("string")
+    forms = [("PMID: ", "; OMIM 123456; 10.1000/7654321"), ("PMIDs: ", ", 2345678, 1234 and 99999"), ("PubMed ID: ", " Corpus ID: 245670"), ("bioRxiv ", ", ID 123456, 0123456"), ("", ", 55555; 123456789"), ("https://pubmed.ncbi.nlm.nih.gov/", "/?x=1 MIM# 601492")]
+    text = F.lit("")
+    for n, (before, after) in enumerate(forms):
+        text = F.when(F.col("p_partkey") % 6 == n, F.concat(F.lit(before), k, F.lit(after))).otherwise(text)
     return t.part.select("p_partkey", F.array_join(T.pmids(text), " ").alias("pmids"))
 
 
@@ -28,15 +40,18 @@ cur AS (SELECT upper(replace(p_name, ' ', '-')) AS s, min(p_partkey) AS gene FRO
 prev AS (SELECT upper(replace(p_name, ' ', '-')) AS s, count(*) AS n, min(p_partkey) AS gene FROM part WHERE p_partkey % 3 = 1 GROUP BY 1),
 ali AS (SELECT upper(replace(p_name, ' ', '-')) AS s, count(*) AS n, min(p_partkey) AS gene FROM part WHERE p_partkey % 3 = 2 GROUP BY 1)
 SELECT q.id, coalesce(cur.gene, CASE WHEN prev.n = 1 THEN prev.gene WHEN prev.n > 1 THEN NULL WHEN ali.n = 1 THEN ali.gene END) AS gene
-FROM q LEFT JOIN cur ON q.s = cur.s LEFT JOIN prev ON q.s = prev.s LEFT JOIN ali ON q.s = ali.s""")
+FROM q LEFT JOIN cur ON q.s = cur.s LEFT JOIN prev ON q.s = prev.s LEFT JOIN ali ON q.s = ali.s
+UNION ALL SELECT -p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_partkey END FROM part""")
 def t3_symbol_resolution(t: Tables) -> DataFrame:
     from ..operators.resolve import resolve
 
     key = T.normal_symbol(F.replace(F.col("p_name"), F.lit(" "), F.lit("-")))
     named = t.part.select(F.col("p_partkey").alias("gene"), key.alias("symbol"))
     part = lambda k: named.where(F.col("gene") % 3 == k)
-    asked = t.part.select(F.col("p_partkey").alias("id"), key.alias("symbol"))
-    return resolve(asked, part(0), part(1), part(2)).select("id", "gene")
+    family = t.part.where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("gene"), F.concat(F.lit("ERCC"), F.col("p_partkey").cast("string")).alias("symbol"))
+    misspelt = t.part.select((-F.col("p_partkey")).alias("id"), F.concat(F.lit("ERRC"), F.col("p_partkey").cast("string")).alias("symbol"))
+    asked = t.part.select(F.col("p_partkey").alias("id"), key.alias("symbol")).union(misspelt)
+    return resolve(asked, part(0).union(family), part(1), part(2)).select("id", "gene")
 
 
 @query("""
@@ -48,24 +63,25 @@ def t4_chromosome(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", T.chromosome(place).alias("chromosome"))
 
 
-@query()
+@query("SELECT p_partkey, p_name || ' XYZ ABC1-AS QRS (XYZ)' AS text FROM part")
 def t5_symbol_replacement(t: Tables) -> DataFrame:
     text = F.concat(F.col("p_name"), F.lit(" ABC1 ABC1-AS ABC12 (ABC1)"))
     return t.part.select("p_partkey", T.replace_symbols(text, {"ABC1": "XYZ", "ABC12": "QRS"}).alias("text"))
 
 
-@query("SELECT doi, pmid IS NULL OR lower(source) LIKE '%high%' AS is_preprint FROM papers")
+@query("SELECT doi, pmid IS NULL OR issn < 11 AS is_preprint FROM papers")
 def t6_preprints(t: Tables) -> DataFrame:
-    journal = F.when(F.contains(F.lower("source"), F.lit("high")), "bioRxiv").otherwise("Journal")
+    names = ["The bioRxiv", "MedRxiv", "arXiv.org", "SSRN Journal", "Research Square", "Preprints", "ChemRxiv", "EarthArXiv", "PsyArXiv", "SocArXiv", "OSF Preprints", "Archives of Things"]
+    journal = F.element_at(F.array(*map(F.lit, names)), F.least(F.col("issn") + 1, F.lit(12)).cast("int"))
     return t.papers.select("doi", T.is_preprint(F.col("pmid"), journal).alias("is_preprint"))
 
 
 @query("""
-WITH q AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN ' N/A ' WHEN 1 THEN '.x.' ELSE substr(text, 1, 10) END AS q FROM documents)
-SELECT doc_id, length(regexp_replace(q, '[^\\p{L}\\p{N}]', '', 'g')) < 2 OR lower(trim(q)) IN ('n/a', 'na', 'none', 'nr', 'not reported', 'not applicable') AS placeholder FROM q""")
+SELECT doc_id, kind = 'whole' AND (length(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g')) < 2 OR lower(trim(text, ' ' || chr(9) || chr(10) || chr(13))) IN ('placeholder', 'pending', 'n/a', 'tbd')) OR kind = 'stands in' AS placeholder
+FROM (SELECT doc_id, text, CASE WHEN doc_id % 8 IN (0, 1, 2, 3) THEN 'stands in' WHEN doc_id % 8 = 4 THEN 'quoted' ELSE 'whole' END AS kind FROM documents) q""")
 def t7_placeholder_quotes(t: Tables) -> DataFrame:
-    k = F.col("doc_id") % 4
-    q = F.when(k == 0, " N/A ").when(k == 1, ".x.").otherwise(F.left("text", F.lit(10)))
+    k = F.col("doc_id") % 8
+    q = F.when(k == 0, " N/A ").when(k == 1, ".x.").when(k == 2, "TBD\n").when(k == 3, "Pending").when(k == 4, "NR").otherwise(F.col("text"))
     return t.documents.select("doc_id", T.is_placeholder(q).alias("placeholder"))
 
 
@@ -75,9 +91,13 @@ def t8_strip_tags(t: Tables) -> DataFrame:
     return t.pages.select("page_id", F.md5(T.strip_tags(F.col("html"))).alias("text"))
 
 
-@query()
+@query("""
+SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'Unknown' WHEN 1 THEN 'UkaszZoc' ELSE 'Mullerludenscheid' || upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) END AS key FROM customer""")
 def t9_author_keys(t: Tables) -> DataFrame:
-    return t.customer.select("c_custkey", T.author_keys(F.concat(F.lit("Müller-Lüdenscheid "), F.col("c_mktsegment"), F.lit(", A; B"))).alias("key"))
+    k = F.col("c_custkey") % 4
+    long = F.concat(F.lit("Müller-Lüdenscheid "), F.col("c_mktsegment"), F.lit(", A; B"))
+    names = F.when(k == 0, F.when(F.col("c_custkey") % 8 == 0, " ; B, C")).when(k == 1, "Łukasz Żółć; Other").otherwise(long)
+    return t.customer.select("c_custkey", T.author_keys(names).alias("key"))
 
 
 @query("SELECT doc_id, CASE WHEN length(text) > 60 THEN substr(text, 1, 60) || '...' ELSE text END AS text FROM documents")
@@ -86,11 +106,12 @@ def t10_shorten(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT p_partkey, array_to_string(list_filter(string_split_regex(lower(p_name), '[^a-z0-9]+'), lambda x: x <> '' AND x NOT IN ('of', 'the')), ' ') AS tokens FROM part""")
+SELECT p_partkey, array_to_string(list_filter(string_split_regex(lower(p_name), '[^a-z0-9]+'), lambda x: x <> '' AND x NOT IN ('a', 'an', 'and', 'associated', 'by', 'due', 'for', 'in', 'of', 'or', 'related', 'the', 'to', 'type', 'with')), ' ') || ' naive syndrome 7' AS tokens FROM part""")
 def t11_tokens(t: Tables) -> DataFrame:
     from ..operators.search import tokens
 
-    return t.part.select("p_partkey", F.array_join(F.filter(tokens(F.col("p_name")), lambda x: ~x.isin("of", "the")), " ").alias("tokens"))
+    name = F.concat("p_name", F.lit(" of the Naïve-β syndrome, TYPE 7 (due to)"))
+    return t.part.select("p_partkey", F.array_join(tokens(name), " ").alias("tokens"))
 
 
 @query("""

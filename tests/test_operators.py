@@ -27,21 +27,35 @@ def one(spark, column, **values):
     return row.select(column.alias("x")).first()["x"]
 
 
-@pytest.mark.parametrize("raw, want", [("10.1000/ab(1)c).", "10.1000/ab(1)c"), ("10.1101/2020.01.02.3v4", "10.1101/2020.01.02.3"), ("10.1000/x?y=1#z", "10.1000/x"), ("10.1000/x;", "10.1000/x")])
-def test_clean_doi(raw, want):
-    assert T.clean_doi(raw) == want
+def test_dois(spark):
+    cases = {
+        "10.1000/ab(1)c).": ["10.1000/ab(1)c"], "10.1101/2020.01.02.3v4": ["10.1101/2020.01.02.3"], "10.1000/x?y=1#z": ["10.1000/x"], "10.1000/x; 10.1000/X; 10.1000/x.": ["10.1000/x", "10.1000/X"],
+        "10.5555/12.3v1.full.pdf": ["10.5555/12.3"], "10.5555/abv1": ["10.5555/abv1"], "(10.1000/a[1])": ["10.1000/a[1]"], "none": [], None: [], "": [],
+    }
+    df = spark.createDataFrame([(t,) for t in cases], "t string").select("t", T.dois(F.col("t")).alias("x"))
+    assert {r["t"]: r["x"] for r in df.collect()} == cases
 
 
-@pytest.mark.parametrize("text, want", [("12345678", ["12345678"]), ("PMID: 1234567", ["1234567"]), ("OMIM 123456", []), ("PubMed ID 123456", ["123456"]), ("0123456", []), ("1234", []), ("10.1000/7654321", []), ("https://pubmed.ncbi.nlm.nih.gov/7654321/", ["7654321"])])
-def test_pubmed_ids(text, want):
-    assert T.pubmed_ids(text) == want
+def test_pubmed_ids(spark):
+    cases = {
+        "12345678": ["12345678"], "PMID: 1234567": ["1234567"], "OMIM 123456": [], "PubMed ID 123456": ["123456"], "0123456": [], "1234": [], "10.1000/7654321": [], "https://pubmed.ncbi.nlm.nih.gov/7654321/": ["7654321"],
+        "PMIDs: 12345678, 23456789": ["12345678", "23456789"], "Corpus ID: 245670502 or ID 12345": [], "see PubMed 12345 and 54321": ["12345"], "type 1, 130070": [], "12345, 12345": ["12345"], None: [],
+    }
+    df = spark.createDataFrame([(t,) for t in cases], "t string").select("t", T.pmids(F.col("t")).alias("x"))
+    assert {r["t"]: r["x"] for r in df.collect()} == cases
 
 
-@pytest.mark.parametrize("name, want", [("Müller, A; B", "Muller"), ("van der Berg, C", "VanDerBerg"), ("", "Unknown"), (None, "Unknown"), ("123", "Unknown")])
+@pytest.mark.parametrize("name, want", [("Müller, A; B", "Muller"), ("van der Berg, C", "VanDerBerg"), ("", "Unknown"), (None, "Unknown"), ("123", ""), ("Łukasz Żółć, A", "UkaszZoc"), (" ; B", "Unknown")])
 def test_author_key(name, want):
     assert T.author_key(name) == want
 
 
+def test_folding_and_respelling(spark):
+    assert one(spark, T.folded(F.col("t")), t="Ångström naïve ② β-x Ⅴ") == T.ascii_fold("Ångström naïve ② β-x Ⅴ")
+    for wrong, right in (("SERBINB7", "SERPINB7"), ("NROB1", "NR0B1"), ("SMARCAL", "SMARCAL1"), ("SMARCAL1", "SMARCAL1"), ("BRCA1", "BRCA1")):
+        assert one(spark, T.respelt(F.col("t")), t=wrong) == right
+
+
 @settings(max_examples=25, deadline=None)
 @given(st.text(alphabet="ab /*~+%é?#", max_size=12))
 def test_percent_encoding(spark, text):
@@ -55,16 +69,17 @@ def test_text_columns(spark):
     assert one(spark, T.chromosome(F.col("t")), t="unplaced") is None
     assert one(spark, T.normal_symbol(F.col("t")), t=" igα–1.2 ") == "IGA-1-2"
     assert one(spark, T.replace_symbols(F.col("t"), {"AB": "X", "AB1": "Y"}), t="AB AB1 AB-1 (AB)") == "X Y AB-1 (X)"
-    assert one(spark, T.is_placeholder(F.col("t")), t=" Not Reported ")
+    assert all(one(spark, T.is_placeholder(F.col("t")), t=x) for x in (" TBD\n", "Pending", "n/a", "-x", ""))
+    assert not any(one(spark, T.is_placeholder(F.col("t")), t=x) for x in ("NR", "none", "Not reported"))
     assert not one(spark, T.is_placeholder(F.col("t")), t="p.Arg1")
     assert one(spark, T.display_ids({"10.1/1": "A", "10.1/12": "B"})(F.col("t")), t="10.1/12,10.1/1") == "B,A"
 
 
 def test_ambiguous_previous_symbol_ends_the_search(spark):
     name = lambda *rows: spark.createDataFrame(list(rows), "gene long, symbol string")
-    asked = spark.createDataFrame([("CUR",), ("OLD",), ("TWO",), ("ALI",), ("NO",)], "symbol string")
-    got = resolve(asked, name((1, "CUR")), name((2, "OLD"), (3, "TWO"), (4, "TWO")), name((5, "ALI"), (6, "TWO")))
-    assert {r["symbol"]: r["gene"] for r in got.collect()} == {"CUR": 1, "OLD": 2, "TWO": None, "ALI": 5, "NO": None}
+    asked = spark.createDataFrame([("CUR",), ("OLD",), ("TWO",), ("ALI",), ("NO",), ("ERRC2",), ("WSF1",)], "symbol string")
+    got = resolve(asked, name((1, "CUR"), (7, "ERCC2"), (8, "WFS1")), name((2, "OLD"), (3, "TWO"), (4, "TWO")), name((5, "ALI"), (6, "TWO")))
+    assert {r["symbol"]: r["gene"] for r in got.collect()} == {"CUR": 1, "OLD": 2, "TWO": None, "ALI": 5, "NO": None, "ERRC2": 7, "WSF1": 8}
 
 
 def test_rules(spark):
@@ -101,6 +116,17 @@ def test_search_tiers(spark):
     names = spark.createDataFrame([(1, "Rare disease", 0), (2, "rare-disease", 2), (3, "Rare muscle disease", 0), (4, "Other", 0)], "term long, name string, kind int")
     got = search(names, spark.createDataFrame([("rare disease",)], "query string")).orderBy("rank").collect()
     assert [(r["term"], r["tier"]) for r in got] == [(1, 0), (2, 2), (3, 3)]
+    assert round(got[2]["precision"], 6) == round(2 / 3, 6)  # a share of tokens, not of weights
+
+
+def test_search_words_registries_and_ties(spark):
+    names = spark.createDataFrame([(1, "Zeta disease", 0), (2, "Alpha disease", 0), (3, "disease of the Naïve type", 0), (4, "x", 0)], "term long, name string, kind int")
+    xrefs = spark.createDataFrame([("ORPHANET:12", 4), ("ORPHANET:12", 2), ("OMIM:12", 1)], "xref string, term long")
+    asked = spark.createDataFrame([("disease",), ("naive DISEASE",), (" orpha:12",), ("OMIM: 12 ",), ("of the",)], "query string")
+    got: dict = {}
+    for r in search(names, asked, xrefs).orderBy("rank").collect():
+        got.setdefault(r["query"], []).append((r["term"], r["tier"]))
+    assert got == {"disease": [(2, 3), (3, 3), (1, 3)], "naive DISEASE": [(3, 3), (2, 3), (1, 3)], " orpha:12": [(2, 0), (4, 0)], "OMIM: 12 ": [(1, 0)]}
 
 
 @pytest.mark.parametrize("n, cuts", [(10, (7, 9)), (30, (21, 26)), (100, (70, 89))])
