@@ -2,9 +2,12 @@
 
 A record is JSON. The sorted set of its nested field paths, hashed, is its
 fingerprint; a fingerprint selects a declarative mapping: which array (or which
-fields) hold the turns, and where a turn's role and text are. Mapped records
-become canonical (role, text) turns, which a template renders with turn marks.
-Control strings inside roles and texts are escaped reversibly.
+fields) hold the turns, and where a turn's role and text are. A fingerprint of
+no mapping is led back, once, to the mapping with the most paths that it
+contains, so optional fields do no harm. Mapped records become canonical (role,
+text) turns, which a template renders with turn marks. Control strings inside
+roles and texts are escaped reversibly. Records that can't be mapped give a row
+that says why.
 """
 
 from __future__ import annotations
@@ -30,7 +33,8 @@ START, END, LINE = "<|im_start|>", "<|im_end|>\n", "\n"
 class Mapping:
     """``paths``: the field paths of its records, array elements as ``[]``. ``turns``: the array
     of turns with its role and text fields ("" for the record itself), or else ``fields``:
-    (field, role) pairs in order, joined by ``join`` where neighbours have one role."""
+    (field, role) pairs in order, joined by ``join`` where neighbours have one role. ``roles``
+    renames the roles of layouts that have their own."""
 
     paths: tuple[str, ...]
     turns: str | None = None
@@ -38,16 +42,18 @@ class Mapping:
     text: str = "content"
     fields: tuple[tuple[str, str], ...] = ()
     join: str = "\n\n"
+    roles: tuple[tuple[str, str], ...] = ()
 
 
-# Layouts in wide use, and the names they give roles.
+# Layouts in wide use, and the names that those with "from" and "value" give roles.
+ROLES = (("human", "user"), ("gpt", "assistant"), ("bot", "assistant"), ("model", "assistant"), ("prompter", "user"))
 MAPPINGS = (
     Mapping(("role", "text"), "", "role", "text"),
     Mapping(("role", "content"), "", "role", "content"),
-    Mapping(("from", "value"), "", "from", "value"),
+    Mapping(("from", "value"), "", "from", "value", roles=ROLES),
     Mapping(("messages", "messages[].role", "messages[].content"), "messages", "role", "content"),
     Mapping(("messages", "messages[].role", "messages[].text"), "messages", "role", "text"),
-    Mapping(("conversations", "conversations[].from", "conversations[].value"), "conversations", "from", "value"),
+    Mapping(("conversations", "conversations[].from", "conversations[].value"), "conversations", "from", "value", roles=ROLES),
     Mapping(("prompt", "response"), fields=(("prompt", "user"), ("response", "assistant"))),
     Mapping(("prompt", "completion"), fields=(("prompt", "user"), ("completion", "assistant"))),
     Mapping(("question", "answer"), fields=(("question", "user"), ("answer", "assistant"))),
@@ -55,7 +61,6 @@ MAPPINGS = (
     Mapping(("instruction", "input", "output"), fields=(("instruction", "user"), ("input", "user"), ("output", "assistant"))),
     Mapping(("system", "prompt", "response"), fields=(("system", "system"), ("prompt", "user"), ("response", "assistant"))),
 )
-ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "prompter": "user"}
 
 
 def field_paths(value: object, prefix: str = "") -> set[str]:
@@ -75,12 +80,35 @@ def fingerprint(paths: set[str] | tuple[str, ...]) -> int:
     return xxhash.xxh64_intdigest("\n".join(sorted(paths)).encode(), 0)
 
 
+def choose(paths: set[str], empty: set[str], mappings: tuple[Mapping, ...]) -> Mapping | None:
+    """The mapping with the most paths that a record's ``paths`` contain; ties: the first. Paths within
+    arrays that are ``empty`` count as there."""
+    there = lambda p: p in paths or any(p.startswith(e + "[]") for e in empty)
+    fit = [m for m in mappings if all(map(there, m.paths))]
+    return max(fit, key=lambda m: len(m.paths), default=None)
+
+
+def empty_arrays(value: object, prefix: str = "") -> set[str]:
+    """Paths of all fields that hold an empty array or null in its place."""
+    if isinstance(value, dict):
+        return set().union(*({f"{prefix}.{k}" if prefix else k} if v is None or v == [] else empty_arrays(v, f"{prefix}.{k}" if prefix else k) for k, v in value.items()))
+    return set().union(*(empty_arrays(v, prefix + "[]") for v in value)) if isinstance(value, list) else set()
+
+
+def _sound(text: str) -> str:
+    """The text with lone surrogates, which no UTF-8 holds, as question marks."""
+    return text if text.isascii() else text.encode("utf-8", "replace").decode()
+
+
 def canonical(record: object, mapping: Mapping) -> list[tuple[str, str]]:
-    """(role, text) turns; nulls are empty, other values their JSON text."""
-    as_text = lambda v: "" if v is None else v if isinstance(v, str) else json.dumps(v, ensure_ascii=False)
+    """(role, text) turns; nulls are empty, other values their JSON text. Raises where a turn is no object."""
+    as_text = lambda v: "" if v is None else _sound(v if isinstance(v, str) else json.dumps(v, ensure_ascii=False))
+    renamed = dict(mapping.roles)
     if mapping.turns is not None:
         turns = [record] if mapping.turns == "" else record[mapping.turns] or []
-        return [(ROLES.get(r := as_text(t.get(mapping.role)), r), as_text(t.get(mapping.text))) for t in turns]
+        if not isinstance(turns, list) or not all(isinstance(t, dict) for t in turns):
+            raise ValueError("turns must be an array of objects")
+        return [(renamed.get(r := as_text(t.get(mapping.role)), r), as_text(t.get(mapping.text))) for t in turns]
     found: list[tuple[str, str]] = []
     for field, role in mapping.fields:
         text = as_text(record.get(field))
@@ -92,6 +120,24 @@ def canonical(record: object, mapping: Mapping) -> list[tuple[str, str]]:
     return found
 
 
+def turns_of(record: str | None, mappings: tuple[Mapping, ...], known: dict) -> tuple[list[tuple[str, str]], str | None]:
+    """The turns of a record (JSON text), or none and what is wrong. ``known`` holds mappings by fingerprint."""
+    if record is None:
+        return [], "null record"
+    try:
+        value = json.loads(record)
+        paths, empty = field_paths(value), empty_arrays(value)
+        key = fingerprint(paths), frozenset(empty)
+        if key not in known:
+            exact = [m for m in mappings if fingerprint(m.paths) == key[0]]
+            known[key] = exact[0] if exact else choose(paths, empty, mappings)
+        if known[key] is None:
+            return [], _sound("no mapping for fields " + ", ".join(sorted(paths)))
+        return canonical(value, known[key]), None
+    except (ValueError, RecursionError) as e:
+        return [], f"broken record: {type(e).__name__}"
+
+
 def escape(text: str) -> str:
     r"""No mark can occur in the result: ``\`` is doubled, and a ``\`` parts ``<`` from ``|``."""
     return text.replace("\\", "\\\\").replace("<|", "<\\|")
@@ -127,32 +173,29 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
 
 
 def format_turns(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
-    """(conv_id, seq, part, formatted, loss_start, loss_end): a row for each turn of each record.
+    """(conv_id, seq, part, formatted, loss_start, loss_end, error): a row for each turn of each record.
 
     ``records`` has conv_id, seq (its place in the conversation) and ``record``
-    (JSON text). ``part`` numbers the turns of one record. Records of no known
-    layout, and null or broken JSON, raise: nothing is dropped in silence.
+    (JSON text). ``part`` numbers the turns of one record. A record without
+    turns, and one that is null, broken or of no known layout, gives one row
+    with an empty text, so its conversation stays; ``error`` says what is wrong
+    and is null otherwise. Repeated rows stay; an empty table gives no row.
     """
-    by_print = {fingerprint(m.paths): m for m in mappings}
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        known: dict[tuple, Mapping] = {}
+        known: dict = {}
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("conv_id", "seq", "part", "formatted", "loss_start", "loss_end")}
+            out: dict[str, list] = {k: [] for k in ("conv_id", "seq", "part", "formatted", "loss_start", "loss_end", "error")}
             for conv, seq, record in zip(batch.column("conv_id").to_pylist(), batch.column("seq").to_pylist(), batch.column("record").to_pylist()):
-                value = json.loads(record)
-                paths = tuple(sorted(field_paths(value)))
-                if paths not in known:
-                    if (mapping := by_print.get(fingerprint(paths))) is None:
-                        raise ValueError(f"no mapping for records with fields {paths}")
-                    known[paths] = mapping
-                for part, (role, text) in enumerate(canonical(value, known[paths])):
-                    formatted, a, b = render(role, text)
-                    for k, v in zip(out, (conv, seq, part, formatted, a, b)):
+                turns, error = turns_of(record, mappings, known)
+                if len(known) > 100_000:  # no layout, but as many as rows
+                    known.clear()
+                for part, (formatted, a, b) in enumerate([render(role, text) for role, text in turns] or [("", 0, 0)]):
+                    for k, v in zip(out, (conv, seq, part, formatted, a, b, error)):
                         out[k].append(v)
             yield out
 
-    return map_arrow(records.select("conv_id", "seq", "record"), rows, "conv_id long, seq long, part int, formatted string, loss_start int, loss_end int")
+    return map_arrow(records.select("conv_id", "seq", "record"), rows, "conv_id long, seq long, part int, formatted string, loss_start int, loss_end int, error string")
 
 
 def conversations_as_records(turns: DataFrame) -> DataFrame:
@@ -172,20 +215,20 @@ def digests(formatted: DataFrame) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         none = object()
         conv: object = none
-        names = ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+        names = ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_errors")
         out: dict[str, list] = {k: [] for k in names}
 
         def close() -> None:
             if conv is not none:
-                for k, v in zip(names, (conv, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars)):
+                for k, v in zip(names, (conv, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars, errors)):
                     out[k].append(v)
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("conv_id", "formatted", "loss_start", "loss_end")]
-            for at, text, a, b in zip(*columns):
+            columns = [batch.column(c).to_pylist() for c in ("conv_id", "formatted", "loss_start", "loss_end", "error")]
+            for at, text, a, b, error in zip(*columns):
                 if conv is none or at != conv:
                     close()
-                    conv, n, loss_chars, chars, turns, loss = at, 0, 0, 0, hashlib.sha256(), hashlib.sha256()
+                    conv, n, loss_chars, chars, errors, turns, loss = at, 0, 0, 0, 0, hashlib.sha256(), hashlib.sha256()
                 for role, said in read_back(text):
                     n += 1
                     turns.update(f"{role}\n{said}\n".encode())
@@ -193,6 +236,7 @@ def digests(formatted: DataFrame) -> DataFrame:
                 loss.update(masked.encode())
                 loss_chars += len(masked)
                 chars += len(text)
+                errors += error is not None
             if len(out["conv_id"]) > 10_000:
                 yield out
                 out = {k: [] for k in names}
@@ -200,4 +244,4 @@ def digests(formatted: DataFrame) -> DataFrame:
         yield out
 
     ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "seq", "part", "formatted")
-    return map_arrow(ordered, rows, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return map_arrow(ordered, rows, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_errors long")

@@ -22,8 +22,9 @@ def normalise(text: str | None) -> str:
     return " ".join((text or "").lower().split())
 
 
-def error_budget(length: int, rate: float = 0.1, piece: int = 16) -> int:
-    """Edits allowed for an item: ``rate`` of its length, and fewer if pieces would be shorter than ``piece``."""
+def error_budget(length: int, rate: float = 0.1, piece: int = 9) -> int:
+    """Edits allowed for an item: ``rate`` of its length, and fewer if pieces would be shorter than ``piece``
+    (at a tenth that is below 90 characters; under 18 an item must occur as it is)."""
     return max(0, min(int(length * rate), length // piece - 1))
 
 
@@ -64,6 +65,12 @@ def myers(masks: dict[str, int], m: int, text: str, most: int) -> int:
     return min(best, most + 1)
 
 
+def _stands_alone(text: str, start: int, end: int) -> bool:
+    """Whether no letter or digit goes on at either end, where the part has one itself."""
+    left = start > 0 and text[start - 1].isalnum() and text[start].isalnum()
+    return not left and not (end < len(text) and text[end].isalnum() and text[end - 1].isalnum())
+
+
 def find_items(text: str, items: list[tuple[int, str, int, dict[str, int]]], hits) -> dict[int, int]:
     """Least distance by item for the items within budget in a normalised text."""
     best: dict[int, int] = {}
@@ -76,7 +83,10 @@ def find_items(text: str, items: list[tuple[int, str, int, dict[str, int]]], hit
             tried.add((which, at))
             item, pattern, k, masks = items[which]
             if text.startswith(pattern, max(0, at)) and at >= 0:
-                best[which] = 0
+                if k or _stands_alone(text, at, at + len(pattern)):
+                    best[which] = 0
+                continue
+            if not k:
                 continue
             d = myers(masks, len(pattern), text[max(0, at - k) : at + len(pattern) + k], k)
             if d <= k and d < best.get(which, k + 1):
@@ -84,37 +94,33 @@ def find_items(text: str, items: list[tuple[int, str, int, dict[str, int]]], hit
     return best
 
 
-def _blocks(benchmark: DataFrame, min_chars: int, block_chars: int) -> Iterator[list[tuple[int, str]]]:
+def _blocks(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]]]:
     """The items (item_id, normalised text) in blocks of about ``block_chars`` characters; one block at least."""
     rows = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_chars))
     for b in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else rows
-        found = {(r["item_id"], p) for r in part.collect() if len(p := normalise(r["text"])) >= min_chars}
+        found = {(r["item_id"], p) for r in part.collect() if any(c.isalnum() for c in (p := normalise(r["text"])))}
         yield sorted(found, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, piece: int = 16, min_chars: int = 32, block_chars: int = 16_000_000) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, piece: int = 9, block_chars: int = 16_000_000) -> DataFrame:
     """(doc_id, item_ids, distances): one row per document, arrays in order of item_id.
 
-    Null texts count as empty. Items under ``min_chars`` normalised characters
-    are too short to tell and match nothing. Items with equal normalised texts
-    all match. The items are sent to the executors in blocks of about
-    ``block_chars`` characters, a pass over the documents each, so that what is
-    sent stays bounded however many items there are.
+    Null texts count as empty. Items without a letter or digit match nothing;
+    items too short for an edit match where they stand as whole words. Items
+    with equal normalised texts all match; repeated rows stay, each with its
+    own matches; an empty table gives no row. The items are sent to the
+    executors in blocks of about ``block_chars`` characters, a pass over the
+    documents each, so that what is sent stays bounded however many items there
+    are.
     """
-    found = None
-    blocks = 0
-    for items in _blocks(benchmark, min_chars, block_chars):
-        here = _match_block(docs, items, rate, piece)
-        found = here if found is None else found.union(here)
-        blocks += 1
-    if blocks == 1:
-        return found
-    pairs = F.arrays_zip("item_ids", "distances")
-    merged = found.groupBy("doc_id").agg(F.array_sort(F.flatten(F.collect_list(pairs))).alias("p"))
-    return merged.select("doc_id", F.col("p.item_ids").alias("item_ids"), F.col("p.distances").alias("distances"))
+    found = docs.select(F.col("doc_id").cast("long"), "text", F.array().cast("array<long>").alias("item_ids"), F.array().cast("array<int>").alias("distances"))
+    for items in _blocks(benchmark, block_chars):
+        found = _add_matches(found, items, rate, piece)
+    pairs = F.array_sort(F.arrays_zip("item_ids", "distances"), lambda x, y: F.when(x["item_ids"].isNull(), 1).when(y["item_ids"].isNull(), -1).when(x["item_ids"] < y["item_ids"], -1).when(x["item_ids"] > y["item_ids"], 1).otherwise(x["distances"] - y["distances"]))
+    return found.select("doc_id", pairs.alias("p")).select("doc_id", F.col("p.item_ids").alias("item_ids"), F.col("p.distances").alias("distances"))
 
 
 class _Matcher:
@@ -138,26 +144,30 @@ class _Matcher:
         return find_items(normalise(text), self.known, self.hits)
 
 
-def _match_block(docs: DataFrame, items: list[tuple[int, str]], rate: float, piece: int) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(items)
+def _add_matches(found: DataFrame, items: list[tuple[int, str]], rate: float, piece: int) -> DataFrame:
+    sent = found.sparkSession.sparkContext.broadcast(items)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         match = _Matcher(sent.value, rate, piece)
         for batch in batches:
-            out: dict[str, list] = {"doc_id": batch.column("doc_id").to_pylist(), "item_ids": [], "distances": []}
-            for text in batch.column("text"):
+            out: dict[str, list] = {"doc_id": batch.column("doc_id").to_pylist(), "text": batch.column("text"), "item_ids": batch.column("item_ids").to_pylist(), "distances": batch.column("distances").to_pylist()}
+            for text, ids, distances in zip(batch.column("text"), out["item_ids"], out["distances"]):
                 best = match(text.as_py())
                 order = sorted(best)
-                out["item_ids"].append([match.known[w][0] for w in order])
-                out["distances"].append([best[w] for w in order])
+                ids += [match.known[w][0] for w in order]
+                distances += [best[w] for w in order]
             yield out
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), rows, "doc_id long, item_ids array<long>, distances array<int>")
+    return map_arrow(found, rows, "doc_id long, text string, item_ids array<long>, distances array<int>")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, piece: int = 16, min_chars: int = 32, block_chars: int = 16_000_000) -> DataFrame:
-    """The documents that hold no item, all columns as they were; no join and no shuffle."""
-    for items in _blocks(benchmark, min_chars, block_chars):
+def clean(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, piece: int = 9, block_chars: int = 16_000_000) -> DataFrame:
+    """The documents that hold no item, all columns as they were; no join and no shuffle.
+
+    Null and empty texts hold none; repeated rows go or stay together; an empty
+    table gives no row, and an empty benchmark drops none.
+    """
+    for items in _blocks(benchmark, block_chars):
         sent = docs.sparkSession.sparkContext.broadcast(items)
 
         def keep(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:

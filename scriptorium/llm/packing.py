@@ -12,9 +12,7 @@ filled sequence, so the block size bounds what dealing loses.
 
 from __future__ import annotations
 
-import math
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -23,33 +21,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import map_arrow, materialise, text_bytes
+from ._shared import map_arrow, materialise, text_bytes, unused
 from .hashing import different, joined, of_texts, ranges, word_hashes, word_places
 
 #: Words whose ids a worker keeps; it starts afresh beyond that, which costs time and no result.
 CACHED_WORDS = 300_000
 
 
-def _byte_letters() -> dict[int, str]:
-    """The character that stands for each byte in a byte-level vocabulary: printable ones for themselves."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in plain)}
-
-
-# What the tokenizer keeps apart in texts of these letters: runs of letters, digits one by
-# one, and runs of others. Texts with an apostrophe (its contractions) or other scripts are left to it.
-_LETTERS = "a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f"
-_UNITS = re.compile(f"[{_LETTERS}]+|[0-9]|[^0-9{_LETTERS}]+")
-_PLAIN = re.compile(f"[\\x00-&(-\\x7f{_LETTERS}]*")
-
-
 class WordIds(dict):
-    """Little-endian 32-bit ids of white-space separated words.
+    """Little-endian 32-bit ids of white-space separated words, as the tokenizer gives them.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its words in order. Words of plain letters and signs are cut
-    into its units here, and the units' ids, which are kept, come from its model
-    alone. Where a trial shows that to differ, every word takes all its steps.
+    are those of its words in order.
     """
 
     def __init__(self, path: str):
@@ -57,30 +40,19 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.letters = _byte_letters()
-        trial = ["a", "the", "stthrees", "\u00e9t\u00e9", "\u00dcber", "\u00f1a\u00e7\u00df", "zzxqwyk", "of", "A.b,c!!", "12$3", "#%&", "x\x01y"]
-        self.direct = all(self.of_plain(w.lower()) == self.encode(w) for w in trial)
-
-    def of_word(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        low = text.lower()
-        if self.direct and "<|" not in text and _PLAIN.fullmatch(low):
-            return self[low] if low.isalpha() else self.of_plain(low)
-        return self.encode(text)
-
-    def of_plain(self, text: str) -> bytes:
-        return b"".join([self[u] for u in _UNITS.findall(text)])
-
-    def __missing__(self, unit: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        text = unit if unit.isascii() and unit.isalpha() else unit.encode().decode("latin-1").translate(self.letters)
-        self[unit] = ids = np.array([t.id for t in self.model.tokenize(text)], "<u4").tobytes()
-        return ids
 
-    def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def of_words(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word; those not kept are tokenised together."""
+        found = [self.get(w) for w in words]
+        new = [k for k, ids in enumerate(found) if ids is None]
+        if len(self) + len(new) > CACHED_WORDS:
+            self.clear()
+        for a in range(0, len(new), 4096):
+            part = new[a : a + 4096]
+            texts = [words[k].decode("utf-8", "replace") for k in part]
+            for k, e in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                found[k] = self[words[k]] = np.array(e.ids, "<u4").tobytes()
+        return found
 
     def of_texts(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of each text. Words are looked up once for all texts and dealt out by number."""
@@ -88,7 +60,7 @@ class WordIds(dict):
         starts, ends = word_places(text)
         first, which = different(word_hashes(text, starts, ends))
         data = text.tobytes()
-        ids = [self.of_word(data[a:b]) for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        ids = self.of_words([data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())])
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), "<u4")
         begin, cuts = np.cumsum(size) - size, of_texts(starts, texts)
@@ -194,40 +166,56 @@ def best_fit(lengths: np.ndarray, capacity: int, max_documents: int, max_attenti
 def pack(
     pieces: DataFrame,
     capacity: int = 2048,
-    max_documents: int | None = None,
+    max_documents: int = 64,
     max_attention: int | None = None,
-    weights: tuple[float, float, float] = (1.0, 0.001, 0.001),
+    weights: tuple[float, float, float] = (1.0, 0.02, 0.02),
     rule: str = "norm",
     block: int = 8192,
 ) -> DataFrame:
     """Add sequence_id and offset to pieces that have a ``length``.
 
-    ``max_documents`` pieces and ``max_attention`` (sum of squared lengths) cap
-    a sequence besides its tokens; by default neither binds before the tokens
-    do. ``rule`` is "norm" or "dot". ``block`` is the number of pieces packed
-    together.
+    A sequence has at most ``capacity`` tokens, ``max_documents`` pieces and an
+    attention cost (sum of squared lengths) of ``max_attention``, by default
+    that of one whole piece. ``rule`` is "norm" or "dot". The pieces are dealt
+    evenly to as many tasks as the session shuffles to, fewer if they are few,
+    and packed in blocks of ``block`` to twice as many. Repeated rows are
+    packed each by itself; an empty table gives no row; other columns stay as
+    they are, whatever their names.
     """
-    max_documents, max_attention = max_documents or capacity, max_attention or capacity * capacity
+    max_attention = max_attention or capacity * capacity
     names = pieces.columns
-    n = max(1, math.ceil(pieces.count() / block))
+    added = [unused(pieces, "sequence_id"), unused(pieces, "offset")]
+    tasks = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(1, min(tasks, pieces.count() // block))
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        got = list(batches)
-        if not got:
-            return
-        table = pa.Table.from_batches(got)
+    def packed(table: pa.Table, first: int) -> tuple[dict, int]:
         length = table.column("length").to_numpy()
-        part = table.column("_part")[0].as_py() if table.num_rows else 0
         bins, offsets = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
         short = np.flatnonzero(length < capacity)
         bins[short], offsets[short] = best_fit(length[short], capacity, max_documents, max_attention, weights, rule)
         full = np.flatnonzero(length >= capacity)
-        bins[full] = (bins[short].max() + 1 if len(short) else 0) + np.arange(len(full))
-        yield {k: table.column(k).combine_chunks() for k in names} | {"sequence_id": (part << 32) + bins, "offset": offsets}
+        used = int(bins[short].max()) + 1 if len(short) else 0
+        bins[full] = used + np.arange(len(full))
+        return {k: table.column(k).combine_chunks() for k in names} | {added[0]: first + bins, added[1]: offsets}, used + len(full)
 
-    dealt = pieces.repartition(n).withColumn("_part", F.spark_partition_id().cast("long"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
-    return map_arrow(dealt, rows, schema)
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        from pyspark import TaskContext
+
+        first = TaskContext.get().partitionId() << 40
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            while size >= 2 * block:
+                table = pa.Table.from_batches(held)
+                out, used = packed(table.slice(0, block), first)
+                yield out
+                first, held, size = first + used, table.slice(block).to_batches(), size - block
+        if size:
+            yield packed(pa.Table.from_batches(held), first)[0]
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + f", {added[0]} long, {added[1]} long"
+    return map_arrow(pieces.repartition(n), rows, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: int = 2048, **limits) -> DataFrame:

@@ -1,7 +1,9 @@
 """Quality rules: repetition counts and divergence from language references.
 
 A reference of a language is two histograms over all its documents: character
-classes, and its most common words plus the rest. A document is kept if it
+classes, and its most common words plus the rest. Both are smoothed by the
+histograms of all documents, which weigh as much as ``prior`` words, so that
+languages with few words lean on these without a switch. A document is kept if it
 passes the repetition rules and its own two histograms lie within set
 Jensen-Shannon distances of its language's; the divergence rules apply from a
 minimum number of words on, below which histograms say little.
@@ -11,6 +13,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -73,17 +76,26 @@ def duplicate_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def references(docs: DataFrame, common: int = 64, min_words: int = 1000, max_languages: int = 64) -> dict[str, tuple[dict[bytes, int], np.ndarray, np.ndarray]]:
-    """By language: index of its common words, their distribution with the rest, and that of classes.
+@dataclass(frozen=True)
+class Reference:
+    """Index of a language's common words, their distribution with the rest, and that of classes."""
 
-    Every document counts. Languages under ``min_words`` words, and beyond the
-    ``max_languages`` largest, use the reference of all ("*"); so what reaches
-    the driver is bounded by (max_languages + 1) * (common + classes).
+    index: dict[bytes, int]
+    words: np.ndarray
+    classes: np.ndarray
+
+
+def references(docs: DataFrame, common: int = 64, prior: float = 1000.0, max_languages: int = 4096) -> dict[str | None, Reference]:
+    """A reference for each language, and that of all documents under None.
+
+    Every document counts; those without a language count for all only. What
+    reaches the driver and the executors is bounded by ``max_languages`` times
+    ``common`` words; languages beyond the largest so many share that of all.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        held: dict[str, Counter] = {}
-        classes: dict[str, np.ndarray] = {}
+        held: dict[str | None, Counter] = {}
+        classes: dict[str | None, np.ndarray] = {}
 
         def flush() -> Iterator[dict]:
             for lang, words in held.items():
@@ -100,24 +112,33 @@ def references(docs: DataFrame, common: int = 64, min_words: int = 1000, max_lan
                     yield from flush()
         yield from flush()
 
-    rows = map_arrow(docs.select(F.coalesce("lang", F.lit("")).alias("lang"), text_bytes().alias("text")), count, "lang string, kind int, term binary, n long")
+    rows = map_arrow(docs.select("lang", text_bytes().alias("text")), count, "lang string, kind int, term binary, n long")
     counts = materialise(rows.groupBy("lang", "kind", "term").agg(F.sum("n").alias("n")), "words")
-    totals = counts.where("kind = 0").groupBy("lang").agg(F.sum("n").alias("n")).where(f"n >= {min_words}").orderBy(F.desc("n"), "lang").limit(max_languages)
-    languages = {r["lang"]: r["n"] for r in totals.collect()}
-    group = F.explode(F.array(F.lit("*"), F.when(F.col("lang").isin(list(languages)), F.col("lang")).otherwise(F.lit(None))))
-    by = counts.select(group.alias("lang"), "kind", "term", "n").where("lang is not null").groupBy("lang", "kind", "term").agg(F.sum("n").alias("n"))
+    sums = counts.where("kind = 0").groupBy("lang").agg(F.sum("n").alias("n"))
+    largest = sums.where("lang is not null").orderBy(F.desc("n"), "lang").limit(max_languages).collect()
+    sizes: dict[str | None, int] = {r["lang"]: r["n"] for r in largest} | {None: sums.agg(F.sum("n")).first()[0] or 0}
+    whole = counts.groupBy("kind", "term").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "kind", "term", "n")
+    own = counts.where("lang is not null").join(F.broadcast(sums.where("lang is not null").orderBy(F.desc("n"), "lang").limit(max_languages).select("lang")), "lang", "left_semi")
     rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "term"))
-    best = by.withColumn("rank", rank).where(f"rank <= {max(common, len(CLASSES))}").collect()
-    sums = {r["lang"]: r["n"] for r in counts.where("kind = 0").groupBy().agg(F.sum("n").alias("n")).withColumn("lang", F.lit("*")).collect()} | languages
+    best = whole.union(own.select("lang", "kind", "term", "n")).withColumn("rank", rank).where(f"rank <= {max(common, len(CLASSES))}").collect()
+    wanted = {bytes(r["term"]) for r in best if r["kind"] == 0}
+    asked = counts.sparkSession.createDataFrame([(t,) for t in sorted(wanted)], "term binary")  # common words of all languages, as bounded as they are
+    overall = {bytes(r["term"]): r["n"] for r in whole.where("kind = 0").join(F.broadcast(asked), "term", "left_semi").collect()}
+    classes = {(r["lang"], bytes(r["term"]).decode()): r["n"] for r in best if r["kind"] == 1}
+    histogram = lambda lang: np.array([classes.get((lang, c), 0) for c in CLASSES], float)
+    by_lang: dict[str | None, list] = {}
+    for r in best:
+        if r["kind"] == 0 and r["rank"] <= common:
+            by_lang.setdefault(r["lang"], []).append(r)
     found = {}
-    for lang in sorted({r["lang"] for r in best}):
-        words = sorted((r for r in best if r["lang"] == lang and r["kind"] == 0 and r["rank"] <= common), key=lambda r: r["rank"])
+    for lang, size in sizes.items():
+        words = sorted(by_lang.get(lang, []), key=lambda r: r["rank"])
         index = {bytes(r["term"]): k for k, r in enumerate(words)}
-        share = np.array([r["n"] for r in words], float)
-        total = max(1, sums.get(lang) or 1)
-        classes = {bytes(r["term"]).decode(): r["n"] for r in best if r["lang"] == lang and r["kind"] == 1}
-        hist = np.array([classes.get(c, 0) for c in CLASSES], float)
-        found[lang] = index, np.append(share, max(0.0, total - share.sum())) / total, hist / max(1.0, hist.sum())
+        of_all = np.array([overall.get(t, 0) for t in index], float) / max(1, sizes[None])
+        lean = prior / (size + prior)
+        share = (1 - lean) * np.array([r["n"] for r in words], float) / max(1, size) + lean * of_all
+        hist, total = histogram(lang), histogram(None)
+        found[lang] = Reference(index, np.append(share, max(0.0, 1 - share.sum())), (1 - lean) * hist / max(1.0, hist.sum()) + lean * total / max(1.0, total.sum()))
     return found
 
 
@@ -129,11 +150,12 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> float:
         return max(0.0, (kl(p) + kl(q)) / 2) ** 0.5
 
 
-def assess(docs: DataFrame, min_words: int = 50, max_class_distance: float = 0.33, max_word_distance: float = 0.5, refs: dict | None = None) -> DataFrame:
+def assess(docs: DataFrame, min_words: int = 50, max_class_distance: float = 0.33, max_word_distance: float = 0.5, refs: dict[str | None, Reference] | None = None) -> DataFrame:
     """Counts, distances and the verdict of every document.
 
     Null text counts as empty: no words, which fails the base. Null or unknown
-    languages are held against the reference of all documents. Repeated rows
+    languages are held against the reference of all documents, the empty name
+    is a language like others. Repeated rows
     give repeated rows; an empty table gives none; other columns are ignored.
     """
     refs = references(docs) if refs is None else refs
@@ -151,16 +173,15 @@ def assess(docs: DataFrame, min_words: int = 50, max_class_distance: float = 0.3
                 repeat = repeated_words(words)
                 failed = n < 50 or 100 * repeat > 50 * n
                 by_class = by_word = None
-                if n >= min_words and (ref := refs.get(lang) or refs.get("*")):
-                    index, share, classes = ref
-                    seen = np.zeros(len(share))
-                    for k, c in Counter(map(index.get, text.lower().split())).items():
+                if n >= min_words and (ref := refs.get(lang) or refs.get(None)):
+                    seen = np.zeros(len(ref.words))
+                    for k, c in Counter(map(ref.index.get, text.lower().split())).items():
                         seen[-1 if k is None else k] += c
-                    by_class, by_word = js_distance(hist / max(1, hist.sum()), classes), js_distance(seen / n, share)
+                    by_class, by_word = js_distance(hist / max(1, hist.sum()), ref.classes), js_distance(seen / n, ref.words)
                 kept = not failed and (by_class is None or (by_class <= max_class_distance and by_word <= max_word_distance))
                 for k, v in zip(names, (doc, n, chars, int(hist[6]), duplicate_lines(text), repeat, by_class, by_word, failed, kept)):
                     out[k].append(v)
             yield out
 
     schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, class_distance double, word_distance double, base_failed boolean, kept boolean"
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.coalesce("lang", F.lit("")).alias("lang"), text_bytes().alias("text")), rows, schema)
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), "lang", text_bytes().alias("text")), rows, schema)

@@ -306,24 +306,31 @@ def _scored(batches: Iterator[pa.RecordBatch], features: Features, most: int = 4
                 at += len(part)
 
 
-def fit_logistic(x: list[set[int]], y: np.ndarray, n: int, ridge: float = 0.1, rounds: int = 30) -> np.ndarray:
-    """Ridge logistic regression by Newton's method; the intercept is last and not penalised."""
-    a = np.zeros((len(x), n + 1))
-    for k, f in enumerate(x):
-        a[k, list(f)] = 1
-    a[:, n] = 1
+def fit_logistic(x: list[np.ndarray], y: np.ndarray, n: int, ridge: float = 0.1, rounds: int = 30, chunk: int = 1000) -> np.ndarray:
+    """Ridge logistic regression by Newton's method; the intercept is last and not penalised.
+
+    ``x`` has the numbers of each row's features. The sums are taken over chunks
+    of rows, so no matrix of all of them is made."""
     w, penalty = np.zeros(n + 1), np.full(n + 1, ridge)
     penalty[n] = 1e-6
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(penalty), a.T @ (y - p) - penalty * w)
+        curve, slope = np.diag(penalty), -penalty * w
+        for low in range(0, len(x), chunk):
+            part = x[low : low + chunk]
+            a = np.zeros((len(part), n + 1))
+            a[np.repeat(np.arange(len(part)), [len(f) for f in part]), np.concatenate([np.zeros(0, np.int64), *part]).astype(np.int64)] = 1
+            a[:, n] = 1
+            p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+            slope += a.T @ (y[low : low + chunk] - p)
+            curve += (a * (p * (1 - p))[:, None]).T @ a
+        step = np.linalg.solve(curve, slope)
         w += step
         if np.abs(step).max() < 1e-6:
             break
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, least_ratio: float = 10.0) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, least_ratio: float = 15.0) -> Model:
     """Learn from labelled rows whose crc32(doc_id) mod 5 is not 0.
 
     The classifier is fitted on at most ``sample`` such rows (the first by a
@@ -353,7 +360,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, least_ratio: f
             yield {"word": [s for s, _ in keys], "times": [t for _, t in keys], "toxic": [toxic] * len(keys), "n": values}
 
     counts = map_arrow(texts, count, "word string, times int, toxic int, n long")
-    pairs = counts.groupBy("word", "times").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c"))
+    pairs = materialise(counts.groupBy("word", "times").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c")), "forms")
     total = pairs.where("word is null").first()
     t, c = (total["t"], total["c"]) if total else (0, 0)
     if not t or not c:
@@ -373,7 +380,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, least_ratio: f
             yield {"toxic": batch.column("toxic"), "f": [sorted(f) for f in found]}
 
     got = map_arrow(texts, featured, "toxic int, f array<int>").collect()
-    weights = fit_logistic([set(r["f"]) for r in got], np.array([r["toxic"] for r in got], float), len(words))
+    weights = fit_logistic([np.array(r["f"], np.int32) for r in got], np.array([r["toxic"] for r in got], float), len(words))
     return Model(trigrams, words, weights)
 
 

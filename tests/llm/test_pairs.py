@@ -280,8 +280,17 @@ def test_budget_leaves_pieces_long_enough():
         k = D.error_budget(n)
         parts = D.pieces("x" * n, k)
         assert len(parts) == k + 1 and sum(len(p) for _, p in parts) == n
-        assert k == 0 or min(len(p) for _, p in parts) >= 16
-        assert k <= math.floor(n * 0.1)
+        assert k == 0 or min(len(p) for _, p in parts) >= 9
+        assert k == math.floor(n * 0.1) if n >= 90 else k <= math.floor(n * 0.1)
+
+
+def test_short_items_match_as_whole_words(spark):
+    rows = [(1, "So:  What is two plus two?\nFour."), (2, "party"), (3, "art, they say"), (4, "what is two plus three?"), (3, "no"), (5, None)]
+    items = [(7, "What is two plus two?"), (8, "art"), (9, "..."), (None, "say")]
+    df, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for block in (16_000_000, 5):
+        got = sorted((x["doc_id"], x["item_ids"], x["distances"]) for x in D.matches(df, bench, block_chars=block).collect())
+        assert got == [(1, [7], [0]), (2, [], []), (3, [], []), (3, [8, None], [0, 0]), (4, [], []), (5, [], [])]
 
 
 def test_odd_rows(spark, odd, empty):

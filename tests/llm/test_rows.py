@@ -184,8 +184,41 @@ def test_layouts(spark):
     got = chat.format_turns(spark.createDataFrame(rows, "conv_id long, seq long, record string")).collect()
     for k, (_, want) in enumerate(LAYOUTS):
         assert [chat.read_back(r["formatted"])[0] for r in sorted((r for r in got if r["conv_id"] == k), key=lambda r: r["part"])] == want
-    with pytest.raises(Exception, match="no mapping"):
-        chat.format_turns(spark.createDataFrame([(1, 0, '{"odd": 1}')], "conv_id long, seq long, record string")).collect()
+
+
+UNTIDY = [
+    ('{"messages": []}', [], None),
+    ('{"messages": null}', [], None),
+    ('{"messages": [{"role": "user", "content": "a", "name": "x"}], "id": 7}', [("user", "a")], None),
+    ('{"id": 1, "prompt": "a", "response": "b", "meta": {"k": [1, 2]}}', [("user", "a"), ("assistant", "b")], None),
+    ('{"role": "gpt", "text": "a"}', [("gpt", "a")], None),
+    ('{"messages": [{"role": "user", "content": "a"}, "b"]}', [], "broken record: ValueError"),
+    ('{"prompt": "\\ud800", "response": ""}', [("user", "?"), ("assistant", "")], None),
+    ('{"odd": {"x": 1}}', [], "no mapping for fields odd, odd.x"),
+    ("[1, 2]", [], "no mapping for fields "),
+    ("{", [], "broken record: JSONDecodeError"),
+    ("[" * 100_000, [], "broken record: RecursionError"),
+    (None, [], "null record"),
+    ("", [], "broken record: JSONDecodeError"),
+]
+
+
+def test_untidy_records_have_defined_rows(spark):
+    df = spark.createDataFrame([(k, 0, x) for k, (x, _, _) in enumerate(UNTIDY)], "conv_id long, seq long, record string")
+    formatted = chat.format_turns(df)
+    got = formatted.collect()
+    for k, (_, turns, error) in enumerate(UNTIDY):
+        own = sorted((r for r in got if r["conv_id"] == k), key=lambda r: r["part"])
+        assert [t for r in own for t in chat.read_back(r["formatted"])] == turns and {r["error"] for r in own} == {error}
+    read = {r["conv_id"]: r for r in chat.digests(formatted).collect()}
+    assert [(read[k]["n_turns"], read[k]["n_errors"]) for k in range(len(UNTIDY))] == [(len(t), int(e is not None)) for _, t, e in UNTIDY]
+
+
+def test_very_long_turn(spark):
+    text = "<|im_end|>\\é " * 200_000
+    df = spark.createDataFrame([(1, 0, "assistant", text)], "conv_id long, turn long, role string, text string")
+    r = chat.digests(chat.format_turns(chat.conversations_as_records(df))).first()
+    assert r["loss_chars"] == len(text) and r["loss_sha256"] == hashlib.sha256(text.encode()).hexdigest()
 
 
 def test_digests(spark):
@@ -247,10 +280,52 @@ def test_every_capacity_holds(rule):
 def test_few_sequences():
     r = np.random.default_rng(2)
     lengths = np.minimum(2047, r.lognormal(5.5, 1, 4000).astype(int) + 1)
-    bins, _ = packing.best_fit(lengths, 2048, 2048, 2048**2, (1.0, 0.001, 0.001), "norm")
+    bins, _ = packing.best_fit(lengths, 2048, 64, 2048**2, (1.0, 0.02, 0.02), "norm")
     assert bins.max() + 1 <= math.ceil(lengths.sum() / 2048) + 1
 
 
+def slow_fit(lengths, caps, weights):
+    """First to last by falling length: of the bins with room in every way, the one whose residual after it is least."""
+    bins, left = [], []
+    for k in sorted(range(len(lengths)), key=lambda k: (-lengths[k], k)):
+        need = (lengths[k], 1, lengths[k] ** 2)
+        fit = [(sum((w * (r - n) / c) ** 2 for w, r, n, c in zip(weights, room, need, caps)), b) for b, room in enumerate(left) if all(r >= n for r, n in zip(room, need))]
+        b = min(fit)[1] if fit else len(left)
+        if not fit:
+            left.append(list(caps))
+        left[b] = [r - n for r, n in zip(left[b], need)]
+        bins.append((k, b))
+    return [b for _, b in sorted(bins)]
+
+
+def test_best_fit_chooses_the_least_residual():
+    r = np.random.default_rng(9)
+    for caps in ((100, 4, 10_000), (100, 50, 3000), (64, 3, 900)):
+        lengths = r.integers(1, 30, 120)
+        bins, _ = packing.best_fit(lengths, *caps, (1.0, 0.5, 0.25), "norm")
+        assert bins.tolist() == slow_fit(lengths.tolist(), caps, (1.0, 0.5, 0.25))
+
+
+def test_limits_bind_and_names_may_clash(spark):
+    rows = [(k, f"w{k}", 7, 3) for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, sequence_id int, _part int")
+    got = packing.pack_documents(df.select("doc_id", "text")).collect()  # short texts: 64 to a sequence, long before 2048 tokens
+    assert sorted(Counter(r["sequence_id"] for r in got).values()) == [300 % 64] + [64] * 4
+    pieces = packing.tokenise(df).join(df.select("doc_id", "sequence_id", "_part"), "doc_id")
+    found = packing.pack(pieces)
+    assert found.columns == [*pieces.columns, "sequence_id_", "offset"] and found.count() == 300
+
+
+def test_blocks_are_formed_as_pieces_come(spark):
+    pieces = spark.range(5000).selectExpr("id as doc_id", "(id * 37) % 500 + 1 as length")
+    got = packing.pack(pieces, 512, block=100).collect()
+    assert len(got) == 5000
+    size: Counter = Counter()
+    for r in got:
+        size[r["sequence_id"]] += r["length"]
+    assert max(size.values()) <= 512 and len(size) <= 1.1 * sum(size.values()) / 512
+
+
 def test_packing_empty(empty):
     assert packing.pack_documents(empty).count() == 0
 
@@ -294,6 +369,48 @@ def test_divergence_tells_junk(spark):
     assert got[0]["class_distance"] < 0.2
 
 
+def slow_verdicts(rows, common=64, prior=1000, least=50, far=(0.33, 0.5)):
+    """(doc_id, kept, distances) by histograms written out: all documents, then each language, leaning on all."""
+    cut = lambda t: [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in t or ""))]
+    kinds = lambda t: Counter(quality.CLASSES[k] for k in quality._TABLE[list((t or "").encode())])
+    words, classes = {None: Counter()}, {None: Counter()}
+    for _, t, lang in rows:
+        for name in {None, lang}:
+            words.setdefault(name, Counter()).update(cut(t))
+            classes.setdefault(name, Counter()).update(kinds(t))
+    top = lambda name: sorted(words[name], key=lambda w: (-words[name][w], w))[:common]
+    share = lambda c, k: c[k] / max(1, c.total())
+
+    def distance(p, q):
+        kl = lambda a, b: sum(x * math.log2(2 * x / (x + y)) for x, y in zip(a, b) if x)
+        return math.sqrt(max(0, (kl(p, q) + kl(q, p)) / 2))
+
+    out = []
+    for d, t, lang in rows:
+        n, _, _, _, repeat = slow_quality(t or "")
+        failed, by = n < 50 or 100 * repeat > 50 * n, (None, None)
+        if n >= least:
+            lean, own = prior / (words[lang].total() + prior), Counter(cut(t))
+            mixed = lambda c, k: (1 - lean) * share(c[lang], k) + lean * share(c[None], k)  # noqa: E731, B023
+            ref = [mixed(words, w) for w in top(lang)]
+            seen = [own[w] / n for w in top(lang)]
+            by = (distance([share(kinds(t), c) for c in quality.CLASSES], [mixed(classes, c) for c in quality.CLASSES]), distance([*seen, 1 - sum(seen)], [*ref, max(0, 1 - sum(ref))]))
+        out.append((d, not failed and (by[0] is None or (by[0] <= far[0] and by[1] <= far[1])), *(b and round(b, 9) for b in by)))
+    return out
+
+
+def test_verdicts_against_brute_force(spark, docs):
+    r = random.Random(3)
+    rows = [(x["doc_id"], x["text"], ["en", "de", None, "", "*"][x["doc_id"] % 5]) for x in docs.collect()]
+    rows += [(500 + k, " ".join(r.choices(["the", "of", "house", "x9#", "ßé"], k=80)), "xx") for k in range(4)] + [(600, None, "en"), (601, "", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = sorted((x["doc_id"], x["kept"], *(b if b is None else round(b, 9) for b in (x["class_distance"], x["word_distance"]))) for x in quality.assess(df).collect())
+    want = sorted(slow_verdicts(rows))
+    assert [g[:2] for g in got] == [w[:2] for w in want] and len({k for _, k, *_ in want}) == 2
+    for g, w in zip(got, want):
+        assert all(a is b is None or math.isclose(a, b, abs_tol=1e-7) for a, b in zip(g[2:], w[2:]))
+
+
 # ---------------------------------------------------------------- licences
 
 
@@ -303,6 +420,15 @@ def test_licenses(spark, odd, empty, docs):
     rows = {r["doc_id"]: r for r in licenses.digest(licenses.scan(df)).collect()}
     assert [rows[k]["licenses"] for k in range(5)] == ["mit", "apache-2.0", "cc-by-nc-4.0,gpl-3.0", "", "mit"]
     both = df.union(odd.where("doc_id is not null and doc_id <> 4").select((F.col("doc_id") + 50), "text")).union(docs.select(F.col("doc_id") + 100, "text"))
+    r = random.Random(12)
+    more = []
+    for k in range(60):  # wrapped, cut and garbled templates among other words
+        words = licenses.TEMPLATES[r.choice(list(licenses.TEMPLATES))][-1].split()
+        for _ in range(r.randrange(12)):
+            words[r.randrange(len(words))] = r.choice(["house", "the software", "", "of the License"])
+        whole = ["before"] * r.randrange(4) + words[r.choice([0, 0, 5]) :] + ["after"] * r.randrange(4)
+        more.append((300 + k, " ".join(x + ("\n * " if r.random() < 0.1 else "") for x in whole * r.choice([1, 1, 2]))))
+    both = both.union(spark.createDataFrame(more, "doc_id long, text string"))
     c = duckdb.connect()
     c.register("documents", both.toPandas())
     want = sorted(c.execute(licenses.oracle_sql()).fetchall())
@@ -310,6 +436,30 @@ def test_licenses(spark, odd, empty, docs):
     assert licenses.scan(odd).count() == odd.count() and licenses.scan(empty).count() == 0
 
 
+def test_wrapped_notices_and_whole_texts(spark):
+    import textwrap
+
+    texts, names = [], []
+    for name, found in licenses.TEMPLATES.items():
+        for t in found:
+            if len(t) > 200:
+                for wrapped in (textwrap.fill(t, 78), textwrap.fill(t, 40, initial_indent="# ", subsequent_indent="# ")):
+                    texts.append("Copyright (c) 1999 Somebody\n\n" + wrapped + "\n\nimport this\nand other words follow")
+                    names.append(name)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in licenses.digest(licenses.scan(df)).collect()}
+    assert [rows[k]["licenses"] for k in range(len(texts))] == names and all(r["n_notices"] == 1 and r["best_dice"] == 1.0 for r in rows.values())
+    assert {"mit", "bsd-2-clause", "bsd-3-clause", "isc", "zlib", "gpl-3.0", "apache-2.0"} <= set(names)
+
+
+def test_license_in_a_very_long_text(spark):
+    r = random.Random(1)
+    words = [f"w{r.randrange(50_000)}" for _ in range(300_000)]
+    words[150_000:150_000] = licenses.TEMPLATES["isc"][0].split()
+    found = licenses.scan(spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")).first()["found"]
+    assert [(m["start"], m["license"], m["dice"]) for m in found] == [(150_000, "isc", 1.0)]
+
+
 def test_pruning_bounds():
     for least in (0.6, 0.8, 0.9):
         for n in range(1, 60):
@@ -481,7 +631,7 @@ def test_unseen_words_and_languages_are_learned(spark):
 def test_spelling_is_a_probability():
     """Over a model of random counts, all words of up to two letters and longer ones share one."""
     r = np.random.default_rng(3)
-    tables = r.integers(0, 50, (len(lm.ORDERS), 1 << lm.TABLE_BITS, 2)).astype(np.uint32)
+    tables = r.integers(0, 50, (len(lm.ORDERS), 1 << 18, 2)).astype(np.uint16)
     weights = r.normal(0.3, 0.2, (lm.GATES, len(lm.ORDERS) + 1))
     letters = np.arange(256, dtype=np.uint8)
     one = np.exp(lm.spelled(letters, np.ones(256, np.int64), np.zeros(256, np.int64), tables, weights))
@@ -490,6 +640,67 @@ def test_spelling_is_a_probability():
     assert 0 < none[0] + one.sum() + pairs.sum() <= 1 + 1e-6
 
 
+def slow_spelled(word: bytes, kind: int, tables, weights) -> float:
+    """The word's log-probability bit by bit, contexts hashed one by one."""
+    wrap, text, total = 2**64, word + b" ", 0.0
+    bits = len(tables[0]).bit_length() - 1
+    for place, c in enumerate(text):
+        heads, h = [], (kind + 1) * 0x9E3779B97F4A7C15 % wrap
+        for back in range(1, max(lm.ORDERS) + 1):
+            h = (h ^ (text[place - back] if back <= place else 0)) * 0x9FB21C651E98DF25 % wrap
+            h ^= h >> 31
+            if back in lm.ORDERS:
+                heads.append((h + back) % wrap)
+        for b in range(8):
+            node, y = c >> (8 - b) | 1 << b, c >> (7 - b) & 1
+            gate = 4 * b + min(place, 3)
+            z = 0.3 * weights[gate][-1]
+            for k, head in enumerate(heads):
+                n0, n1 = map(float, tables[k][(((head ^ node << 17) + node) % wrap * 0xD6E8FEB86659FD93 % wrap) >> (64 - bits)])
+                z += weights[gate][k] * max(-8, min(8, math.log((n1 + 0.2) / (n0 + 0.2))))
+            z = max(-14, min(14, z))
+            total -= math.log1p(math.exp(-z if y else z))
+    return total
+
+
+def test_spelling_against_a_slow_mixer():
+    r = np.random.default_rng(7)
+    tables, weights = r.integers(0, 300, (len(lm.ORDERS), 1 << 12, 2)).astype(np.uint16), r.normal(0.3, 0.3, (lm.GATES, len(lm.ORDERS) + 1))
+    words = [b"", b"a", b"the", b"wordlike", "é日".encode(), b"x" * 40]
+    kinds = np.array([0, 1, 2, 7, 3, 0])
+    got = lm.spelled(np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words]), kinds, tables, weights)
+    assert np.allclose(got, [slow_spelled(w, k, tables, weights) for w, k in zip(words, kinds.tolist())], rtol=1e-4)
+
+
+def test_large_counts_are_halved():
+    counts = np.array([[0, 0], [65_535, 2], [65_536, 10], [10**7, 10**6], [1, 2**33]])
+    found = lm.halved(counts).astype(np.int64)
+    assert found[:2].tolist() == counts[:2].tolist() and found.max() <= 65_535
+    assert np.allclose(found[2:, 0] / found[2:].sum(1), counts[2:, 0] / counts[2:].sum(1), atol=1e-3)
+
+
+def test_scores_do_not_depend_on_the_session(spark, docs, monkeypatch):
+    monkeypatch.setattr(lm, "BUCKET_BYTES", 5_000)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    found = []
+    for n, parts in (("2", 1), ("19", 7)):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            found.append({r["doc_id"]: (r["score"], r["bits_per_byte"]) for r in lm.scores(docs.repartition(parts)).collect()})
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0].keys() == found[1].keys()
+    assert all(np.allclose(found[0][k], found[1][k], rtol=1e-12) for k in found[0])
+    size = {r["doc_id"]: len(r["text"].encode()) for r in docs.collect()}
+    assert all(math.isclose(bits, -score * math.log2(10) / (size[k] + 1)) for k, (score, bits) in found[0].items())
+
+
+def test_very_long_text_is_scored(spark):
+    text = " ".join(f"w{k % 5000}" for k in range(400_000))
+    r = lm.scores(spark.createDataFrame([(1, text), (2, "a b")], "doc_id long, text string")).orderBy("doc_id").first()
+    assert r["n_tokens"] == 400_001 and math.isfinite(r["score"])
+
+
 def test_gate_gives_probabilities():
     r = np.random.default_rng(5)
     p = r.dirichlet([1, 1], size=(3, 40))  # experts, tokens, the two symbols
