@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..folders import remove_at_end
 from ..workers import reach
 
 
@@ -28,9 +29,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut,
-    what lies before runs once, and a lost executor costs nothing of it."""
+    what lies before runs once, and a lost executor costs nothing of it. The
+    table is removed when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    remove_at_end(spark, path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -101,7 +101,8 @@ def _blocks(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple[int,
     blocks = max(1, math.ceil(total / block_chars))
     for b in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else rows
-        found = {(r["item_id"], p) for r in part.collect() if any(c.isalnum() for c in (p := normalise(r["text"])))}
+        found = {(r["item_id"], normalise(r["text"])) for r in part.collect()}
+        found = {(i, p) for i, p in found if any(c.isalnum() for c in p)}
         yield sorted(found, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
