@@ -323,8 +323,11 @@ def store_aggregation(run: Store, aggregations: DataFrame, associations: DataFra
     old, held = run.read("associations"), run.read("gene_aggregations")
     top = old.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
     new = associations.join(aggregations, "hgnc_id", "left_semi")
-    ids = F.row_number().over(Window.orderBy("hgnc_id", "position")) + F.lit(top)
-    numbered = new.withColumn("id", ids)
+    counts = new.groupBy("hgnc_id").agg(F.count("*").alias("_n"))  # a row for each gene: their ids begin one after the other
+    starts = counts.withColumn("_start", F.sum("_n").over(Window.orderBy("hgnc_id").rowsBetween(Window.unboundedPreceding, -1)))
+    own = F.row_number().over(Window.partitionBy("hgnc_id").orderBy("position"))
+    ids = own + F.coalesce("_start", F.lit(0)) + F.lit(top)
+    numbered = new.drop("id").join(starts.drop("_n"), "hgnc_id").withColumn("id", ids).drop("_start")
     run.commit(
         gene_aggregations=K.replace_children(held, aggregations, aggregations, "hgnc_id"),
         associations=old.join(aggregations, "hgnc_id", "left_anti").unionByName(numbered, allowMissingColumns=True),

@@ -89,3 +89,39 @@ def test_floor_leaves_old_rows_out(spark, tmp_path):
     _file(spark, files, 1, [("a", 1, "x", DAY), ("old", 2, "y", datetime.date(2020, 1, 1))])
     sync(spark, files, SCHEMA, ledger, str(tmp_path / "check"), "2024-02-01", floor="2023-01-01")
     assert [r["doi"] for r in ledger.read().collect()] == ["a"]
+
+
+def test_a_batch_of_files_rewrites_only_the_buckets_it_touches(spark, tmp_path):
+    files, ledger = str(tmp_path / "files"), Ledger(spark, str(tmp_path / "ledger"), buckets=8)
+    _file(spark, files, 1, [(f"k{k}", k, "x", DAY) for k in range(100)])
+    sync(spark, files, SCHEMA, ledger, str(tmp_path / "check"), "2024-02-01")
+    first = ledger.state()[1]
+    assert set(first) == set(range(8)) and len(set(first.values())) == 1
+    _file(spark, files, 2, [("k7", None, "two", DAY)])
+    _file(spark, files, 3, [("k7", None, "three", DAY)])
+    sync(spark, files, SCHEMA, ledger, str(tmp_path / "check"), "2024-02-02")
+    second = ledger.state()[1]
+    assert sum(first[b] != second[b] for b in first) == 1 and ledger.state()[2] == 3
+    rows = {r["doi"]: r["title"] for r in ledger.read().collect()}
+    assert len(rows) == 100 and rows["k7"] == "three" and rows["k8"] == "x"
+    before = ledger.read().count()
+    _file(spark, files, 4, [(f"k{k}", k, "y", DAY) for k in range(100)])
+    sync(spark, files, SCHEMA, ledger, str(tmp_path / "check"), "2024-02-03")
+    assert ledger.vacuum() == 2 and ledger.read().count() == before
+
+
+def test_of_two_writers_from_one_state_the_later_fails(spark, tmp_path):
+    from scriptorium import schemas
+    from scriptorium.store import Conflict, Store
+
+    table = next(iter(schemas.TABLES)) if hasattr(schemas, "TABLES") else "journals"
+    frame = spark.createDataFrame([], schemas.of(table))
+    a, b = Store(spark, str(tmp_path / "run")), Store(spark, str(tmp_path / "run"))
+    a.commit(**{table: frame})
+    state = b._last()
+    a.commit(**{table: frame})
+    b._last = lambda: state
+    with pytest.raises(Conflict):
+        b.commit(**{table: frame})
+    assert a._last()[0] == 2 and a.read(table).count() == 0
+    assert a.vacuum() >= 1 and a.read(table).count() == 0
