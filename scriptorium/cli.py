@@ -29,6 +29,7 @@ def _parser() -> argparse.ArgumentParser:
     command("query", "name", "tables", "out?")
     command("ledger-init", "ledger")
     command("ledger-sync", "ledger", "articles", "year", "today", "floor?", year=int)
+    command("ledger-seed", "ledger", "runs")
     command("ledger-seed-run", "ledger", "run", "end", "months?", months=int)
     command("ledger-writeback", "ledger", "run", "name", "today")
     command("ingest-articles", "run", "path", "details")
@@ -44,11 +45,14 @@ def _parser() -> argparse.ArgumentParser:
     command("due-extraction", "run", "out", "limit?", limit=int)
     command("store-extraction", "run", "answers")
     command("referenced-sources", "run", "out")
+    command("store-aggregation", "run", "aggregations", "associations")
+    command("store-expansion", "run", "papers")
     command("due-mapping", "run", "out")
     command("due-matching", "run", "out")
     command("due-journals", "run", "out")
     command("costs", "run", "prices")
     command("refusals", "run")
+    command("vacuum", "run")
     return p
 
 
@@ -68,6 +72,8 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
             stages.ledger_init(ledger)
         case "ledger-sync":
             print(stages.ledger_sync(ledger, _frame(spark, a.articles), a.year, a.today, a.floor))
+        case "ledger-seed":  # run folders, oldest first, with commas between
+            print(stages.seed_ledger(ledger, [Store(spark, folder).read("papers") for folder in a.runs.split(",")]))
         case "ledger-seed-run":
             print(stages.seed_run(ledger, run, a.end, a.months or 6))
         case "ledger-writeback":
@@ -105,6 +111,12 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
             stages.store_extraction(run, _frame(spark, a.answers))
         case "referenced-sources":
             write(stages.referenced_sources(run))
+        case "store-aggregation":
+            stages.store_aggregation(run, _frame(spark, a.aggregations), _frame(spark, a.associations))
+        case "store-expansion":
+            stages.store_expansion(run, _frame(spark, a.papers))
+        case "vacuum":
+            print(run.vacuum())
         case "due-mapping":
             write(stages.due_mapping(run))
         case "due-matching":
