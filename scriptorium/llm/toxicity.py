@@ -206,17 +206,39 @@ def needs_reading(word: str) -> str:
     return "" if part.isalpha() and not _DOUBLE.search(part) else part
 
 
-_DOUBLE = re.compile(r"(.)\1")
+_DOUBLE = re.compile(r"(.)\1+")
+
+
+def _collapsed(word: str) -> str:
+    """The word with each run of a letter as one."""
+    return _DOUBLE.sub(r"\1", word)
 
 
 class _Readings(dict):
-    """The forms of a word's restored words that are of use; words are kept up to a bound."""
+    """The forms of a word's restored words that are of use; words are kept up to a bound.
+
+    All readings of a word of letters collapse to the same. Where no useful form
+    does, nor begins it, none of them is of use, and the word is not searched.
+    """
 
     def __init__(self, decoder: Decoder, useful: frozenset[str] | None, kept: int = 200_000):
         self.decoder, self.useful, self.kept = decoder, useful, kept
+        self.whole = frozenset(_collapsed(f) for f in useful or () if not f.endswith("-"))
+        self.begun = frozenset(_collapsed(f[:-1]) for f in useful or () if f.endswith("-"))
+
+    def _may_be_useful(self, part: str) -> bool:
+        if self.useful is None or not part.isalpha():
+            return True
+        part = _collapsed(part)
+        return part in self.whole or any(part[:k] in self.begun for k in range(1, BEGINNING + 1))
 
     def __missing__(self, word: str) -> tuple[str, ...] | None:
         part = needs_reading(word)
+        if part and not self._may_be_useful(part):
+            if len(self) >= self.kept:
+                self.clear()
+            self[word] = None
+            return None
         words = forms(self.decoder.read(part).split() if part else [word.strip(_EDGES)])
         words = tuple(w for w in words if self.useful is None or w in self.useful)
         if len(self) >= self.kept:
@@ -306,24 +328,33 @@ def _scored(batches: Iterator[pa.RecordBatch], features: Features, most: int = 4
                 at += len(part)
 
 
-def fit_logistic(x: list[np.ndarray], y: np.ndarray, n: int, ridge: float = 0.1, rounds: int = 30, chunk: int = 1000) -> np.ndarray:
+def fit_logistic(x: list[np.ndarray], y: np.ndarray, n: int, ridge: float = 0.1, rounds: int = 30) -> np.ndarray:
     """Ridge logistic regression by Newton's method; the intercept is last and not penalised.
 
-    ``x`` has the numbers of each row's features. The sums are taken over chunks
-    of rows, so no matrix of all of them is made."""
-    w, penalty = np.zeros(n + 1), np.full(n + 1, ridge)
+    ``x`` has the numbers of each row's features. A step is found by conjugate
+    gradients, so nothing is made that is larger than the features that occur."""
+    size = np.array([len(f) + 1 for f in x], np.int64)
+    flat = np.concatenate([np.append(f, n) for f in x]).astype(np.int64) if x else np.zeros(0, np.int64)
+    start = np.cumsum(size) - size
+    penalty = np.full(n + 1, ridge)
     penalty[n] = 1e-6
+    times = lambda w: np.add.reduceat(w[flat], start) if len(start) else np.zeros(0)
+    back = lambda v: np.bincount(flat, np.repeat(v, size), n + 1)
+    w = np.zeros(n + 1)
     for _ in range(rounds):
-        curve, slope = np.diag(penalty), -penalty * w
-        for low in range(0, len(x), chunk):
-            part = x[low : low + chunk]
-            a = np.zeros((len(part), n + 1))
-            a[np.repeat(np.arange(len(part)), [len(f) for f in part]), np.concatenate([np.zeros(0, np.int64), *part]).astype(np.int64)] = 1
-            a[:, n] = 1
-            p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-            slope += a.T @ (y[low : low + chunk] - p)
-            curve += (a * (p * (1 - p))[:, None]).T @ a
-        step = np.linalg.solve(curve, slope)
+        p = 1 / (1 + np.exp(-np.clip(times(w), -30, 30)))
+        curve, left = p * (1 - p), back(y - p) - penalty * w
+        step, way, norm = np.zeros(n + 1), left.copy(), left @ left
+        least = 1e-18 * norm
+        for _ in range(10 * (n + 1)):
+            if norm <= least:
+                break
+            bent = back(curve * times(way)) + penalty * way
+            by = norm / (way @ bent)
+            step += by * way
+            left -= by * bent
+            norm, before = left @ left, norm
+            way = left + norm / before * way
         w += step
         if np.abs(step).max() < 1e-6:
             break

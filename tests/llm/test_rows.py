@@ -574,12 +574,36 @@ def test_words_with_several_readings_are_read():
     assert [w for w in ["stuupid", "idiiot", "1d10t", "s.t", "455", "(c)ool", "plain", "über", "word,", "word!!"] if toxicity.needs_reading(w)] == ["stuupid", "idiiot", "1d10t", "s.t", "455", "(c)ool"]
 
 
+def test_words_that_are_not_searched_have_no_useful_reading(judged):
+    model = toxicity.fit(*judged[:2])
+    features, r = model.features(), random.Random(2)
+    for _ in range(3000):
+        word = "".join(c * r.choice([1, 1, 2, 3, 5]) for c in r.choice(BAD + ["letter", "idiotic", "trashy", "strash", "bid", "mooring"]))
+        plain = toxicity.forms(features.decoder.read(toxicity.needs_reading(word)).split() or [word])
+        assert features.words[word] == (tuple(x for x in plain if x in features.words.useful) or None)
+
+
 def test_very_long_word_is_read(spark, judged):
     model = toxicity.fit(*judged[:2])
     text = "ab1" * 20_000 + " you 1d10t"
     assert toxicity.scores(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).first()["predicted"] == 1
 
 
+def test_regression_against_a_dense_solution():
+    r = np.random.default_rng(3)
+    x = [np.flatnonzero(r.random(12) < 0.3) for _ in range(300)]
+    y = (r.random(300) < 0.4).astype(float)
+    dense = np.zeros((300, 13))
+    for k, f in enumerate(x):
+        dense[k, f] = 1
+    dense[:, 12] = 1
+    w, penalty = np.zeros(13), np.array([0.1] * 12 + [1e-6])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-dense @ w))
+        w += np.linalg.solve((dense * (p * (1 - p))[:, None]).T @ dense + np.diag(penalty), dense.T @ (y - p) - penalty * w)
+    assert np.allclose(toxicity.fit_logistic(x, y, 12), w, atol=1e-5)
+
+
 def test_held_out_labels_are_not_learned(spark, judged):
     docs, labels, rows = judged
     turned = spark.createDataFrame([(d, 1 - t if zlib.crc32(str(d).encode()) % 5 == 0 else t) for d, t in rows], "doc_id long, toxic int")
