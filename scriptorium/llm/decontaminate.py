@@ -1,8 +1,11 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 An item within k edits of a passage leaves one of its k + 1 pieces unedited, so
-an exact hit of a piece (Aho-Corasick over all pieces) is a necessary sign. The
-text around each hit is then verified with Myers' bit-parallel distance.
+an exact hit of a piece (Aho-Corasick over all pieces) is a necessary sign. As
+there are fewer edits than pieces, some unedited piece even has, around the ring
+of pieces, at most l - 1 edits in every l pieces from it on; so a hit counts only
+if the piece behind it follows with one edit or none (the last piece's hits all
+count). The text around is then verified with Myers' bit-parallel distance.
 """
 
 from __future__ import annotations
@@ -71,14 +74,27 @@ def _stands_alone(text: str, start: int, end: int) -> bool:
     return not left and not (end < len(text) and text[end].isalnum() and text[end - 1].isalnum())
 
 
+def follows(piece: str, text: str, at: int) -> bool:
+    """Whether ``text`` goes on at ``at`` with the piece, one edit allowed."""
+    n = len(piece)
+    part = text[at : at + n + 1]
+    if part.startswith(piece):
+        return True
+    same = 0
+    while same < len(part) and same < n and part[same] == piece[same]:
+        same += 1
+    rest = piece[same + 1 :]  # a letter changed, left out, or put in
+    return part[same + 1 : same + 1 + len(rest)] == rest or part[same : same + len(rest)] == rest or part[same + 1 : n + 1] == piece[same:]
+
+
 def find_items(text: str, items: list[tuple[int, str, int, dict[str, int]]], hits) -> dict[int, int]:
     """Least distance by item for the items within budget in a normalised text."""
     best: dict[int, int] = {}
     tried: set[tuple[int, int]] = set()
     for end, found in hits(text):
-        for which, offset, length in found:
+        for which, offset, length, behind in found:
             at = end - length + 1 - offset
-            if best.get(which) == 0 or (which, at) in tried:
+            if best.get(which) == 0 or (which, at) in tried or behind and not follows(behind, text, end + 1):
                 continue
             tried.add((which, at))
             item, pattern, k, masks = items[which]
@@ -133,8 +149,9 @@ class _Matcher:
         self.known = [(i, p, k := error_budget(len(p), rate, piece), pattern_masks(p)) for i, p in items]
         places: dict[str, list] = {}
         for which, (_, p, k, _) in enumerate(self.known):
-            for offset, part in pieces(p, k):
-                places.setdefault(part, []).append((which, offset, len(part)))
+            parts = pieces(p, k)
+            for (offset, part), (_, behind) in zip(parts, [*parts[1:], (0, "")]):
+                places.setdefault(part, []).append((which, offset, len(part), behind))
         automaton = ahocorasick.Automaton()
         for part, where in places.items():
             automaton.add_word(part, where)

@@ -200,7 +200,7 @@ def _survey(docs: DataFrame, least: int, buckets: int, counters: int) -> DataFra
             yield dealt()
         if held:
             add()
-        parts = total.astype("<u4").reshape(-1, _PIECE)
+        parts = total.reshape(-1, _PIECE)
         used = np.flatnonzero(parts.any(1)).tolist()
         no = [None] * len(used)
         yield {"kind": [0] * len(used), "bucket": used, "data": [parts[k].tobytes() for k in used], "doc_id": no, "line": no}
@@ -438,7 +438,7 @@ def removed_lines(docs: DataFrame, similarity: float = 0.8, min_words: int = 1,
     Lines with fewer than ``min_words`` different words are left alone; lines
     without a word always are. ``hot`` is the number of lines beyond which a
     word is keyed together with a second one. Counters and buckets follow from
-    the bytes of the input: a counter for 64 bytes (64 MiB of counters at most;
+    the bytes of the input: a counter for 256 bytes (2**24 counters at most;
     beyond that more words share one, which changes their order and no result),
     a bucket for 64 MB, and at least four for each shuffle partition. Null texts
     have no line, rows without a doc_id keep all of theirs, and rows that repeat
@@ -447,7 +447,7 @@ def removed_lines(docs: DataFrame, similarity: float = 0.8, min_words: int = 1,
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / 64e6))
-    counters = 1 << max(20, min(26, math.ceil(math.log2(max(1, total / 64)))))
+    counters = 1 << max(20, min(24, math.ceil(math.log2(max(1, total / 256)))))
     survey = materialise(_survey(docs, min_words, buckets, counters), "lines")
     sketch = spark.sparkContext.broadcast(_codes(survey.where("kind = 0"), counters))
     equal = survey.where("kind = 2").select("doc_id", "line").union(_later_equal(survey.where("kind = 1"), buckets))

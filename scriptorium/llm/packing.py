@@ -166,7 +166,7 @@ def best_fit(lengths: np.ndarray, capacity: int, max_documents: int, max_attenti
 def pack(
     pieces: DataFrame,
     capacity: int = 2048,
-    max_documents: int = 64,
+    max_documents: int = 256,
     max_attention: int | None = None,
     weights: tuple[float, float, float] = (1.0, 0.02, 0.02),
     rule: str = "norm",

@@ -317,7 +317,7 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def _scored(batches: Iterator[pa.RecordBatch], features: Features, most: int = 4_000_000) -> Iterator[tuple[pa.RecordBatch, list[set[int]]]]:
+def _scored(batches: Iterator[pa.RecordBatch], features: Features, most: int = 2_000_000) -> Iterator[tuple[pa.RecordBatch, list[set[int]]]]:
     """Parts of batches with the features of their texts."""
     for batch in batches:
         texts = [t or "" for t in batch.column("text").to_pylist()]

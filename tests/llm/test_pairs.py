@@ -284,6 +284,23 @@ def test_budget_leaves_pieces_long_enough():
         assert k == math.floor(n * 0.1) if n >= 90 else k <= math.floor(n * 0.1)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text("ab", min_size=1, max_size=8), st.text("ab", max_size=10))
+def test_follows_is_a_prefix_with_one_edit(piece, text):
+    want = any(edits(piece, text[:n]) <= 1 for n in range(len(text) + 1))
+    assert D.follows(piece, "xy" + text, 2) == want
+
+
+def edits(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
 def test_short_items_match_as_whole_words(spark):
     rows = [(1, "So:  What is two plus two?\nFour."), (2, "party"), (3, "art, they say"), (4, "what is two plus three?"), (3, "no"), (5, None)]
     items = [(7, "What is two plus two?"), (8, "art"), (9, "..."), (None, "say")]

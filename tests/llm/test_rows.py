@@ -309,8 +309,8 @@ def test_best_fit_chooses_the_least_residual():
 def test_limits_bind_and_names_may_clash(spark):
     rows = [(k, f"w{k}", 7, 3) for k in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string, sequence_id int, _part int")
-    got = packing.pack_documents(df.select("doc_id", "text")).collect()  # short texts: 64 to a sequence, long before 2048 tokens
-    assert sorted(Counter(r["sequence_id"] for r in got).values()) == [300 % 64] + [64] * 4
+    got = packing.pack_documents(df.select("doc_id", "text")).collect()  # short texts: 256 to a sequence, before 2048 tokens
+    assert sorted(Counter(r["sequence_id"] for r in got).values()) == [44, 256]
     pieces = packing.tokenise(df).join(df.select("doc_id", "sequence_id", "_part"), "doc_id")
     found = packing.pack(pieces)
     assert found.columns == [*pieces.columns, "sequence_id_", "offset"] and found.count() == 300
