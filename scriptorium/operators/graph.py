@@ -7,6 +7,7 @@ checkpoints where the session has a folder for them.
 
 from __future__ import annotations
 
+import os
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -18,7 +19,7 @@ def _cut(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None and context.master.startswith("local"):
-            folder = "/tmp/checkpoints"
+            folder = f"/tmp/checkpoints/{os.getuid()}"
         if folder is None:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder)
