@@ -37,8 +37,8 @@ from .hashing import joined, mix, packed, ranges, unpacked, word_hashes, word_pl
 
 _PIECE = 1 << 14  # counters of a row of a partial sketch
 _CODES = 8  # steps of a counter's logarithm for each doubling
-_CHUNK = 1 << 20  # bytes of text taken together
-_HELD = 1 << 24  # bytes of entries that a task holds before it deals them
+_CHUNK = 1 << 19  # bytes of text taken together
+_HELD = 12 << 20  # bytes of entries that a task holds before it deals them
 _LINES = 12  # bits of a sort key for the line, before 8 for the counter and the first ones of the word
 
 
@@ -184,7 +184,7 @@ def _survey(docs: DataFrame, least: int, buckets: int, counters: int) -> DataFra
             for lines in lines_of(ids, texts, least):
                 held.append(counter(lines.words, counters))
                 size += len(held[-1])
-                if size > 1 << 21:
+                if size > 1 << 19:
                     add()
                     held, size = [], 0
                 h1, h2 = lines.sums()
@@ -331,7 +331,7 @@ def _marks(entries: DataFrame, bits: int) -> np.ndarray:
     return united_bits(entries.select("data"), places, bits)
 
 
-def candidates(e: dict[str, np.ndarray], similarity: float, block: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def candidates(e: dict[str, np.ndarray], similarity: float, block: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (i < j) of entries of a key, sorted by key and size, that may match: by size, place and parity."""
     if not len(e["key"]):
         return
@@ -384,7 +384,7 @@ def _possible(dealt: DataFrame, similarity: float) -> DataFrame:
     return map_arrow(dealt.select("bucket", "data"), rows, "data binary, n long")
 
 
-def _matching(words: np.ndarray, start: np.ndarray, size: np.ndarray, start2: np.ndarray, size2: np.ndarray, similarity: float, most: int = 1 << 21) -> np.ndarray:
+def _matching(words: np.ndarray, start: np.ndarray, size: np.ndarray, start2: np.ndarray, size2: np.ndarray, similarity: float, most: int = 1 << 18) -> np.ndarray:
     """Whether pairs of lines match: words of both sides in order, equal neighbours of a pair counted."""
     out = np.zeros(len(start), bool)
     total = size + size2

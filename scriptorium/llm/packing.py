@@ -25,7 +25,7 @@ from ._shared import map_arrow, materialise, text_bytes, unused
 from .hashing import different, joined, of_texts, ranges, word_hashes, word_places
 
 #: Words whose ids a worker keeps; it starts afresh beyond that, which costs time and no result.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 
 
 class WordIds(dict):
@@ -84,7 +84,7 @@ def word_ids(name: str) -> WordIds:
     return _WORDS[name]
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], most: int = 6_000_000) -> Iterator[tuple[list[int], list[bytes]]]:
+def _chunks(batches: Iterator[pa.RecordBatch], most: int = 2_000_000) -> Iterator[tuple[list[int], list[bytes]]]:
     docs, texts, size = [], [], 0
     for batch in batches:
         for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):

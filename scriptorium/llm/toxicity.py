@@ -221,7 +221,7 @@ class _Readings(dict):
     does, nor begins it, none of them is of use, and the word is not searched.
     """
 
-    def __init__(self, decoder: Decoder, useful: frozenset[str] | None, kept: int = 200_000):
+    def __init__(self, decoder: Decoder, useful: frozenset[str] | None, kept: int = 100_000):
         self.decoder, self.useful, self.kept = decoder, useful, kept
         self.whole = frozenset(_collapsed(f) for f in useful or () if not f.endswith("-"))
         self.begun = frozenset(_collapsed(f[:-1]) for f in useful or () if f.endswith("-"))
@@ -317,7 +317,7 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def _scored(batches: Iterator[pa.RecordBatch], features: Features, most: int = 2_000_000) -> Iterator[tuple[pa.RecordBatch, list[set[int]]]]:
+def _scored(batches: Iterator[pa.RecordBatch], features: Features, most: int = 1_000_000) -> Iterator[tuple[pa.RecordBatch, list[set[int]]]]:
     """Parts of batches with the features of their texts."""
     for batch in batches:
         texts = [t or "" for t in batch.column("text").to_pylist()]
