@@ -10,6 +10,7 @@ template, is compared with the template, if its size is within the bounds.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 
@@ -142,13 +143,13 @@ def scan(docs: DataFrame, least: float = 0.8, templates: dict[str, tuple[str, ..
     places: dict[str, list[tuple[int, int]]] = {}
     for g, t, at in heads_of(table, least):
         places.setdefault(g, []).append((t, at))
-    heads = F.array(*map(F.lit, places))
-    rare = sorted({min(g.split(), key=lambda w: (w in COMMON, -len(w), w)) for g in places})
-    spot = lambda t, at: F.struct(F.lit(t).alias("t"), F.lit(at).alias("at"))
-    by_head = F.map_from_entries(F.array(*(F.struct(F.lit(g), F.array(*(spot(*x) for x in where))) for g, where in places.items())))
-    grams = F.array(*(F.array(*map(F.lit, dict.fromkeys(g))) for _, g in table))
-    lengths, names = F.array(*(F.lit(len(g)) for _, g in table)), F.array(*(F.lit(n) for n, _ in table))
-    bounds = F.array(*(F.struct(*(F.lit(x).alias(k) for k, x in zip(("low", "high"), size_bounds(len(set(g)), least)))) for _, g in table))
+    fixed = lambda value, kind: F.from_json(F.lit(json.dumps(value)), kind)  # noqa: E731  one literal for a whole table
+    heads = fixed(list(places), "array<string>")
+    rare = fixed(sorted({min(g.split(), key=lambda w: (w in COMMON, -len(w), w)) for g in places}), "array<string>")
+    by_head = fixed({g: [{"t": t, "at": at} for t, at in where] for g, where in places.items()}, "map<string,array<struct<t:int,at:int>>>")
+    grams = fixed([list(dict.fromkeys(g)) for _, g in table], "array<array<string>>")
+    lengths, names = fixed([len(g) for _, g in table], "array<int>"), fixed([n for n, _ in table], "array<string>")
+    bounds = fixed([dict(zip(("low", "high"), size_bounds(len(set(g)), least))) for _, g in table], "array<struct<low:int,high:int>>")
     row = "array<struct<start:int,size:int,license:string,dice:double>>"
 
     def compared(pairs: Column, at: Column) -> Column:
@@ -176,7 +177,7 @@ def scan(docs: DataFrame, least: float = 0.8, templates: dict[str, tuple[str, ..
     def pairs_of(words: Column) -> Column:
         pairs = F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words) - 1), lambda a, b: F.concat_ws(" ", a, b))
         searched = lambda p: let(F.array_intersect(p, heads), lambda present: F.when(F.size(present) > 0, let(windows(p, present), best)).otherwise(none))
-        return F.when((F.size(words) > 1) & F.arrays_overlap(words, F.array(*map(F.lit, rare))), let(pairs, searched)).otherwise(none)
+        return F.when((F.size(words) > 1) & F.arrays_overlap(words, rare), let(pairs, searched)).otherwise(none)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), let(_words(F.col("text")), pairs_of).alias("found"))
 
