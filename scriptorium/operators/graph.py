@@ -8,22 +8,28 @@ checkpoints where the session has a folder for them.
 from __future__ import annotations
 
 import os
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..folders import remove_at_end
+
 
 def _cut(df: DataFrame) -> DataFrame:
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and context.master.startswith("local"):
-            folder = f"/tmp/checkpoints/{os.getuid()}"
-        if folder is None:
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    """``df`` written to the folder that all executors share and read back, so that the next plan starts from
+    a plain scan. Over checkpoints each step of a walk took the driver twice the time of the one before."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None and spark.sparkContext.master.startswith("local"):
+        folder = f"/tmp/checkpoints/{os.getuid()}"
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    path = f"{folder.rstrip('/')}/step-{uuid.uuid4().hex}"
+    remove_at_end(spark, path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _walk(edges: DataFrame, roots: DataFrame, source: str, target: str, most: int | None) -> DataFrame:

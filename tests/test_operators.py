@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from scriptorium import registry
 from scriptorium.functions import rules as R
 from scriptorium.functions import text as T
 from scriptorium.operators import documents as D
@@ -112,6 +113,12 @@ def test_graph(spark):
     assert {r["node"] for r in G.descendants(edges, spark.createDataFrame([("c",)], "root string")).collect()} == {"c", "d", "e"}
 
 
+def test_deep_graph(spark, tmp_path):  # over checkpoints each step took twice the time of the one before
+    spark.range(24).selectExpr("2 * cast(power(3, id) as long) p_partkey").write.parquet(f"{tmp_path}/part.parquet")
+    got = registry.QUERIES["g1_descendants"](spark, str(tmp_path)).collect()
+    assert sorted(r["node"] for r in got) == sorted([5, *(2 * 3**k for k in range(24))])
+
+
 def test_search_tiers(spark):
     names = spark.createDataFrame([(1, "Rare disease", 0), (2, "rare-disease", 2), (3, "Rare muscle disease", 0), (4, "Other", 0)], "term long, name string, kind int")
     got = search(names, spark.createDataFrame([("rare disease",)], "query string")).orderBy("rank").collect()
