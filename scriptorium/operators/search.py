@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,10 +20,15 @@ def tokens(name: Column) -> Column:
     return F.filter(F.split(F.lower(folded(name)), "[^a-z0-9]+"), lambda x: (x != "") & ~x.isin(*STOP_WORDS))
 
 
-def token_weights(names: DataFrame, total: int) -> DataFrame:
-    """(token, idf) over terms: a token in several names of a term counts once; idf = ln(1 + N / df)."""
-    pairs = names.select("term", F.explode(F.array_distinct(tokens(F.col("name")))).alias("token")).distinct()
-    return pairs.groupBy("token").agg(F.round(F.log(1 + F.lit(total) / F.count("*")), 9).alias("idf"))
+def token_weights(names: DataFrame, total: int | Column, listed: Callable[[Column], Column] = tokens) -> DataFrame:
+    """(token, df, idf) over terms: a token in several names of a term counts once; idf = ln(1 + N / df).
+
+    ``total`` is N, ``listed`` cuts a name into tokens. Where only null terms have a token, idf is infinite.
+    """
+    pairs = names.select("term", F.explode(F.array_distinct(listed(F.col("name")))).alias("token")).distinct()
+    counted = pairs.groupBy("token").agg(F.count("term").alias("df"))
+    share = F.when(F.col("df") > 0, F.lit(total) / F.col("df")).otherwise(float("inf"))
+    return counted.select("token", "df", F.round(F.log(1 + share), 9).alias("idf"))
 
 
 def xref_key(query: Column) -> Column:
@@ -44,7 +51,7 @@ def search(names: DataFrame, queries: DataFrame, xrefs: DataFrame | None = None,
     term) in their order, at tier 0, and is not searched otherwise.
     """
     total = names.select("term").distinct().count()
-    weights = token_weights(names, total)
+    weights = token_weights(names, total).drop("df")
     labels = names.where("kind = 0").groupBy("term").agg(F.min(F.lower("name")).alias("label"))
     queries = queries.select("query").distinct()
     listed = tokens(F.col("name"))

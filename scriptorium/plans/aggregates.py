@@ -151,7 +151,9 @@ def a15_inverse_document_frequency(t: Tables) -> DataFrame:
     from ..operators.search import token_weights
 
     names = t.part.select(F.col("p_partkey").alias("term"), F.col("p_name").alias("name")).union(t.part.select("p_partkey", "p_type"))
-    return token_weights(names)
+    total = t.part.agg(F.countDistinct("p_partkey")).scalar()
+    lower = lambda name: F.lower(F.translate(name, "İ", "i"))  # noqa: E731  # one letter in the SQL, two in Spark
+    return token_weights(names, total, lambda name: F.filter(F.split(lower(name), "[^a-z0-9]+"), lambda x: x != ""))
 
 
 _CURVE = """

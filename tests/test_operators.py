@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import json
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -136,6 +137,16 @@ def test_search_words_registries_and_ties(spark):
     assert got == {"disease": [(2, 3), (3, 3), (1, 3)], "naive DISEASE": [(3, 3), (2, 3), (1, 3)], " orpha:12": [(2, 0), (4, 0)], "OMIM: 12 ": [(1, 0)]}
 
 
+def test_token_weights_of_all_words(spark, tmp_path):  # stop words, accents and null keys, as in the SQL
+    rows = [(1, "Ring of the TYPE", "large"), (2, "ring-ring", "naïve İx K"), (3, "", None), (None, "lone ring", "large"), (3, "a", "large")]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    got = registry.QUERIES["a15_inverse_document_frequency"](spark, str(tmp_path)).collect()
+    part = duckdb.connect()
+    part.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    want = part.execute(registry.ORACLES["a15_inverse_document_frequency"]).fetchall()
+    assert sorted((r["token"], r["df"], r["idf"]) for r in got) == sorted(want)
+
+
 @pytest.mark.parametrize("n, cuts", [(10, (7, 9)), (30, (21, 26)), (100, (70, 89))])
 def test_split_sizes(spark, n, cuts):
     rows = stratified_split(spark.range(n).withColumn("label", F.lit(1)), "id", "label").groupBy("split").count().collect()
