@@ -42,6 +42,11 @@ def shorten(c: Column, most: int) -> Column:
     return F.when(F.length(c) > most, F.concat(F.left(c, F.lit(most)), F.lit("..."))).otherwise(c)
 
 
+def code_point(n: Column) -> Column:
+    """The character of a Unicode code point (``F.char`` takes it modulo 256); a surrogate is an error."""
+    return F.decode(F.unhex(F.concat(F.lit("0000FEFF"), F.lpad(F.hex(n), 8, "0"))), "UTF-32")
+
+
 def normal_symbol(c: Column) -> Column:
     """A gene symbol in upper case, with plain dashes and Latin for Greek letters."""
     c = F.translate(c, DASHES + "".join(GREEK), "-" * len(DASHES) + "".join(GREEK.values()))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import code_point
 from ..operators import documents as D
 from ..operators import latest as L
 from ..operators.predicates import with_flag
@@ -76,7 +77,7 @@ def w7_disambiguated_ids(t: Tables) -> DataFrame:
     key = F.concat("source", F.year("source_date").cast("string"), F.month("source_date").cast("string"))
     k = t.papers.where("pmid IS NULL").select("doi", key.alias("key"))
     by = Window.partitionBy("key")
-    suffix = F.when(F.count("*").over(by) > 1, F.char(96 + F.row_number().over(by.orderBy("doi")))).otherwise("")
+    suffix = F.when(F.count("*").over(by) > 1, code_point(96 + F.row_number().over(by.orderBy("doi")))).otherwise("")
     return k.select("doi", F.concat("key", suffix).alias("display"))
 
 

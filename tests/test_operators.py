@@ -77,6 +77,20 @@ def test_text_columns(spark):
     assert one(spark, T.display_ids({"10.1/1": "A", "10.1/12": "B"})(F.col("t")), t="10.1/12,10.1/1") == "B,A"
 
 
+def test_code_points(spark):
+    points = [97, 255, 256, 402, 0x3042, 0xD7FF, 0xE000, 0xFEFF, 0x10FFFF]
+    got = spark.createDataFrame([(n,) for n in points], "n int").select("n", T.code_point(F.col("n")).alias("x")).collect()
+    assert {r["n"]: r["x"] for r in got} == {n: chr(n) for n in points}
+
+
+def test_display_ids_of_many_papers(spark, tmp_path):  # 1,200 of one month: more than a byte can number
+    papers = spark.range(0, 8400, 7).selectExpr("id o_orderkey", "1L o_custkey", "'F' o_orderstatus", "1D o_totalprice", "timestamp '1998-02-06 00:00:00' o_orderdate", "'5-LOW' o_orderpriority")
+    papers.write.parquet(f"{tmp_path}/orders.parquet")
+    got = registry.QUERIES["w7_disambiguated_ids"](spark, str(tmp_path)).collect()
+    dois = sorted(f"10.1/{k}" for k in range(0, 8400, 7))
+    assert {r["doi"]: r["display"] for r in got} == {d: "5-LOW19982" + chr(97 + k) for k, d in enumerate(dois)}
+
+
 def test_ambiguous_previous_symbol_ends_the_search(spark):
     name = lambda *rows: spark.createDataFrame(list(rows), "gene long, symbol string")
     asked = spark.createDataFrame([("CUR",), ("OLD",), ("TWO",), ("ALI",), ("NO",), ("ERRC2",), ("WSF1",)], "symbol string")
