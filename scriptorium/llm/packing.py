@@ -12,9 +12,12 @@ filled sequence, so the block size bounds what dealing loses.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,15 +27,45 @@ from pyspark.sql import functions as F
 from ._shared import map_arrow, materialise, text_bytes, unused
 from .hashing import different, joined, of_texts, ranges, word_hashes, word_places
 
-#: Words whose ids a worker keeps; it starts afresh beyond that, which costs time and no result.
-CACHED_WORDS = 200_000
-
-
-class WordIds(dict):
-    """Little-endian 32-bit ids of white-space separated words, as the tokenizer gives them.
+#: Words whose ids a worker keeps; beyond that it keeps those of the texts at hand, which costs time and no result.
+CACHED_WORDS = 500_000
+
+#: Tokenizers of this normaliser and these splits cut where two ASCII characters differ in kind, and never join across.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLITS = {
+    "type": "Split", "behavior": "Removed", "invert": True,
+    "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+}
+_LETTER, _DIGIT, _SIGN, _QUOTE, _HIGH = range(1, 6)  # kinds of bytes; 0: white space
+_KIND = np.full(256, _SIGN, np.uint8)
+_KIND[[9, 10, 11, 12, 13, 32]] = 0
+_KIND[48:58], _KIND[65:91], _KIND[97:123], _KIND[39], _KIND[128:] = _DIGIT, _LETTER, _LETTER, _QUOTE, _HIGH
+_CUT = np.zeros((8, 8), bool)  # by the kinds of a byte and the next
+_CUT[_LETTER, [_DIGIT, _SIGN, _QUOTE]] = _CUT[_SIGN, [_LETTER, _DIGIT]] = _CUT[_DIGIT, [_LETTER, _DIGIT, _SIGN, _QUOTE]] = True
+_BEGINS, _ENDS = _CUT.copy(), _CUT.copy()
+_BEGINS[0, 1:6] = _ENDS[1:6, 0] = True
+
+
+def piece_places(text: np.ndarray, whole: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the pieces of joined texts' words. An apostrophe stays with what follows, a byte
+    outside ASCII with both sides, each of the texts ``whole`` in one piece."""
+    kind = _KIND[text[:-8]]
+    pair = (kind[:-1] << 3) | kind[1:]
+    begins, ends = np.append(kind[0] > 0, _BEGINS.ravel()[pair]), np.append(_ENDS.ravel()[pair], False)
+    data = text.tobytes()
+    for content in whole:
+        for m in re.finditer(re.escape(content), data) if content in data else ():
+            begins[m.start() + 1 : m.end()] = ends[m.start() : m.end() - 1] = False
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
+
+
+class WordIds:
+    """32-bit ids of texts, as the tokenizer gives them for their pieces in order.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its words in order.
+    are those of its words. Tokenizers that are known to cut within words as
+    well are asked for the pieces, in lower case where these are ASCII. Pieces
+    are known by 64 bits of a hash, kept in order beside their ids.
     """
 
     def __init__(self, path: str):
@@ -40,33 +73,61 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def of_words(self, words: list[bytes]) -> list[bytes]:
-        """The ids of each word; those not kept are tokenised together."""
-        found = [self.get(w) for w in words]
-        new = [k for k, ids in enumerate(found) if ids is None]
-        if len(self) + len(new) > CACHED_WORDS:
-            self.clear()
-        for a in range(0, len(new), 4096):
-            part = new[a : a + 4096]
-            texts = [words[k].decode("utf-8", "replace") for k in part]
-            for k, e in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                found[k] = self[words[k]] = np.array(e.ids, "<u4").tobytes()
-        return found
+        spec = json.loads(self.tokenizer.to_str())
+        cut = spec["pre_tokenizer"] or {}
+        self.cuts = spec["normalizer"] == _NORMALIZER and (cut.get("pretokenizers") or [None])[0] == _SPLITS and [c["type"] for c in cut["pretokenizers"]] == ["Split", "ByteLevel"]
+        self.whole = [x["content"].encode() for x in spec["added_tokens"]]
+        self.keys, self.begin, self.size, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def _places(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The texts as they are looked up, and where their pieces start and end."""
+        if not self.cuts:
+            return text, *word_places(text)
+        starts, ends = piece_places(text, self.whole)
+        low = text.copy()
+        low[(text >= 65) & (text <= 90)] += 32
+        high = np.flatnonzero(text >= 128)
+        mixed = np.unique(np.searchsorted(starts, high, side="right") - 1) if len(high) else high
+        as_is = ranges(starts[mixed], (ends - starts)[mixed])
+        low[as_is] = text[as_is]
+        return low, starts, ends
+
+    def _keep(self, which: np.ndarray) -> None:
+        self.flat = self.flat[ranges(self.begin[which], self.size[which])]
+        self.keys, self.size = self.keys[which], self.size[which]
+        self.begin = np.cumsum(self.size) - self.size
+
+    def _learn(self, keys: np.ndarray, words: Iterator[bytes]) -> None:
+        """Add the ids of words to those kept; ``keys`` are in order."""
+        sizes, parts = [], [self.flat]
+        while texts := [w.decode("utf-8", "replace") for w in islice(words, 4096)]:
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            sizes += map(len, found)
+            parts.append(np.fromiter(chain.from_iterable(found), "<u4"))
+        size, at = np.array(sizes, np.int64), np.searchsorted(self.keys, keys)
+        begin = len(self.flat) + np.cumsum(size) - size
+        self.keys, self.begin, self.size = np.insert(self.keys, at, keys), np.insert(self.begin, at, begin), np.insert(self.size, at, size)
+        self.flat = np.concatenate(parts)
 
     def of_texts(self, texts: list[bytes]) -> Iterator[bytes]:
-        """The ids of each text. Words are looked up once for all texts and dealt out by number."""
-        text = joined(texts, lower=False)
-        starts, ends = word_places(text)
-        first, which = different(word_hashes(text, starts, ends))
-        data = text.tobytes()
-        ids = self.of_words([data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())])
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        begin, cuts = np.cumsum(size) - size, of_texts(starts, texts)
+        """Little-endian 32-bit ids of each text. Pieces are looked up once for all texts and dealt out by number."""
+        text, starts, ends = self._places(joined(texts, lower=False))
+        h = word_hashes(text, starts, ends)
+        first, which = different(h)
+        keys = h[first]  # in order
+        at = np.searchsorted(self.keys, keys)
+        known = np.append(self.keys, np.uint64(0))[at] == keys
+        known &= at < len(self.keys)
+        if len(self.keys) + np.count_nonzero(~known) > CACHED_WORDS:
+            self._keep(at[known])
+        new, data = first[~known], text.tobytes()
+        if len(new):
+            self._learn(keys[~known], (data[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())))
+        at = np.searchsorted(self.keys, keys)
+        begin, size, cuts = self.begin[at], self.size[at], of_texts(starts, texts)
         for a, b in zip(cuts, cuts[1:]):
             own = which[a:b]
-            yield flat[ranges(begin[own], size[own])].tobytes()
+            yield self.flat[ranges(begin[own], size[own])].tobytes()
 
 
 _WORDS: dict[str, WordIds] = {}

@@ -326,6 +326,32 @@ def test_blocks_are_formed_as_pieces_come(spark):
     assert max(size.values()) <= 512 and len(size) <= 1.1 * sum(size.values()) / 512
 
 
+def test_ids_of_pieces_are_those_of_texts(monkeypatch):
+    words = packing.WordIds(packing_path())
+    assert list(words.of_texts([b"Word, word.  WORD! w0rd"])) == [ids_of(words, "Word, word.  WORD! w0rd")]
+    assert len(words.keys) == 7  # "word" once, three signs, and w, 0, rd
+    assert list(words.of_texts([])) == [] and list(words.of_texts([b"", b" "])) == [b"", b""]
+    units = ["'", "'s", "'VE", "a", "Z", "É", "W\u030a", "\u0301", "=", "\u0338", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "İ", "ß", "1", "9", "²", "—", "»", ",", ".", " ", "\n", "\u00a0", "\x1c", "日本", "😀", "\u212a", "don't"]
+    rng = random.Random(5)
+    texts = ["".join(rng.choices(units, k=rng.randint(0, 14))) for _ in range(4000)]
+    monkeypatch.setattr(packing, "CACHED_WORDS", 300)
+    for k in range(0, len(texts), 100):
+        part = texts[k : k + 100]
+        assert list(words.of_texts([t.encode() for t in part])) == [ids_of(words, t) for t in part]
+    words.cuts = False  # as with any other tokenizer
+    assert list(words.of_texts([t.encode() for t in texts])) == [ids_of(words, t) for t in texts]
+
+
+def packing_path():
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def ids_of(words, text):
+    return np.array(words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_packing_empty(empty):
     assert packing.pack_documents(empty).count() == 0
 
