@@ -729,6 +729,35 @@ def test_large_counts_are_halved():
     assert np.allclose(found[2:, 0] / found[2:].sum(1), counts[2:, 0] / counts[2:].sum(1), atol=1e-3)
 
 
+def test_occurrences_reach_the_predictors(spark):
+    """Words of the same letters in all: those that occur more often are spelled as likelier, and teach the mixer more."""
+    trained = [k for k in range(60) if zlib.crc32(str(k).encode()) % 7 != 2]
+    docs = spark.createDataFrame([(k, "abab " * 50 + "acac") for k in trained], "doc_id long, text string")
+    lists = lm._survey(docs, 2, 7, 16).where("bucket is not null").select("bucket", "block", "data", "words")
+    words = lm._collected(lists, 2).cache()
+    tables, halvings = lm._tables(words, 1, 16)
+    b_after_a = slow_counts(b"ab", tables)
+    assert tables[0].sum() == 8 * len(trained) * (50 * 5 + 5) and b_after_a == (50 * len(trained), len(trained))
+    assert not halvings.any()
+
+
+def slow_counts(text, tables):
+    """Occurrences of the last letter's next-to-last bit pattern: b (98) and c (99) after a word's first letter differ in the last bit."""
+    wrap, h = 2**64, 0x9E3779B97F4A7C15
+    for before in (text[0], 0):
+        h = (h ^ before) * 0x9FB21C651E98DF25 % wrap
+        h ^= h >> 31
+    node = text[1] >> 1 | 1 << 7
+    pair = tables[0][((((h + 2) % wrap ^ node << 17) + node) % wrap * 0xD6E8FEB86659FD93 % wrap) >> 48]
+    return tuple(pair.tolist())
+
+
+def test_occurrences_left_out_of_halved_counts():
+    counts, y, times = np.array([[10, 3], [0, 7], [1 << 20, 5], [3, 1 << 30]]), np.array([0, 1, 0, 1]), np.array([4, 7, 1 << 20, 1 << 29])
+    got = lm.left_out(lm.halved(counts).astype(np.int64), lm.halvings(counts)[:, 0].astype(np.uint8), y, times)
+    assert got.tolist() == [[6, 3], [0, 0], [0, 0], [0, (1 << 29) >> 15]]
+
+
 def test_scores_do_not_depend_on_the_session(spark, docs, monkeypatch):
     monkeypatch.setattr(lm, "BUCKET_BYTES", 5_000)
     before = spark.conf.get("spark.sql.shuffle.partitions")
